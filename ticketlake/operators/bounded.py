@@ -1,0 +1,17 @@
+"""Size-checked broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint when it has at most `rows` rows, else unchanged (a shuffled join).
+
+    The check reads no more than `rows + 1` rows. The hint also holds for projections, filters and
+    distinct sets of the result.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
