@@ -77,26 +77,40 @@ def in_days(c: Column, start: date, end: date) -> Column:
     return (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end + timedelta(days=1)).cast("timestamp_ntz"))
 
 
-def easter(year: Column) -> Column:
-    """Gregorian Easter Sunday, by the lunar-month (golden number and epact) computus."""
-    century = F.floor(year / 100) + 1
-    golden = year % 19 + 1
-    solar = F.floor(3 * century / 4) - 12
-    lunar = F.floor((8 * century + 5) / 25) - 5
-    sunday = F.floor(5 * year / 4) - solar - 10
-    raw_epact = F.pmod(11 * golden + 20 + lunar - solar, F.lit(30))
-    epact = F.when(((raw_epact == 25) & (golden > 11)) | (raw_epact == 24), raw_epact + 1).otherwise(raw_epact)
-    full_moon = F.when(44 - epact < 21, 74 - epact).otherwise(44 - epact)
-    march_day = full_moon + 7 - F.pmod(sunday + full_moon, F.lit(7))
-    return F.date_add(F.make_date(year, F.lit(3), F.lit(1)), (march_day - 1).cast("int"))
+def with_easter(years: DataFrame) -> DataFrame:
+    """Gregorian Easter Sunday (`pascoa`) of each year, by golden number and epact.
+
+    One step per projection, so that each intermediate is computed once.
+    """
+    year = F.col("ano").cast("int")
+    df = years.select("ano", (year % 19 + 1).alias("ouro"), (F.floor(year / 100) + 1).alias("seculo"))
+    df = df.withColumns(
+        {
+            "solar": F.floor(3 * F.col("seculo") / 4) - 12,
+            "lunar": F.floor((8 * F.col("seculo") + 5) / 25) - 5,
+        }
+    )
+    df = df.withColumns(
+        {
+            "domingo": F.floor(5 * F.col("ano") / 4) - F.col("solar") - 10,
+            "epacta": F.pmod(11 * F.col("ouro") + 20 + F.col("lunar") - F.col("solar"), F.lit(30)),
+        }
+    )
+    late = ((F.col("epacta") == 25) & (F.col("ouro") > 11)) | (F.col("epacta") == 24)
+    df = df.withColumn("epacta", F.col("epacta") + late.cast("int"))
+    df = df.withColumn("lua", 44 - F.col("epacta"))
+    df = df.withColumn("lua", F.col("lua") + F.when(F.col("lua") < 21, 30).otherwise(0))
+    march_day = F.col("lua") + 7 - F.pmod(F.col("domingo") + F.col("lua"), F.lit(7))
+    first = F.make_date(F.col("ano").cast("int"), F.lit(3), F.lit(1))
+    return df.select("ano", F.date_add(first, (march_day - 1).cast("int")).alias("pascoa"))
 
 
 def holiday_calendar(years: DataFrame) -> DataFrame:
     """Holidays (`feriado`) of every year in the one-column frame `years(ano)`."""
     year = F.col("ano").cast("int")
     fixed = [F.make_date(year, F.lit(m), F.lit(d)) for m, d in FIXED_HOLIDAYS]
-    moving = [F.date_add(easter(year), offset) for offset in EASTER_OFFSETS]
-    return years.select(F.explode(F.array(*fixed, *moving)).alias("feriado")).distinct()
+    moving = [F.date_add("pascoa", offset) for offset in EASTER_OFFSETS]
+    return with_easter(years).select(F.explode(F.array(*fixed, *moving)).alias("feriado")).distinct()
 
 
 def year_spine(spark: SparkSession, first: int, last: int) -> DataFrame:
