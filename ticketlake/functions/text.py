@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import Column
@@ -67,28 +68,23 @@ def _compositions() -> tuple[str, str, tuple[tuple[str, str], ...], tuple[tuple[
     )
 
 
-@cache
-def _pairs_sql(pairs: tuple[tuple[str, str], ...]) -> str:
-    items = ", ".join(f"struct({_quote(c)} AS k, {_quote(a)} AS v)" for c, a in pairs)
-    return f"array({items})"
-
-
 def _replace_all(c: Column, pairs: tuple[tuple[str, str], ...], only_if: str) -> Column:
-    """Replace each pair in turn, in the rows that match `only_if`."""
+    """Replace each pair in turn, in the rows that match `only_if`.
+
+    The pairs travel as one text literal, so that a plan does not carry hundreds of expressions.
+    """
+    size = len(pairs[0][0])
+    listed = F.split(F.lit("\x01".join(key + value for key, value in pairs)), "\x01")
     replaced = F.aggregate(
-        F.expr(_pairs_sql(pairs)), c, lambda acc, pair: F.replace(acc, pair["k"], pair["v"])
+        listed, c, lambda acc, pair: F.replace(acc, F.substring(pair, 1, size), F.substring(pair, size + 1, 99))
     )
     return F.when(c.rlike(only_if), replaced).otherwise(c)
 
 
-@cache
-def _near_any_of(pairs: tuple[tuple[str, str], ...], gap: int = 256) -> str:
-    """Few code ranges that cover the pairs' characters.
-
-    A quick test for rows that need no replacing; one that names every character is a hundred times slower.
-    """
+def _ranges(codes: Iterable[int], gap: int = 1) -> str:
+    """Character class of the codes as ranges; codes above U+024F join over gaps up to `gap`."""
     ranges: list[list[int]] = []
-    for code in sorted(ord(char) for char, _ in pairs):
+    for code in sorted(codes):
         if ranges and code - ranges[-1][1] <= (gap if code > 0x24F else 1):
             ranges[-1][1] = code
         else:
@@ -96,6 +92,15 @@ def _near_any_of(pairs: tuple[tuple[str, str], ...], gap: int = 256) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
+@cache
+def _near_any_of(pairs: tuple[tuple[str, str], ...]) -> str:
+    """Few code ranges that cover the pairs' characters.
+
+    A quick test for rows that need no replacing; one that names every character is a hundred times slower.
+    """
+    return _ranges((ord(char) for char, _ in pairs), gap=256)
+
+
 def nfkc(c: Column) -> Column:
     """Compatibility forms folded and marks joined to their letters."""
     source, target, longer, pairs = _compositions()
@@ -103,10 +108,6 @@ def nfkc(c: Column) -> Column:
     return _replace_all(folded, pairs, r"[\u0300-\u036f]")
 
 
-def _quote(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def strip(c: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
     return F.btrim(c, F.lit(WHITESPACE))
@@ -179,8 +180,7 @@ def norm_class(c: Column) -> Column:
 
 def collapse_spaces(c: Column) -> Column:
     """Single blanks between words for text of any script; ends trimmed."""
-    spaces = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE) + "]+"
-    return F.trim(F.regexp_replace(c, spaces, " "))
+    return F.trim(F.regexp_replace(c, f"{_ranges(map(ord, WHITESPACE))}+", " "))
 
 
 def clean_ws(c: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ticketlake.functions.keys import sha256_key
 from ticketlake.functions.text import first_nonblank, norm_subject
+from ticketlake.sources.canonical import with_required
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -45,10 +46,11 @@ def ticket_subjects(df: DataFrame, tie_break: Sequence[str] = ("row_seq",)) -> D
     The principal subject is the one on the latest row of the ticket; the others follow newest first,
     then by name.
     """
-    subject = df.withColumn("assunto_raw", first_nonblank(F.col("assunto"), F.col("titulo")))
-    subject = subject.withColumn("assunto_normalizado", norm_subject(F.col("assunto_raw"))).filter(
-        F.col("ticket_id").isNotNull() & F.col("assunto_normalizado").isNotNull()
+    needed = ["ticket_id", "formulario_ticket", "arquivo_mtime", "arquivo_origem", *tie_break]
+    subject = df.filter(F.col("ticket_id").isNotNull()).select(
+        *dict.fromkeys(needed), first_nonblank(F.col("assunto"), F.col("titulo")).alias("assunto_raw")
     )
+    subject = with_required(subject, "assunto_normalizado", norm_subject(F.col("assunto_raw")))
     latest = dedup_latest(subject, ["ticket_id", "assunto_normalizado"], ["arquivo_mtime", *tie_break])
     newest = [F.col(c).desc_nulls_first() for c in ("arquivo_mtime", *tie_break)]
     by_ticket = Window.partitionBy("ticket_id")

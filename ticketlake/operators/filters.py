@@ -22,8 +22,8 @@ BI_OPEN_STATUSES = ("OPEN", "NEW", "HOLD", "PENDING", "ABERTO")
 
 def split_by_form(df: DataFrame, kind: str) -> DataFrame:
     """Rows of one kind; rows without a form belong to both."""
-    form = norm_text(F.col("formulario_ticket"))
-    return df.filter(form.isNull() | form.startswith(FORM_PREFIX[kind]))
+    matches = norm_text(F.col("formulario_ticket")).startswith(FORM_PREFIX[kind])
+    return df.filter(F.coalesce(matches, F.lit(True)))
 
 
 def partition_overlap(requests: DataFrame, notices: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ticketlake.functions.text import (
-    blank_to_null, fixed2, jaccard, norm_identifier, norm_subject, norm_text, round4, strip, territory,
+    blank_to_null, fixed2, jaccard, join_key_text, norm_identifier, norm_subject, norm_text, round4, strip, territory,
     token_set,
 )
-from ticketlake.operators.dedup import dedup_latest, keep_one
+from ticketlake.operators.dedup import dedup_first, dedup_latest, keep_one
 from ticketlake.operators.filters import OPEN_STATUSES
 from ticketlake.schemas import WORK_ORDER_ALIASES, WORK_ORDER_FEED
-from ticketlake.sources.canonical import canonicalize, headers_by_name, quoted
+from ticketlake.sources.canonical import canonicalize, headers_by_name, quoted, with_required
 
 # Order column -> ticket column it may fill; score weights, bands and thresholds.
 FILL_COLUMNS = {
@@ -55,19 +55,21 @@ def semi_filter_orders(orders: DataFrame, tickets: DataFrame) -> DataFrame:
     found = headers_by_name(orders).get("matricula")
     if not found:
         return orders
-    account = norm_identifier(quoted(found[0]).cast("string"))
-    wanted = tickets.select(F.nullif(norm_identifier(F.col("matricula")), F.lit("")).alias("_conta"))
-    kept = orders.withColumn(found[0], account)
+    wanted = with_required(
+        tickets.select("matricula"), "_conta", F.nullif(norm_identifier(F.col("matricula")), F.lit(""))
+    ).select("_conta")
+    kept = with_required(orders, found[0], norm_identifier(quoted(found[0]).cast("string")))
     return kept.join(wanted, quoted(found[0]) == F.col("_conta"), "left_semi")
 
 
 def prepare_orders(raw: DataFrame, today: date, tie_break: tuple[str, ...] = ("row_seq",)) -> DataFrame:
     """Canonical orders with id, status on `today`, service text and tokens; latest row per order."""
     df = canonicalize(raw, WORK_ORDER_ALIASES, WORK_ORDER_FEED, keep_extra=True)
-    df = df.withColumns({c: norm_identifier(F.col(c)) for c in ("matricula", "numero_os", "ano_os")})
+    df = with_required(df, "numero_os", norm_identifier(F.col("numero_os")))
+    df = df.withColumns({c: norm_identifier(F.col(c)) for c in ("matricula", "ano_os")})
     year, number = F.coalesce("ano_os", F.lit("")), F.coalesce("numero_os", F.lit(""))
     overdue = F.col("previsao_conclusao") < F.lit(today).cast("timestamp_ntz")
-    df = df.filter(F.col("numero_os").isNotNull()).withColumns(
+    df = df.withColumns(
         {
             "bloco": territory(F.col("matricula")),
             "gss_os_id": F.when((year != "") & (number != ""), F.concat(year, F.lit("-"), number)).otherwise(
@@ -311,3 +313,14 @@ def match_orders(tickets: DataFrame, orders: DataFrame | None) -> DataFrame:
         .otherwise(trail)
         .alias("criterio_vinculo_os"),
     )
+
+
+def attach_master(
+    tickets: DataFrame, master: DataFrame, ticket_key: str, master_key: str, order: Sequence[str]
+) -> DataFrame:
+    """Tickets beside the first master row of their cleaned account."""
+    cleaned = master.withColumn(master_key, join_key_text(F.col(master_key)))
+    first = dedup_first(cleaned.filter(F.col(master_key).isNotNull()), [master_key], order)
+    keyed = tickets.withColumn(ticket_key, join_key_text(F.col(ticket_key)))
+    match = spread_nulls(F.col(ticket_key), F.col("ticket_id")) == F.col(master_key)
+    return keyed.join(first, match, "left")

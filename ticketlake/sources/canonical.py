@@ -75,6 +75,16 @@ def conform(df: DataFrame, schema: Mapping[str, str]) -> DataFrame:
     )
 
 
+def with_required(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Set a column and drop the rows where it is null, computing it once.
+
+    A filter would be pushed below the projection and compute an expensive value again; the generator
+    does both in one step.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array_compact(F.array(value))).alias(name))
+
+
 def coerce_ids(df: DataFrame, column: str) -> DataFrame:
     """Keep rows whose id is a number, as a whole number."""
     return df.withColumn(column, to_long(F.col(column))).filter(F.col(column).isNotNull())
