@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.catalog.ingest import ident
+from ticketlake.catalog.ingest import CLASS, ident
 from ticketlake.catalog.inputs import ORDER_TIES, TODAY, table, tickets, view
 from ticketlake.catalog.registry import query
 from ticketlake.catalog.text import norm, subject, tokens
 from ticketlake.functions.keys import protocols
-from ticketlake.functions.text import norm_subject
+from ticketlake.functions.text import norm_class
 from ticketlake.operators import linking, orders
 from ticketlake.session import cut_lineage
 
@@ -141,14 +141,14 @@ def match_not_loaded(spark, sf):
 # ---- linking ------------------------------------------------------------------------------------------------
 def link_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
     t = tickets(spark, sf).select(
-        "ticket_id", "matricula", "data_criacao", norm_subject(F.coalesce("assunto", "titulo")).alias("assunto_normalizado"),
+        "ticket_id", "matricula", "data_criacao", norm_class(F.coalesce("assunto", "titulo")).alias("assunto_normalizado"),
         *[c.alias(n) for n, c in protocols(F.col("titulo")).items() if n == "protocolo_procon"],
     ).withColumnRenamed("protocolo_procon", "protocolo_referencia")
     return t.filter("ticket_id % 2 = 0"), t.filter("ticket_id % 2 = 1")
 
 
 LINK_SQL = f"""
-    t AS (SELECT ticket_id, matricula, data_criacao, {subject('coalesce(assunto, titulo)')} AS assunto_normalizado, nullif(regexp_extract(titulo, '(\\d{{2}}\\.\\d{{2}}\\.\\d{{4}}\\.\\d{{3}}\\.\\d{{5}}-\\d{{3}})', 1), '') AS protocolo_referencia FROM tickets),
+    t AS (SELECT ticket_id, matricula, data_criacao, {CLASS.format(n=norm('coalesce(assunto, titulo)'))} AS assunto_normalizado, nullif(regexp_extract(titulo, '(\\d{{2}}\\.\\d{{2}}\\.\\d{{4}}\\.\\d{{3}}\\.\\d{{5}}-\\d{{3}})', 1), '') AS protocolo_referencia FROM tickets),
     s AS (SELECT * FROM t WHERE ticket_id % 2 = 0), n AS (SELECT * FROM t WHERE ticket_id % 2 = 1)
 """
 

@@ -227,7 +227,7 @@ def exact_units(c: Column, digits: int) -> Column:
     Scaling by a power of two is exact, so no decimal text of the double gets in between.
     """
     scale, half = F.lit(2**60).cast("decimal(20,0)"), F.lit(2**59).cast("decimal(20,0)")
-    scaled = (c * F.lit(float(2**60))).cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(6,0)")
+    scaled = (c * F.lit(float(2**60))).cast("bigint").cast("decimal(20,0)") * F.lit(10**digits).cast("decimal(6,0)")
     rest = scaled % scale
     down = ((scaled - rest) / scale).cast("bigint")
     return down + F.when((rest > half) | ((rest == half) & (down % 2 == 1)), 1).otherwise(0)
