@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from collections.abc import Iterable
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,31 +16,29 @@ KEY_BLANK_MARKS = ("NAN", "NONE", "NULL", "")
 LEVEL_SEPARATOR = "::"
 TERRITORY_PREFIXES = (("40", "Bloco 4"), ("10", "Bloco 1"))
 
+# Characters of Latin text whose decomposition leaves several letters; rarer ones (enclosed letters)
+# are dropped with the other non-ASCII characters.
+LONG_FORMS = "¼½¾…№™ﬀﬁﬂﬃﬄ"
+LONG_FORM_CLASS = r"[\x{bc}-\x{be}\x{2026}-\x{2122}\x{fb00}-\x{fb04}]"
+CONTROL_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+
 # All characters that count as white space when text is stripped.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
-# The same inside a regular expression, once text is ASCII.
-ASCII_SPACE = r"[\t-\r\x1c-\x20]+"
 
 
 @cache
-def _decompositions() -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Compatibility decompositions of the basic plane that leave ASCII behind.
-
-    Single-character results go to one `translate`; longer ones (ligatures, fractions) are replaced
-    text by text, and only in rows that hold one.
-    """
-    single: list[tuple[str, str]] = []
-    longer: list[tuple[str, str]] = []
-    for code in range(0x80, min(0x10000, sys.maxunicode)):
+def _decompositions() -> tuple[str, str]:
+    """Characters of the basic plane whose compatibility decomposition leaves one ASCII character, and it."""
+    source, target = [], []
+    for code in range(0x80, 0x10000):
         char = chr(code)
         if unicodedata.decomposition(char) == "":
             continue
         ascii_form = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
         if len(ascii_form) == 1:
-            single.append((char, ascii_form))
-        elif ascii_form:
-            longer.append((char, ascii_form))
-    return "".join(c for c, _ in single), "".join(a for _, a in single), tuple(longer)
+            source.append(char)
+            target.append(ascii_form)
+    return "".join(source), "".join(target)
 
 
 @cache
@@ -102,10 +99,10 @@ def _near_any_of(pairs: tuple[tuple[str, str], ...]) -> str:
 
 
 def nfkc(c: Column) -> Column:
-    """Compatibility forms folded and marks joined to their letters."""
+    """Compatibility forms folded and marks joined to their letters; ASCII text passes untouched."""
     source, target, longer, pairs = _compositions()
     folded = F.translate(_replace_all(c, longer, _near_any_of(longer)), source, target)
-    return _replace_all(folded, pairs, r"[\u0300-\u036f]")
+    return F.when(is_ascii(c), c).otherwise(_replace_all(folded, pairs, r"[\u0300-\u036f]"))
 
 
 def strip(c: Column) -> Column:
@@ -113,17 +110,30 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
 
+def is_ascii(c: Column) -> Column:
+    """Whether every character takes one byte; far cheaper than a pattern."""
+    return F.octet_length(c) == F.char_length(c)
+
+
 def to_ascii(c: Column) -> Column:
-    """Compatibility-decompose and keep the ASCII part."""
-    source, target, longer = _decompositions()
-    expanded = _replace_all(c, longer, _near_any_of(longer))
-    return F.regexp_replace(F.translate(expanded, source, target), r"[^\x00-\x7F]", "")
+    """Compatibility-decompose and keep the ASCII part, with every white space as a blank."""
+    blanks = " " * len(CONTROL_SPACES)
+    source, target = _decompositions()
+    expanded = c
+    for char in LONG_FORMS:
+        ascii_form = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
+        expanded = F.replace(expanded, F.lit(char), F.lit(ascii_form))
+    expanded = F.when(c.rlike(LONG_FORM_CLASS), expanded).otherwise(c)
+    plain = F.translate(expanded, source + CONTROL_SPACES, target + blanks)
+    # Text that is ASCII already needs none of the patterns.
+    return F.when(is_ascii(c), F.translate(c, CONTROL_SPACES, blanks)).otherwise(
+        F.regexp_replace(plain, r"[^\x00-\x7F]", "")
+    )
 
 
 def norm_text(c: Column) -> Column:
     """Upper-case ASCII text with single blanks; blank becomes null."""
-    plain = F.regexp_replace(to_ascii(strip(c)), ASCII_SPACE, " ")
-    return F.nullif(F.upper(F.trim(plain)), F.lit(""))
+    return F.nullif(F.upper(F.trim(F.regexp_replace(to_ascii(c), " {2,}", " "))), F.lit(""))
 
 
 def norm_identifier(c: Column) -> Column:
@@ -180,7 +190,8 @@ def norm_class(c: Column) -> Column:
 
 def collapse_spaces(c: Column) -> Column:
     """Single blanks between words for text of any script; ends trimmed."""
-    return F.trim(F.regexp_replace(c, f"{_ranges(map(ord, WHITESPACE))}+", " "))
+    spaces = _ranges(map(ord, WHITESPACE))
+    return F.trim(F.regexp_replace(c, f"{spaces}+", " "))
 
 
 def clean_ws(c: Column) -> Column:

@@ -254,10 +254,9 @@ def serve_in_order(
             F.col("seguinte").alias("fatia"), "ticket_id", "conta", "t", "protocolo", "assunto"
         )
 
-    first = notices.select(
-        F.lit(0).alias("fatia"), "ticket_id", "conta", "t", "protocolo", "assunto"
-    ).limit(0)
-    carried = first
+    carried = slices.sparkSession.createDataFrame(
+        [], "fatia int, ticket_id bigint, conta string, t bigint, protocolo string, assunto string"
+    )
     served = cut_lineage(_serve(slices, carried, window_days))
     for _ in range(slices.select("fatia").distinct().count()):
         fresh = cut_lineage(handed_over(served))

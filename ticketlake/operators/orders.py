@@ -78,13 +78,12 @@ def prepare_orders(raw: DataFrame, today: date, tie_break: tuple[str, ...] = ("r
             "status_os_gss": F.when(F.col("data_execucao").isNotNull(), "EXECUTADA")
             .when(overdue, "PENDENTE_VENCIDA")
             .when(F.col("previsao_conclusao").isNotNull() | F.col("data_emissao").isNotNull(), "PENDENTE"),
-            "servico_normalizado": norm_subject(
-                joined_words(
-                    F.col("servico_executado"), F.col("solicitacao_associada"), F.col("tipo_solicitacao_gss")
-                )
+            "_texto": joined_words(
+                F.col("servico_executado"), F.col("solicitacao_associada"), F.col("tipo_solicitacao_gss")
             ),
         }
     )
+    df = df.withColumn("servico_normalizado", norm_subject(F.col("_texto"))).drop("_texto")
     latest = dedup_latest(df, ["gss_os_id"], ["arquivo_mtime", *tie_break])
     return latest.withColumn("tokens_servico", token_set(F.col("servico_normalizado")))
 
@@ -228,13 +227,14 @@ def _present(df: DataFrame, names: tuple[str, ...]) -> list[Column]:
 def match_profile(tickets: DataFrame) -> DataFrame:
     """What scoring needs to know about a ticket."""
     status = norm_text(F.col("status")) if "status" in tickets.columns else F.lit(None).cast("string")
-    return tickets.select(
+    profile = tickets.select(
         "ticket_id",
         "matricula",
         F.to_date(F.coalesce(*_present(tickets, TICKET_DATES))).alias("dia"),
         F.coalesce(status.isin(*OPEN_STATUSES), F.lit(False)).alias("aberto"),
-        token_set(joined_words(*_present(tickets, TICKET_WORDS))).alias("tokens"),
+        joined_words(*_present(tickets, TICKET_WORDS)).alias("_texto"),
     )
+    return profile.withColumn("tokens", token_set(F.col("_texto"))).drop("_texto")
 
 
 def match_exact(tickets: DataFrame, orders: DataFrame) -> DataFrame:

@@ -153,9 +153,9 @@ def sanitized_base(tickets: DataFrame, notices: DataFrame, hearings: DataFrame,
             return F.col(name)
         return (clean_subject if name == "assunto" else clean_ws)(F.col(name)).alias(name)
 
-    return joined.select(*[cell(c) for c in SANITIZED_COLUMNS]).orderBy(
-        F.col("data_criacao").desc_nulls_last(), F.col("ticket_id").desc()
-    )
+    # Sorted on raw values first: the sort samples its input, and cleaning should run once.
+    ordered = joined.orderBy(day_of(F.col("data_criacao")).desc_nulls_last(), F.col("ticket_id").desc())
+    return ordered.select(*[cell(c) for c in SANITIZED_COLUMNS])
 
 
 def entry_day():

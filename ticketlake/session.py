@@ -14,6 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Wide text projections become methods the JVM never compiles; beyond this size Spark splits them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
