@@ -56,6 +56,12 @@ def _key(name: str):
     return F.when(strip(F.col(name)) != "", F.col(name))
 
 
+def _of_rule(values: list):
+    """The value of the rule in `regra`; null when there is none."""
+    first, second = values
+    return F.when(F.col("regra") == 0, F.lit(first)).when(F.col("regra") == 1, F.lit(second))
+
+
 def load_manual(links: DataFrame) -> DataFrame:
     """Manual links with both ids numeric; the latest one per request counts."""
     typed = coerce_ids(coerce_ids(links, "ticket_solicitacao_id"), "ticket_notificacao_id")
@@ -103,10 +109,9 @@ def link_candidates(requests: DataFrame, notices: DataFrame, window_days: int =
         .agg(F.sum(F.when(F.col("lugar") == 2, F.col("total")).otherwise(-F.col("total"))).alias("candidatos"))
         .filter(F.col("candidatos") > 0)
     )
-    names = F.array(*[F.lit(name) for name, _, _ in RULES])
     return counted.select(
         F.col("ticket_id").alias("ticket_solicitacao_id"),
-        F.element_at(names, F.col("regra") + 1).alias("criterio_vinculo"),
+        _of_rule([name for name, _, _ in RULES]).alias("criterio_vinculo"),
         F.col("candidatos").alias("quantidade_candidatos"),
     )
 
@@ -374,8 +379,8 @@ def link_tickets(
     served = serve_in_order(
         _with_partner(asking, open_notices), _with_partner(open_notices, asking), consumed, window_days, slice_rows
     )
-    rule_name = F.element_at(F.array(*[F.lit(name) for name, _, _ in RULES]), F.col("regra") + 1)
-    confidence = F.element_at(F.array(*[F.lit(value) for _, _, value in RULES]), F.col("regra") + 1)
+    rule_name = _of_rule([name for name, _, _ in RULES])
+    confidence = _of_rule([value for _, _, value in RULES])
     linked, many = F.col("notificacao").isNotNull(), F.col("lista").isNotNull()
     is_manual, valid = F.col("_mid").isNotNull(), F.coalesce(F.col("_mvale"), F.lit(False))
     chosen = known.select(F.col("_nid").alias("_cid"), F.col("_ndata").alias("_cdata"))

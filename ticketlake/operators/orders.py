@@ -230,7 +230,7 @@ def match_profile(tickets: DataFrame) -> DataFrame:
     profile = tickets.select(
         "ticket_id",
         "matricula",
-        F.to_date(F.coalesce(*_present(tickets, TICKET_DATES))).alias("dia"),
+        F.to_date(F.coalesce(*_present(tickets, TICKET_DATES), F.lit(None).cast("timestamp_ntz"))).alias("dia"),
         F.coalesce(status.isin(*OPEN_STATUSES), F.lit(False)).alias("aberto"),
         joined_words(*_present(tickets, TICKET_WORDS)).alias("_texto"),
     )
