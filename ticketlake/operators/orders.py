@@ -66,15 +66,15 @@ def prepare_orders(raw: DataFrame, today: date, tie_break: tuple[str, ...] = ("r
     """Canonical orders with id, status on `today`, service text and tokens; latest row per order."""
     df = canonicalize(raw, WORK_ORDER_ALIASES, WORK_ORDER_FEED, keep_extra=True)
     df = with_required(df, "numero_os", norm_identifier(F.col("numero_os")))
-    df = df.withColumns({c: norm_identifier(F.col(c)) for c in ("matricula", "ano_os")})
-    year, number = F.coalesce("ano_os", F.lit("")), F.coalesce("numero_os", F.lit(""))
+    df = df.withColumn("ano_os", norm_identifier(F.col("ano_os")))
+    named = F.concat(F.nullif(F.col("ano_os"), F.lit("")), F.lit("-"), F.nullif(F.col("numero_os"), F.lit("")))
+    df = df.withColumn("gss_os_id", F.coalesce(named, F.col("numero_os")))
+    # Only the key is computed for every raw row; the rest is for the rows that stay.
+    df = dedup_latest(df, ["gss_os_id"], ["arquivo_mtime", *tie_break])
     overdue = F.col("previsao_conclusao") < F.lit(today).cast("timestamp_ntz")
     df = df.withColumns(
         {
-            "bloco": territory(F.col("matricula")),
-            "gss_os_id": F.when((year != "") & (number != ""), F.concat(year, F.lit("-"), number)).otherwise(
-                F.col("numero_os")
-            ),
+            "matricula": norm_identifier(F.col("matricula")),
             "status_os_gss": F.when(F.col("data_execucao").isNotNull(), "EXECUTADA")
             .when(overdue, "PENDENTE_VENCIDA")
             .when(F.col("previsao_conclusao").isNotNull() | F.col("data_emissao").isNotNull(), "PENDENTE"),
@@ -83,9 +83,10 @@ def prepare_orders(raw: DataFrame, today: date, tie_break: tuple[str, ...] = ("r
             ),
         }
     )
-    df = df.withColumn("servico_normalizado", norm_subject(F.col("_texto"))).drop("_texto")
-    latest = dedup_latest(df, ["gss_os_id"], ["arquivo_mtime", *tie_break])
-    return latest.withColumn("tokens_servico", token_set(F.col("servico_normalizado")))
+    df = df.withColumns(
+        {"bloco": territory(F.col("matricula")), "servico_normalizado": norm_subject(F.col("_texto"))}
+    ).drop("_texto")
+    return df.withColumn("tokens_servico", token_set(F.col("servico_normalizado")))
 
 
 def spread_nulls(key: Column, unique: Column) -> Column:

@@ -81,7 +81,7 @@ def with_required(df: DataFrame, name: str, value: Column) -> DataFrame:
     A filter would be pushed below the projection and compute an expensive value again; the generator
     does both in one step.
     """
-    others = [c for c in df.columns if c != name]
+    others = [quoted(c) for c in df.columns if c != name]
     return df.select(*others, F.explode(F.array_compact(F.array(value))).alias(name))
 
 
