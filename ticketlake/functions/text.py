@@ -20,7 +20,8 @@ TERRITORY_PREFIXES = (("40", "Bloco 4"), ("10", "Bloco 1"))
 # are dropped with the other non-ASCII characters.
 LONG_FORMS = "¼½¾…№™ﬀﬁﬂﬃﬄ"
 LONG_FORM_CLASS = r"[\x{bc}-\x{be}\x{2026}-\x{2122}\x{fb00}-\x{fb04}]"
-CONTROL_SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+# Runs of ASCII white space, or a single one that is not a blank.
+ODD_SPACES = r"[\t-\r\x1c-\x20]{2,}|[\t-\r\x1c-\x1f]"
 
 # All characters that count as white space when text is stripped.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
@@ -116,24 +117,20 @@ def is_ascii(c: Column) -> Column:
 
 
 def to_ascii(c: Column) -> Column:
-    """Compatibility-decompose and keep the ASCII part, with every white space as a blank."""
-    blanks = " " * len(CONTROL_SPACES)
-    source, target = _decompositions()
+    """Compatibility-decompose and keep the ASCII part."""
     expanded = c
     for char in LONG_FORMS:
         ascii_form = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
         expanded = F.replace(expanded, F.lit(char), F.lit(ascii_form))
     expanded = F.when(c.rlike(LONG_FORM_CLASS), expanded).otherwise(c)
-    plain = F.translate(expanded, source + CONTROL_SPACES, target + blanks)
-    # Text that is ASCII already needs none of the patterns.
-    return F.when(is_ascii(c), F.translate(c, CONTROL_SPACES, blanks)).otherwise(
-        F.regexp_replace(plain, r"[^\x00-\x7F]", "")
-    )
+    plain = F.regexp_replace(F.translate(expanded, *_decompositions()), r"[^\x00-\x7F]", "")
+    # Text that is ASCII already needs none of this.
+    return F.when(is_ascii(c), c).otherwise(plain)
 
 
 def norm_text(c: Column) -> Column:
     """Upper-case ASCII text with single blanks; blank becomes null."""
-    return F.nullif(F.upper(F.trim(F.regexp_replace(to_ascii(c), " {2,}", " "))), F.lit(""))
+    return F.nullif(F.upper(F.trim(F.regexp_replace(to_ascii(c), ODD_SPACES, " "))), F.lit(""))
 
 
 def norm_identifier(c: Column) -> Column:
