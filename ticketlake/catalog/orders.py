@@ -40,10 +40,9 @@ def prepared(spark, sf) -> DataFrame:
     return orders.prepare_orders(kept, TODAY, ORDER_TIES)
 
 
-@query("gss_semi", f"SELECT numero_os, {ident('matricula')} AS matricula, data_emissao FROM work_orders WHERE {ident('matricula')} IN (SELECT {ident('matricula')} FROM tickets WHERE ticket_id % 8 = 0)", stamps=("data_emissao",))
+@query("gss_semi", f"SELECT numero_os, {ident('matricula')} AS matricula, data_emissao FROM work_orders WHERE {ident('matricula')} IN (SELECT {ident('matricula')} FROM tickets)", stamps=("data_emissao",))
 def gss_semi(spark, sf):
-    some = tickets(spark, sf).filter("ticket_id % 8 = 0")
-    return orders.semi_filter_orders(feed(spark, sf), some).select("numero_os", "matricula", "data_emissao")
+    return orders.semi_filter_orders(feed(spark, sf), tickets(spark, sf)).select("numero_os", "matricula", "data_emissao")
 
 
 @query(
