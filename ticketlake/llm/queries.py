@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe
-from ticketlake.llm.common import table
+from ticketlake.llm import bpe, lines, toxicity
+from ticketlake.llm.common import narrow, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -15,5 +16,31 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"), RANK_FILE, public_tokenizers.PATTERN, digests=True)
 
 
-QUERIES = {"op1_bpe": op1_bpe}
-ORACLES: dict[str, str] = {}
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.classify(narrow(table(spark, folder, "documents")), table(spark, folder, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
+    kept = lines.drop_repeated_lines(narrow(table(spark, folder, "documents")))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH doc AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+line AS (
+  SELECT doc_id, n, parts[n] AS line,
+    translate(trim(parts[n], ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS n FROM doc)
+),
+frequent AS (
+  SELECT key, max(doc_id) AS keeper FROM line WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+),
+marked AS (SELECT l.*, f.key IS NOT NULL AND l.doc_id <> f.keeper AS dropped FROM line l LEFT JOIN frequent f USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+QUERIES = {"op1_bpe": op1_bpe, "op5_toxicity": op5_toxicity, "op9_lines": op9_lines}
+ORACLES: dict[str, str] = {"op9_lines": OP9_SQL}
