@@ -14,7 +14,7 @@ from ticketlake.session import cut_lineage
 #: Bytes of text that a task works on at once; one longer text is a block of its own.
 BLOCK_BYTES = 2_000_000
 
-__all__ = ["BLOCK_BYTES", "blocks", "cut_lineage", "lower_ascii", "narrow", "raw", "segments", "table", "words_of"]
+__all__ = ["BLOCK_BYTES", "blocks", "cut_lineage", "lower_ascii", "mixed", "narrow", "raw", "prefix_sums", "range_hashes", "segments", "table", "word_hashes", "words_of"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -72,3 +72,46 @@ def words_of(data: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.n
     last[edges[edges > 0] - 1] |= good[edges[edges > 0] - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(starts, at)
+
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(count: int, base: int = _BASE) -> np.ndarray:
+    """1, base, base^2, ... in 64 bits; kept by the worker for texts of usual length."""
+    known = _POWERS.get(base)
+    if known is None or len(known) < count:
+        known = np.full(max(count, 1 << 16), base, np.uint64)
+        known[0] = 1
+        known = np.cumprod(known)
+        if len(known) <= 8 * BLOCK_BYTES:
+            _POWERS[base] = known
+    return known[:count]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A one-to-one mix of 64 bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64))
+
+
+def prefix_sums(values: np.ndarray, base: int = _BASE) -> np.ndarray:
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(len(values), base), out=out[1:])
+    return out
+
+
+def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """A hash of each range of the summed values that depends on the values alone, not on their place."""
+    inverse = pow(base, -1, 1 << 64)
+    return mixed((sums[ends] - sums[starts]) * powers(len(sums), inverse)[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64 bits for each word of a byte array."""
+    return range_hashes(prefix_sums(_BYTE_VALUES[data]), starts, ends)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, lines, simhash, toxicity
+from ticketlake.llm import bpe, contamination, lines, simhash, toxicity
 from ticketlake.llm.common import narrow, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -26,6 +26,14 @@ def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_contamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination.find_matches(narrow(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.drop_repeated_lines(narrow(table(spark, folder, "documents")))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -47,5 +55,5 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-QUERIES = {"op1_bpe": op1_bpe, "op5_toxicity": op5_toxicity, "op7_simhash": op7_simhash, "op9_lines": op9_lines}
+QUERIES = {"op1_bpe": op1_bpe, "op5_toxicity": op5_toxicity, "op7_simhash": op7_simhash, "op8_contamination": op8_contamination, "op9_lines": op9_lines}
 ORACLES: dict[str, str] = {"op9_lines": OP9_SQL}
