@@ -1,24 +1,70 @@
-"""The corpus pipeline: five stages, each an operator of `ticketlake.llm`, applied one after the other."""
+"""The corpus pipeline: five stages, each an operator of `ticketlake.llm`, applied one after the other to `documents`.
+
+Every stage but the last returns the columns of documents. The frame between two stages is written as Parquet in the
+shared folder of the session and read again, so that a lost executor costs no earlier stage.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ticketlake.llm import bpe, contamination, lines, simhash, toxicity
+from ticketlake.llm.common import table
 from ticketlake.llm.queries import RANK_FILE
-from ticketlake.llm import bpe
-import public_tokenizers
+from ticketlake.session import ensure_checkpoint_dir
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not call toxic, with a null or an empty text as they are."""
+    scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.where(F.col("predicted") == 0).select("row.*")
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without its repeated lines; n_chars follows the text, a null text stays null."""
+    kept = lines.drop_repeated_lines(docs)
+    text = F.when(F.col("row.text").isNotNull(), F.col("text"))
+    new = {"text": text, "n_chars": F.when(F.col("n_dropped") > 0, F.length(text).cast("bigint")).otherwise(F.col("row.n_chars"))}
+    return kept.select(*[new.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of each group with the smallest id; rows without an id stay."""
+    found = simhash.near_duplicates(docs)
+    others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and of the decoded bytes."""
     return bpe.encode(docs, RANK_FILE, public_tokenizers.PATTERN, digests=True)
 
 
-STAGES = [("byte-level BPE", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line dedup", drop_lines),
+    ("SimHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("byte-level BPE", encode),
+]
+#: The trained classifier and the tokenizer have no form in SQL; tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for step, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if step < len(STAGES) - 1:
+            docs.write.parquet(f"{folder}/{step}")
+            docs = spark.read.parquet(f"{folder}/{step}")
     return docs
