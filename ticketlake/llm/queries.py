@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, contamination, lines, simhash, toxicity
+from ticketlake.llm import bpe, contamination, lines, piecewise, secret_ledger, simhash, toxicity
 from ticketlake.llm.common import narrow, table
+from ticketlake.session import ensure_checkpoint_dir
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -16,6 +19,30 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode(table(spark, folder, "documents"), RANK_FILE, public_tokenizers.PATTERN, digests=True)
 
 
+def _spans(spans: F.Column, kinds: tuple[str, ...] | None = None) -> F.Column:
+    """kind:start:end joined by commas, of some kinds or all."""
+    if kinds:
+        spans = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _counts(kinds: tuple[str, ...]) -> list[F.Column]:
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return [count(kind) for kind in kinds]
+
+
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    versions = table(spark, folder, "documents").select(F.col("doc_id").alias("path"), "text")
+    ledger = secret_ledger.append(spark, f"{ensure_checkpoint_dir(spark)}/ledger-{uuid.uuid4().hex}", secret_ledger.scan(versions))
+    found = secret_ledger.findings(versions, ledger)
+    return found.select(
+        F.col("path").alias("doc_id"), *_counts(secret_ledger.BASE_KINDS),
+        F.sha2(_spans(F.col("spans"), secret_ledger.BASE_KINDS), 256).alias("base_sha256"), _spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.classify(narrow(table(spark, folder, "documents")), table(spark, folder, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -55,5 +82,9 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-QUERIES = {"op1_bpe": op1_bpe, "op5_toxicity": op5_toxicity, "op7_simhash": op7_simhash, "op8_contamination": op8_contamination, "op9_lines": op9_lines}
+def op10_piecewise(spark: SparkSession, folder: str) -> DataFrame:
+    return piecewise.with_next(table(spark, folder, "documents"))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op2_secrets": op2_secrets, "op5_toxicity": op5_toxicity, "op7_simhash": op7_simhash, "op8_contamination": op8_contamination, "op9_lines": op9_lines, "op10_piecewise": op10_piecewise}
 ORACLES: dict[str, str] = {"op9_lines": OP9_SQL}
