@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, contamination, lines, piecewise, secret_ledger, simhash, toxicity
+from ticketlake.llm import bpe, contamination, lines, pii, piecewise, secret_ledger, simhash, toxicity
 from ticketlake.llm.common import narrow, table
 from ticketlake.session import ensure_checkpoint_dir
 
@@ -43,6 +43,13 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(narrow(table(spark, folder, "documents")))
+    return found.select(
+        "row.doc_id", *_counts(pii.BASE_KINDS), F.sha2(_spans(F.col("spans"), pii.BASE_KINDS), 256).alias("base_sha256"), _spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = toxicity.classify(narrow(table(spark, folder, "documents")), table(spark, folder, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted")
@@ -86,5 +93,5 @@ def op10_piecewise(spark: SparkSession, folder: str) -> DataFrame:
     return piecewise.with_next(table(spark, folder, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_secrets": op2_secrets, "op5_toxicity": op5_toxicity, "op7_simhash": op7_simhash, "op8_contamination": op8_contamination, "op9_lines": op9_lines, "op10_piecewise": op10_piecewise}
+QUERIES = {"op1_bpe": op1_bpe, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op5_toxicity": op5_toxicity, "op7_simhash": op7_simhash, "op8_contamination": op8_contamination, "op9_lines": op9_lines, "op10_piecewise": op10_piecewise}
 ORACLES: dict[str, str] = {"op9_lines": OP9_SQL}
