@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, contamination, lines, pii, piecewise, secret_ledger, simhash, toxicity
+from ticketlake.llm import bpe, contamination, factors, lines, pii, piecewise, secret_ledger, simhash, suffix, toxicity
 from ticketlake.llm.common import narrow, table
 from ticketlake.session import ensure_checkpoint_dir
 
@@ -43,6 +43,11 @@ def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffix.drop_repeated_bytes(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(narrow(table(spark, folder, "documents")))
     return found.select(
@@ -55,6 +60,11 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op6_factors(spark: SparkSession, folder: str) -> DataFrame:
+    kept = factors.drop_repeated_words(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -93,5 +103,16 @@ def op10_piecewise(spark: SparkSession, folder: str) -> DataFrame:
     return piecewise.with_next(table(spark, folder, "documents"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op2_secrets": op2_secrets, "op4_pii": op4_pii, "op5_toxicity": op5_toxicity, "op7_simhash": op7_simhash, "op8_contamination": op8_contamination, "op9_lines": op9_lines, "op10_piecewise": op10_piecewise}
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op2_secrets": op2_secrets,
+    "op3_suffixes": op3_suffixes,
+    "op4_pii": op4_pii,
+    "op5_toxicity": op5_toxicity,
+    "op6_factors": op6_factors,
+    "op7_simhash": op7_simhash,
+    "op8_contamination": op8_contamination,
+    "op9_lines": op9_lines,
+    "op10_piecewise": op10_piecewise,
+}
 ORACLES: dict[str, str] = {"op9_lines": OP9_SQL}
