@@ -65,7 +65,7 @@ def _suffixes(line: np.ndarray, least: int) -> np.ndarray:
     rank, width = line.astype(np.int64), 1
     while width < WINDOW:  # ranks of twice the length from pairs of ranks
         following = np.zeros(len(line), np.int64)
-        following[: len(line) - width] = rank[width:]
+        following[: max(len(line) - width, 0)] = rank[width:]
         some = np.flatnonzero(rank)
         _, found = np.unique(rank[some] * (following.max() + 1) + following[some], return_inverse=True)
         rank = np.zeros(len(line), np.int64)
