@@ -32,6 +32,14 @@ def test_norm_text(spark):
     assert column(spark, T.norm_text) == [norm(v) for v in VALUES]
 
 
+def test_every_decomposition(spark):
+    """All characters of all planes whose decomposition keeps ASCII, in lots, and the two forms in one text."""
+    chars = [chr(c) for c in range(0x80, 0x110000) if unicodedata.decomposition(chr(c))]
+    lots = ["ⅫⅫ ㎏ ⅓ ạ 𝐀 Œ ㏂ ℡ ǆ"] + ["x" + "|".join(chars[k : k + 200]) for k in range(0, len(chars), 200)]
+    assert norm(lots[0]) == "XIIXII KG 13 A A A.M. TEL DZ"
+    assert column(spark, T.norm_text, lots) == [norm(v) for v in lots]
+
+
 def test_norm_identifier(spark):
     expected = [None if norm(v) is None else re.sub(r"\.0+$", "", norm(v)) for v in VALUES]
     assert column(spark, T.norm_identifier) == expected

@@ -109,7 +109,7 @@ RUNS_SQL = "r AS (SELECT CAST(user_id AS VARCHAR) AS run_id, max(ts) AS data_ini
     f"""
     WITH {RUNS_SQL}, u AS (SELECT run_id FROM r ORDER BY data_inicio DESC LIMIT 1)
     SELECT run_id, 'SUCCESS' AS status_execucao, ts AS timestamp_log, 'INFO' AS nivel, CAST(event_id AS VARCHAR) AS etapa, event_type AS status, event_id AS volume_processado, value AS tempo_etapa, CAST(NULL AS VARCHAR) AS erro
-    FROM events JOIN u ON run_id = CAST(user_id AS VARCHAR) ORDER BY ts, CAST(event_id AS VARCHAR) LIMIT 20
+    FROM events JOIN u ON run_id = CAST(user_id AS VARCHAR)
     """,
     stamps=("timestamp_log",),
 )

@@ -391,12 +391,12 @@ def channel_volume(spark, sf):
     f"""
     WITH m AS (SELECT * FROM tickets WHERE {SERVICE} AND {ENTRY_DAY} {PERIOD_DAYS})
     SELECT ticket_id, CAST(data_criacao AS DATE) AS data_criacao, CAST(data_resolucao AS DATE) AS data_resolucao, status, {ASSIGNEE} AS atribuido, {short(CHANNEL)} AS canal_normalizado,
-      tipo_manifestacao, classificacao_solicitacoes, formulario_ticket, (SELECT count(DISTINCT ticket_id) FROM m) AS total FROM m ORDER BY {ENTRY_DAY} DESC, ticket_id DESC LIMIT 200
+      tipo_manifestacao, classificacao_solicitacoes, formulario_ticket, (SELECT count(DISTINCT ticket_id) FROM m) AS total FROM m
     """,
     days=("data_criacao", "data_resolucao"),
 )
 def processed_listing(spark, sf):
-    return marts.processed_tickets_listing(tickets(spark, sf), "data_entrada", START, END, 500)
+    return marts.processed_tickets_listing(tickets(spark, sf), "data_entrada", START, END, None)
 
 
 def ws(c: str) -> str:

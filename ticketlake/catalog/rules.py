@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ticketlake.catalog.ingest import (
     ARCHIVE_SQL, CHANNEL_CLASS, GOVERNED_SQL, OVERRIDE_SQL, SUBJECTS_SQL,
 )
-from ticketlake.catalog.inputs import AT, SUBJECT_TIES, governed, hearings, raw_general, table, tickets, view
+from ticketlake.catalog.inputs import TABLES, AT, SUBJECT_TIES, governed, hearings, raw_general, table, tickets, view
 from ticketlake.catalog.registry import query
 from ticketlake.catalog.text import norm
 from ticketlake.operators import dedup, filters, quality, rules
@@ -226,12 +226,37 @@ def contract_issues(spark, sf):
 @query(
     "table_profile",
     """
-    SELECT 'events' AS tabela, (SELECT count(*) FROM events) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('event_id','bigint',1),('ts','timestamp_ntz',2),('user_id','bigint',3),('event_type','string',4),('value','double',5),('props','string',6)) v(coluna, tipo, posicao)
-    UNION ALL SELECT 'labels', (SELECT count(*) FROM labels), coluna, tipo, posicao FROM (VALUES ('doc_id','bigint',1),('quality','int',2),('toxic','int',3)) v(coluna, tipo, posicao)
+    SELECT 'region' AS tabela, (SELECT count(*) FROM region) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('r_regionkey','int',1), ('r_name','string',2)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'nation' AS tabela, (SELECT count(*) FROM nation) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('n_nationkey','int',1), ('n_name','string',2), ('n_regionkey','int',3)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'customer' AS tabela, (SELECT count(*) FROM customer) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('c_custkey','bigint',1), ('c_name','string',2), ('c_nationkey','int',3), ('c_acctbal','double',4), ('c_mktsegment','string',5)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'supplier' AS tabela, (SELECT count(*) FROM supplier) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('s_suppkey','bigint',1), ('s_name','string',2), ('s_nationkey','int',3), ('s_acctbal','double',4)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'part' AS tabela, (SELECT count(*) FROM part) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('p_partkey','bigint',1), ('p_name','string',2), ('p_brand','string',3), ('p_type','string',4), ('p_size','int',5), ('p_retailprice','double',6)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'orders' AS tabela, (SELECT count(*) FROM orders) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('o_orderkey','bigint',1), ('o_custkey','bigint',2), ('o_orderstatus','string',3), ('o_totalprice','double',4), ('o_orderdate','timestamp_ntz',5), ('o_orderpriority','string',6)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'lineitem' AS tabela, (SELECT count(*) FROM lineitem) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('l_orderkey','bigint',1), ('l_partkey','bigint',2), ('l_suppkey','bigint',3), ('l_linenumber','int',4), ('l_quantity','double',5), ('l_extendedprice','double',6), ('l_discount','double',7), ('l_tax','double',8), ('l_returnflag','string',9), ('l_linestatus','string',10), ('l_shipdate','timestamp_ntz',11)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'events' AS tabela, (SELECT count(*) FROM events) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('event_id','bigint',1), ('ts','timestamp_ntz',2), ('user_id','bigint',3), ('event_type','string',4), ('value','double',5), ('props','string',6)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'documents' AS tabela, (SELECT count(*) FROM documents) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('doc_id','bigint',1), ('text','string',2), ('lang','string',3), ('source','string',4), ('n_chars','bigint',5)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'embeddings' AS tabela, (SELECT count(*) FROM embeddings) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('vec_id','bigint',1), ('embedding','array<float>',2), ('label','int',3)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'pages' AS tabela, (SELECT count(*) FROM pages) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('page_id','bigint',1), ('url','string',2), ('html','string',3)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'benchmark' AS tabela, (SELECT count(*) FROM benchmark) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('item_id','bigint',1), ('text','string',2)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'labels' AS tabela, (SELECT count(*) FROM labels) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('doc_id','bigint',1), ('quality','int',2), ('toxic','int',3)) v(coluna, tipo, posicao)
+    UNION ALL
+    SELECT 'conversations' AS tabela, (SELECT count(*) FROM conversations) AS linhas, coluna, tipo, CAST(posicao AS INTEGER) AS posicao FROM (VALUES ('conv_id','bigint',1), ('turn','bigint',2), ('role','string',3), ('text','string',4)) v(coluna, tipo, posicao)
     """,
 )
 def table_profile(spark, sf):
-    return quality.table_profile({n: table(spark, sf, n) for n in ("events", "labels")})
+    return quality.table_profile({n: table(spark, sf, n) for n in TABLES})
 
 
 @query(

@@ -34,9 +34,14 @@ def tokens(s: str) -> str:
     return TOKENS.format(s=s)
 
 
-@query("norm_text", f"SELECT doc_id, {norm('text')} AS texto FROM documents")
+# Characters that decompose into one or several letters, in and beyond the basic plane, and their letters by hand.
+RARE, RARE_LETTERS = "ⅫⅫ ㎏ ⅓ ạ 𝐀 Œ ㏂ ℡ ǆ Ⓩ ﬃ ", "XIIXII kg 13 a A  a.m. TEL dz Z ffi "
+
+
+@query("norm_text", f"SELECT doc_id, {norm(f"CASE WHEN doc_id % 5 = 0 THEN '{RARE_LETTERS}' || text ELSE text END")} AS texto FROM documents")
 def norm_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.norm_text(F.col("text")).alias("texto"))
+    text = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit(RARE), "text")).otherwise(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", T.norm_text(text).alias("texto"))
 
 
 @query(

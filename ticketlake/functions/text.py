@@ -16,10 +16,8 @@ KEY_BLANK_MARKS = ("NAN", "NONE", "NULL", "")
 LEVEL_SEPARATOR = "::"
 TERRITORY_PREFIXES = (("40", "Bloco 4"), ("10", "Bloco 1"))
 
-# Characters of Latin text whose decomposition leaves several letters; rarer ones (enclosed letters)
-# are dropped with the other non-ASCII characters.
-LONG_FORMS = "¼½¾…№™ﬀﬁﬂﬃﬄ"
-LONG_FORM_CLASS = r"[\x{bc}-\x{be}\x{2026}-\x{2122}\x{fb00}-\x{fb04}]"
+# Code points beyond ASCII, all planes.
+BEYOND_ASCII = range(0x80, 0x110000)
 # Runs of ASCII white space, or a single one that is not a blank.
 ODD_SPACES = r"[\t-\r\x1c-\x20]{2,}|[\t-\r\x1c-\x1f]"
 
@@ -28,10 +26,10 @@ WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 @cache
-def _decompositions() -> tuple[str, str]:
-    """Characters of the basic plane whose compatibility decomposition leaves one ASCII character, and it."""
-    source, target = [], []
-    for code in range(0x80, 0x10000):
+def _decompositions() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """Characters whose compatibility decomposition leaves one ASCII character, and it; those that leave several, with them."""
+    source, target, longer = [], [], []
+    for code in BEYOND_ASCII:
         char = chr(code)
         if unicodedata.decomposition(char) == "":
             continue
@@ -39,7 +37,9 @@ def _decompositions() -> tuple[str, str]:
         if len(ascii_form) == 1:
             source.append(char)
             target.append(ascii_form)
-    return "".join(source), "".join(target)
+        elif ascii_form:
+            longer.append((char, ascii_form))
+    return "".join(source), "".join(target), tuple(longer)
 
 
 @cache
@@ -48,7 +48,7 @@ def _compositions() -> tuple[str, str, tuple[tuple[str, str], ...], tuple[tuple[
     single: list[tuple[str, str]] = []
     longer: list[tuple[str, str]] = []
     pairs: list[tuple[int, str, str]] = []
-    for code in range(0x80, 0x10000):
+    for code in BEYOND_ASCII:
         char = chr(code)
         parts = unicodedata.decomposition(char)
         if parts == "":
@@ -117,13 +117,15 @@ def is_ascii(c: Column) -> Column:
 
 
 def to_ascii(c: Column) -> Column:
-    """Compatibility-decompose and keep the ASCII part."""
-    expanded = c
-    for char in LONG_FORMS:
-        ascii_form = unicodedata.normalize("NFKD", char).encode("ascii", "ignore").decode("ascii")
-        expanded = F.replace(expanded, F.lit(char), F.lit(ascii_form))
-    expanded = F.when(c.rlike(LONG_FORM_CLASS), expanded).otherwise(c)
-    plain = F.regexp_replace(F.translate(expanded, *_decompositions()), r"[^\x00-\x7F]", "")
+    """Compatibility-decompose every character and keep the ASCII part."""
+    source, target, longer = _decompositions()
+    # Two text literals of one map, so that a plan does not carry an expression for every character.
+    known = F.map_from_arrays(*(F.split(F.lit("\x01".join(part)), "\x01") for part in zip(*longer, strict=True)))
+    near = _near_any_of(longer)
+    met = F.array_distinct(F.regexp_extract_all(c, F.lit(near), F.lit(0)))  # the few such characters of a text
+    replaced = F.aggregate(met, c, lambda acc, x: F.replace(acc, x, F.coalesce(F.element_at(known, x), x)))
+    expanded = F.when(c.rlike(near), replaced).otherwise(c)
+    plain = F.regexp_replace(F.translate(expanded, source, target), r"[^\x00-\x7F]", "")
     # Text that is ASCII already needs none of this.
     return F.when(is_ascii(c), c).otherwise(plain)
 

@@ -95,9 +95,11 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, profiles)
 
 
-def table_sample(df: DataFrame, limit: int = 20, cap: int = 200) -> DataFrame:
-    """A few rows to look at, never more than `cap`."""
-    return df.limit(max(1, min(limit, cap)))
+def table_sample(df: DataFrame, limit: int = 20) -> DataFrame:
+    """A few rows to look at."""
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    return df.limit(limit)
 
 
 def reconcile(bronze: DataFrame, gold: DataFrame, subjects: DataFrame) -> DataFrame:

@@ -42,7 +42,6 @@ SANITIZED_COLUMNS = (
     "case_id", "case_jec", "protocolo_referencia",
 )
 LISTING_DATES = ("data_resolucao", "data_criacao", "data_entrada")
-LISTING_CAP = 200
 
 
 def active_tickets(tickets: DataFrame) -> DataFrame:
@@ -164,24 +163,24 @@ def entry_day():
 
 
 def processed_tickets_listing(
-    tickets: DataFrame, date_field: str, start: date, end: date, limit: int = 50
+    tickets: DataFrame, date_field: str, start: date, end: date, limit: int | None = 50
 ) -> DataFrame:
     """Newest tickets of a period without personal data, and how many there are in all.
 
-    The listing is a top-k report: at most 200 rows, while `total` counts every match.
+    The listing is a top-k report of `limit` rows (None: all of them), while `total` counts every match.
     """
     if date_field not in LISTING_DATES:
         raise ValueError(f"date_field must be one of {LISTING_DATES}")
-    limit = max(1, min(limit, LISTING_CAP))
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1, or None for all rows")
     raw = (
         F.coalesce("data_entrada_reclamacao", "data_criacao") if date_field == "data_entrada" else F.col(date_field)
     )
     matching = tickets.filter(official("service") & in_days(raw, start, end))
     total = matching.select("ticket_id").distinct().agg(F.count(F.lit(1)).alias("total"))
+    newest = matching.withColumn("_dia", F.to_date(raw)).orderBy(F.desc("_dia"), F.desc("ticket_id"))
     top = (
-        matching.withColumn("_dia", F.to_date(raw))
-        .orderBy(F.desc("_dia"), F.desc("ticket_id"))
-        .limit(limit)
+        (newest if limit is None else newest.limit(limit))
         .select(
             "ticket_id",
             F.to_date("data_criacao").alias("data_criacao"),
@@ -196,8 +195,7 @@ def processed_tickets_listing(
             "formulario_ticket",
         )
     )
-    # One-row total on at most 200 rows.
-    return top.withColumn("_k", F.lit(1)).join(total.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    return top.crossJoin(F.broadcast(total))  # one row
 
 
 def semantic_marts(tickets: DataFrame, hearings: DataFrame, subjects: DataFrame) -> dict:

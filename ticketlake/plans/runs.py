@@ -65,17 +65,15 @@ class RunLog:
         return self.store.spark.read.schema(_ddl(STEPS)).parquet(f"{self.store.root}/etl_logs")
 
 
-def last_run(runs: DataFrame, steps: DataFrame, limit: int = 20, cap: int = 200) -> DataFrame:
-    """First steps of the latest run."""
+def last_run(runs: DataFrame, steps: DataFrame, limit: int | None = None) -> DataFrame:
+    """Steps of the latest run in order; the first `limit` of them, or all."""
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1, or None for all steps")
     latest = runs.orderBy(
         F.coalesce("data_inicio", "data_execucao").desc(), F.desc("data_execucao")
     ).limit(1).select("run_id", F.col("status").alias("status_execucao"))
-    return (
-        steps.join(F.broadcast(latest), "run_id")  # one row
-        .orderBy("timestamp_log", "etapa")
-        .limit(max(1, min(limit, cap)))
-        .select(
-            "run_id", "status_execucao", "timestamp_log", "nivel", "etapa", "status", "volume_processado",
-            "tempo_etapa", "erro",
-        )
+    found = steps.join(F.broadcast(latest), "run_id").orderBy("timestamp_log", "etapa")  # one row
+    return (found if limit is None else found.limit(limit)).select(
+        "run_id", "status_execucao", "timestamp_log", "nivel", "etapa", "status", "volume_processado",
+        "tempo_etapa", "erro",
     )
