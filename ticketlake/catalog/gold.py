@@ -14,7 +14,7 @@ from ticketlake.plans.batch import Rules, build_gold, build_silver
 from ticketlake.plans.runs import last_run as latest_steps
 from ticketlake.schemas import GOLD, HISTORY, HISTORY_COLUMNS, TICKETS
 
-LATER = datetime(1998, 9, 9, 6, 30, 0)
+LATER = datetime(1998, 4, 21, 6, 30, 0)
 
 
 @query(

@@ -203,7 +203,7 @@ def append_total(spark, sf):
 
 
 # ---- daily: Tuesday after a Monday holiday --------------------------------------------------------------
-DAY, FRIDAY, IDLE = "DATE '1998-09-04'", "DATE '1998-09-11'", "BETWEEN DATE '1998-09-05' AND DATE '1998-09-07'"
+DAY, FRIDAY, IDLE = "DATE '1998-04-17'", "DATE '1998-04-24'", "BETWEEN DATE '1998-04-18' AND DATE '1998-04-19'"
 IN_WEEK = f"{EFFECTIVE} BETWEEN DATE '{TODAY}' AND {FRIDAY}"
 DAILY_SQL = f"""
     {HELD_SQL}, base AS (
@@ -311,7 +311,7 @@ def exception_movements(spark, sf):
 
 
 # ---- weekly -----------------------------------------------------------------------------------------------
-WEEK_DAYS = "BETWEEN DATE '1998-08-31' AND DATE '1998-09-04'"
+WEEK_DAYS = "BETWEEN DATE '1998-04-13' AND DATE '1998-04-17'"
 RESOLVED_DAY = "CAST(data_resolucao AS DATE)"
 WEEKLY_WHERE = f"{DAILY} AND {RESOLVED_DAY} {WEEK_DAYS}"
 
@@ -331,7 +331,7 @@ def weekly_base(spark, sf):
     )
 
 
-@query("weekly_total", f"SELECT DATE '1998-08-31' AS data_referencia_semana, count(DISTINCT ticket_id) AS qtde_tickets_resolvidos FROM tickets WHERE {WEEKLY_WHERE}", days=("data_referencia_semana",))
+@query("weekly_total", f"SELECT DATE '1998-04-13' AS data_referencia_semana, count(DISTINCT ticket_id) AS qtde_tickets_resolvidos FROM tickets WHERE {WEEKLY_WHERE}", days=("data_referencia_semana",))
 def weekly_total(spark, sf):
     return weekly.weekly_total(_weekly(spark, sf), TODAY)
 
@@ -340,8 +340,8 @@ def weekly_total(spark, sf):
     "weekly_by_day",
     f"""
     WITH c AS (SELECT {RESOLVED_DAY} AS d, count(DISTINCT ticket_id) AS n FROM tickets WHERE {WEEKLY_WHERE} GROUP BY 1)
-    SELECT DATE '1998-08-31' AS data_referencia_semana, s.d AS data_resolucao, nome AS dia_semana, coalesce(n, 0) AS qtde_tickets_resolvidos
-    FROM (VALUES (DATE '1998-08-31', 'Segunda-feira'), (DATE '1998-09-01', 'Terça-feira'), (DATE '1998-09-02', 'Quarta-feira'), (DATE '1998-09-03', 'Quinta-feira'), (DATE '1998-09-04', 'Sexta-feira')) s(d, nome) LEFT JOIN c ON c.d = s.d
+    SELECT DATE '1998-04-13' AS data_referencia_semana, s.d AS data_resolucao, nome AS dia_semana, coalesce(n, 0) AS qtde_tickets_resolvidos
+    FROM (VALUES (DATE '1998-04-13', 'Segunda-feira'), (DATE '1998-04-14', 'Terça-feira'), (DATE '1998-04-15', 'Quarta-feira'), (DATE '1998-04-16', 'Quinta-feira'), (DATE '1998-04-17', 'Sexta-feira')) s(d, nome) LEFT JOIN c ON c.d = s.d
     """,
     days=("data_referencia_semana", "data_resolucao"),
 )

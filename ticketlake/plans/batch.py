@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.functions.dates import report_window
-from ticketlake.operators.bounded import broadcast_if_small
 from ticketlake.operators.dedup import (
     attach_subject_metrics, dedup_latest, distinct_cases, distinct_customers, ticket_subjects,
 )
@@ -83,7 +82,7 @@ def build_silver(
     Requests and notices are materialised once after deduplication: five consumers read them.
     """
     silver = Silver()
-    governed = broadcast_if_small(rules.governed)
+    governed = rules.governed
     latest = ["arquivo_mtime", "row_seq"]
     general = raw.get("zendesk_geral")
     if general is not None:
@@ -131,7 +130,7 @@ def build_gold(
     silver: Silver, stored: Mapping[str, DataFrame], rules: Rules, run_id: str, at: datetime
 ) -> dict[str, DataFrame]:
     """Stored tables after the run, from the stored tables before it."""
-    governed = broadcast_if_small(rules.governed)
+    governed = rules.governed
     gold = dict(stored)
 
     def put(name: str, df: DataFrame) -> None:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ticketlake.functions.dates import day_of, in_days
 from ticketlake.functions.text import label_or, last_segment, upper_trim
-from ticketlake.operators.bounded import broadcast_if_small
 from ticketlake.operators.filters import DONE_STATUSES, official
 from ticketlake.plans.reports import hearing_day
 
@@ -65,17 +64,16 @@ def daily_base(tickets: DataFrame, hearings: DataFrame, window: dict[str, Any])
     """Tickets created or resolved on the previous working day, or with a hearing from today to Friday.
 
     Both tables are cut to one day or week by scan filters before they meet, so the joins are between
-    small sets; they are only broadcast after a size check.
+    small sets; whether one is broadcast is decided at run time, by its measured size.
     """
     today, day, friday = window["today"], window["business_day"], window["week_end"]
     moment = F.coalesce("data_reagendamento", "data_audiencia")
-    due = broadcast_if_small(hearings.filter(in_days(moment, today, friday)).select("ticket_id"))
+    due = hearings.filter(in_days(moment, today, friday)).select("ticket_id")
     moved = in_days(F.col("data_criacao"), day, day) | in_days(F.col("data_resolucao"), day, day)
     counted = tickets.filter(official("daily")).select(*TICKET_SIDE, "atribuido", "tipo_solicitacao", "titulo")
     moved = F.coalesce(moved, F.lit(False))
     chosen = counted.filter(moved).unionByName(counted.filter(~moved).join(due, "ticket_id", "left_semi"))
-    wanted = broadcast_if_small(chosen.select("ticket_id"))
-    theirs = hearings.select("ticket_id", *HEARING_SIDE).join(wanted, "ticket_id", "left_semi")
+    theirs = hearings.select("ticket_id", *HEARING_SIDE).join(chosen.select("ticket_id"), "ticket_id", "left_semi")
     return chosen.join(theirs, "ticket_id", "left").select(*_columns(window))
 
 
