@@ -21,11 +21,6 @@ def ident(c: str) -> str:
     return f"regexp_replace({norm(c)}, '\\.0+$', '')"
 
 
-@query("source_files")
-def source_files(spark, sf):
-    return files.discover_sources(spark, sf, ("ORDERS", "line", "Events", "documents")).select("arquivo", "bytes")
-
-
 @query(
     "bronze_union",
     """

@@ -209,6 +209,8 @@ def with_views(body: str) -> str:
     if not ctes:
         return body
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(ctes) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(ctes) + ",\n" + body[5:]
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -180,12 +180,63 @@ def link_candidates_dense(spark, sf):
     return linking.link_candidates(*dense_sides(spark, sf))
 
 
-@query("link_tickets")
+# Check by another route: the k-th request of every account at once, with the list of notices used so far. `by_hand` names
+# (request, notice or nothing); a notice taken by hand is gone from the turn of the first request that takes it.
+NO_HAND = "by_hand AS (SELECT CAST(NULL AS BIGINT) AS pedido, CAST(NULL AS BIGINT) AS alvo, false AS vale WHERE false)"
+BY_HAND = """by_hand AS (SELECT ticket_id AS pedido, CASE WHEN ticket_id % 194 = 0 THEN ticket_id + 1 ELSE -ticket_id END AS alvo,
+      CASE WHEN ticket_id % 194 = 0 THEN ticket_id + 1 ELSE -ticket_id END IN (SELECT ticket_id FROM n) AS vale FROM s WHERE ticket_id % 97 = 0)"""
+
+
+def link_sql(sides: str, by_hand: str = NO_HAND) -> str:
+    def options(key: str) -> str:
+        return (
+            f"coalesce((SELECT list(n.ticket_id ORDER BY n.data_criacao, n.ticket_id) FROM n LEFT JOIN gone g ON g.alvo = n.ticket_id WHERE n.matricula = q.matricula AND trim(n.{key}) <> '' AND n.{key} = q.{key}"
+            " AND n.data_criacao BETWEEN q.data_criacao - INTERVAL 7 DAY AND q.data_criacao AND (g.alvo IS NULL OR (q.data_criacao, q.ticket_id) < (g.vez, g.pedido))), CAST([] AS BIGINT[]))"
+        )
+
+    return f"""
+    WITH RECURSIVE {sides}, {by_hand},
+    gone AS (SELECT alvo, min(vez).vez AS vez, min(vez).pedido AS pedido FROM (SELECT alvo, {{'vez': data_criacao, 'pedido': pedido}} AS vez FROM by_hand JOIN s ON ticket_id = pedido WHERE vale AND data_criacao IS NOT NULL) GROUP BY alvo),
+    r AS (
+      SELECT ticket_id, matricula, row_number() OVER (PARTITION BY matricula ORDER BY data_criacao, ticket_id) AS k, {options("protocolo_referencia")} AS primeiros, {options("assunto_normalizado")} AS segundos
+      FROM s q WHERE trim(matricula) <> '' AND data_criacao IS NOT NULL AND ticket_id NOT IN (SELECT pedido FROM by_hand)
+    ),
+    walk AS (
+      SELECT DISTINCT matricula, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS used, CAST(NULL AS BIGINT) AS ticket_id, CAST(NULL AS INTEGER) AS regra, CAST([] AS BIGINT[]) AS livres FROM r
+      UNION ALL
+      SELECT matricula, k, CASE WHEN len(livres) = 1 THEN list_append(used, livres[1]) ELSE used END, ticket_id, regra, livres
+      FROM (
+        SELECT matricula, k, used, ticket_id, CASE WHEN len(p) > 0 THEN 0 WHEN len(q) > 0 THEN 1 END AS regra, CASE WHEN len(p) > 0 THEN p ELSE q END AS livres
+        FROM (SELECT w.matricula, r.k, w.used, r.ticket_id, list_filter(r.primeiros, lambda x: NOT list_contains(w.used, x)) AS p, list_filter(r.segundos, lambda x: NOT list_contains(w.used, x)) AS q FROM walk w JOIN r ON r.matricula = w.matricula AND r.k = w.k + 1)
+      )
+    ),
+    l AS (
+      SELECT s.ticket_id AS ticket_solicitacao_id, h.pedido IS NOT NULL AS mao, coalesce(h.vale, false) AS vale, w.regra,
+        CASE WHEN vale THEN h.alvo WHEN NOT mao AND len(livres) = 1 THEN livres[1] END AS ticket_notificacao_id, coalesce(len(livres), 0) AS achados, livres, s.data_criacao AS criada
+      FROM s LEFT JOIN by_hand h ON h.pedido = s.ticket_id LEFT JOIN walk w ON w.ticket_id = s.ticket_id
+    )
+    SELECT ticket_solicitacao_id, ticket_notificacao_id,
+      CASE WHEN vale THEN 'MANUAL' WHEN mao OR achados = 0 THEN 'SEM_VINCULO' WHEN achados = 1 THEN 'VINCULADO' ELSE 'AMBIGUO' END AS status_vinculo,
+      CASE WHEN vale THEN 'manual' WHEN mao THEN 'manual_invalido' WHEN regra = 0 THEN 'matricula_protocolo' WHEN regra = 1 THEN 'titulo_normalizado' END AS criterio_vinculo,
+      CAST(CASE WHEN vale THEN 1.0 WHEN mao THEN 0.0 WHEN regra = 0 THEN 0.95 WHEN regra = 1 THEN 0.85 END AS DOUBLE) AS confianca_vinculo,
+      criada AS data_entrada_reclamacao, criada AS data_criacao_solicitacao, n.data_criacao AS data_criacao_notificacao,
+      CAST(date_diff('day', CAST(n.data_criacao AS DATE), CAST(criada AS DATE)) AS INTEGER) AS dias_defasagem_abertura,
+      CAST(CASE WHEN vale THEN 1 WHEN mao THEN 0 ELSE achados END AS BIGINT) AS quantidade_candidatos,
+      CASE WHEN vale THEN 'a pedido' WHEN mao THEN 'Vinculo manual aponta para ticket de notificacao inexistente na base carregada.' WHEN achados > 1 THEN 'Candidatos encontrados para analise manual: ' || array_to_string(livres[1:10], ', ')
+        WHEN achados = 0 THEN 'Nenhum criterio automatico encontrou notificacao correspondente.' END AS observacao
+    FROM l LEFT JOIN n ON n.ticket_id = ticket_notificacao_id
+    """
+
+
+LINK_STAMPS = ("data_entrada_reclamacao", "data_criacao_solicitacao", "data_criacao_notificacao")
+
+
+@query("link_tickets", link_sql(LINK_SQL.strip()), stamps=LINK_STAMPS)
 def link_tickets(spark, sf):
     return linking.link_tickets(*link_sides(spark, sf))
 
 
-@query("link_tickets_dense")
+@query("link_tickets_dense", link_sql(DENSE_SQL), stamps=LINK_STAMPS)
 def link_tickets_dense(spark, sf):
     return linking.link_tickets(*dense_sides(spark, sf))
 
@@ -201,7 +252,16 @@ def manual_links(requests: DataFrame) -> DataFrame:
     )
 
 
-@query("link_status_counts")
+@query("link_tickets_manual", link_sql(LINK_SQL.strip(), BY_HAND), stamps=LINK_STAMPS)
+def link_tickets_manual(spark, sf):
+    requests, notices = link_sides(spark, sf)
+    return linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)))
+
+
+@query(
+    "link_status_counts",
+    f"SELECT status_vinculo, criterio_vinculo, count(*) AS qtde, CAST(sum(quantidade_candidatos) AS BIGINT) AS candidatos FROM ({link_sql(LINK_SQL.strip(), BY_HAND)}) GROUP BY ALL",
+)
 def link_status_counts(spark, sf):
     requests, notices = link_sides(spark, sf)
     links = linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)))
