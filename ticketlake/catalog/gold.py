@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ticketlake.catalog.ingest import transform_sql
 from ticketlake.catalog.inputs import AT, TODAY, governed, hearings, raw_general, table, tickets, view
 from ticketlake.catalog.orders import feed, manual_links
 from ticketlake.catalog.registry import query
@@ -142,7 +143,25 @@ def step_log(spark, sf):
     )
 
 
-@query("batch_counts")
+def _brought_sql(kind: str) -> str:
+    return f"({transform_sql(kind)} SELECT ticket_id, matricula, coalesce(protocolo_agenersa, CAST(ticket_id AS VARCHAR)) AS case_id, auto OR exc = 1 AS marcado FROM c WHERE formulario_ticket IS NOT NULL)"
+
+
+@query(
+    "batch_counts",
+    f"""
+    WITH r AS {_brought_sql("solicitacao")}, n AS {_brought_sql("notificacao")}, ambos AS (SELECT * FROM r UNION ALL SELECT * FROM n),
+    fora AS (SELECT ticket_id FROM governed WHERE regra = 'REMOVIDO')
+    SELECT 'clientes' AS tabela, count(DISTINCT matricula) AS linhas FROM ambos
+    UNION ALL SELECT 'cases', count(DISTINCT case_id) FROM ambos
+    UNION ALL SELECT unnest(['tickets', 'ticket_assunto', 'ticket_relacionamentos', 'tickets_historico']), (SELECT count(DISTINCT ticket_id) FROM r)
+    UNION ALL SELECT 'tickets_notificacao', count(DISTINCT ticket_id) FROM n
+    UNION ALL SELECT 'tickets_n1', count(*) FROM tickets WHERE formulario_ticket IS NOT NULL AND ticket_id % 101 <> 0 AND ticket_id NOT IN (SELECT ticket_id FROM fora)
+    UNION ALL SELECT 'ticket_vinculos_manuais', 0
+    UNION ALL SELECT unnest(['tickets_auditoria_classificacao', 'tickets_auditoria_operacional']), (SELECT count(*) FROM r WHERE marcado)
+    UNION ALL SELECT 'audiencias', count(*) FROM hearings WHERE ticket_id IN (SELECT ticket_id FROM r) AND ticket_audiencia_id NOT IN (SELECT ticket_id FROM fora)
+    """,
+)
 def batch_counts(spark, sf):
     """Rows of every stored table after one whole batch over all tickets, hearings and work orders."""
     raw = raw_general(spark, sf).filter(F.col("`Formulário de ticket`").isNotNull())
