@@ -29,6 +29,8 @@ from ticketlake.llm.common import _BYTE_VALUES, blocks, cut_lineage, mixed, pref
 
 #: Distinct contexts of one anchor beyond which its windows are spread; units that a resolver takes at once.
 MANY, SHARD_UNITS = 1_000, 400_000
+#: Bytes of text at once: arrays of 64 bits for each unit take some twenty times as much.
+_BLOCK = 600_000
 _SECOND = 0xC2B2AE3D27D4EB4F
 _PLACE_BITS = np.uint64(28)
 NOT_BLANK = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
@@ -94,7 +96,7 @@ def _anchor_rows(docs: DataFrame, kind: Windows, places: bool) -> DataFrame:
     """h, c and, with `places`, doc_id and spot (mark, first window and number of windows less one, packed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches):
+        for part in blocks(batches, limit=_BLOCK):
             units, at = kind.units(part)
             h, c, text, start, number = contexts(units, at, kind)
             columns = [pa.array(h.view(np.int64)), pa.array(c.view(np.int64))]
@@ -154,7 +156,7 @@ def _fetch(docs: DataFrame, chosen: DataFrame, kind: Windows) -> DataFrame:
     names = ["h", "many", "open", "doc_id", "spot", "units"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in blocks(batches):
+        for part in blocks(batches, limit=_BLOCK):
             part = part.filter(part.column("spots").is_valid())
             if not part.num_rows:
                 continue
