@@ -28,37 +28,68 @@ def suffix_order(units: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     """Suffix array and line (units + 1, with an end after each text: 0, but ends differ) of some texts."""
     texts = len(at) - 1
     line = np.zeros(len(units) + texts, np.int64)
-    place = np.arange(len(units)) + np.repeat(np.arange(texts), np.diff(at))
-    line[place] = units.astype(np.int64) + 1
-    ends = np.flatnonzero(line == 0)
-    rank = line + texts
-    rank[ends] = np.arange(texts)
-    rank = _lesser(rank)
-    width, open_ = 1, np.arange(len(line))
-    while len(open_):  # ranks by prefixes of twice the width; suffixes whose rank is theirs alone are settled
-        following = np.zeros(len(open_), np.int64)
-        inside = open_ + width < len(line)
-        following[inside] = rank[open_[inside] + width] + 1
-        order = np.lexsort((following, rank[open_]))
-        r, f = rank[open_][order], following[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (r[1:] != r[:-1]) | (f[1:] != f[:-1])
-        group = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-        begin = np.repeat(group, np.diff(np.append(group, len(r))))  # where the old rank begins
-        first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-        rank[open_[order]] = r + first - begin
-        alone = new & np.append(new[1:], True)
-        open_ = open_[order[~alone]]
+    line[np.arange(len(units)) + np.repeat(np.arange(texts), np.diff(at))] = units.astype(np.int64) + 1
+    size = len(line)
+    # the first symbols of a suffix up to its end, packed; suffixes that end among them differ, in the order of the texts
+    bits = max(1, int(line.max(initial=0)).bit_length())
+    width = min(max(1, 62 // bits), 16)
+    key, ended = line.copy(), line == 0
+    for k in range(1, min(width, size)):
+        key <<= bits
+        shifted = np.where(ended[: size - k], 0, line[k:])
+        key[: size - k] |= shifted
+        ended[: size - k] |= line[k:] == 0
+    order = np.argsort(key, kind="stable")
+    sorted_key = key[order]
+    new = np.ones(size, bool)
+    new[1:] = (sorted_key[1:] != sorted_key[:-1]) | ended[order[1:]]
+    first = np.maximum.accumulate(np.where(new, np.arange(size), 0))
+    rank = np.empty(size, np.int64)
+    rank[order] = first  # how many suffixes are less by this prefix
+    open_ = order[~(new & np.append(new[1:], True))]
+    while len(open_):  # twice the prefix from two ranks; suffixes whose rank is theirs alone are settled
+        pair = rank[open_] * (size + 1) + rank[np.minimum(open_ + width, size - 1)] + 1
+        order = np.argsort(pair)
+        open_, pair = open_[order], pair[order]
+        old = pair // (size + 1)
+        new = np.ones(len(open_), bool)
+        new[1:] = pair[1:] != pair[:-1]
+        places = np.arange(len(open_))
+        begin = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), places, 0))
+        rank[open_] = old + np.maximum.accumulate(np.where(new, places, 0)) - begin
+        open_ = open_[~(new & np.append(new[1:], True))]
         width *= 2
-    suffixes = np.empty(len(line), np.int64)
-    suffixes[rank] = np.arange(len(line))
+    suffixes = np.empty(size, np.int64)
+    suffixes[rank] = np.arange(size)
     return suffixes, line
 
 
-def _lesser(values: np.ndarray) -> np.ndarray:
-    """How many values are less than each."""
-    _, number, counts = np.unique(values, return_inverse=True, return_counts=True)
-    return (np.cumsum(counts) - counts)[number]
+#: (interval, symbol) pairs up to which a table, not a sort, finds their first and last places.
+_TABLE = 1 << 22
+
+
+def _extended(low: np.ndarray, high: np.ndarray, before: np.ndarray, back: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each interval extended by each symbol before its suffixes: from where its first such suffix maps to its last."""
+    single = high - low == 1
+    one = low[single]
+    one = one[before[one] > 0]
+    low, high = low[~single], high[~single]
+    sizes = high - low
+    places = segments(low, sizes)
+    symbols = before[places]
+    pairs = np.repeat(np.arange(len(low)), sizes) * most + symbols
+    pairs, places = pairs[symbols > 0], places[symbols > 0]
+    if len(low) * most <= _TABLE:
+        first, last = np.full(len(low) * most, -1), np.empty(len(low) * most, np.int64)
+        first[pairs[::-1]] = places[::-1]
+        last[pairs] = places
+        met = np.flatnonzero(first >= 0)
+        first, last = first[met], last[met]
+    else:
+        order = np.argsort(pairs, kind="stable")
+        new = np.append(True, pairs[order[1:]] != pairs[order[:-1]]) if len(order) else np.zeros(0, bool)
+        first, last = places[order[new]], places[order[np.append(new[1:], True)[: len(new)]]]
+    return np.concatenate([back[one], back[first]]), np.concatenate([back[one], back[last]]) + 1
 
 
 def long_prefixes(suffixes: np.ndarray, line: np.ndarray, least: int) -> np.ndarray:
@@ -67,28 +98,21 @@ def long_prefixes(suffixes: np.ndarray, line: np.ndarray, least: int) -> np.ndar
     before = line[suffixes - 1]  # the transform; the line starts after an end, as it closes with one
     counts = np.bincount(line)
     begins = np.cumsum(counts) - counts
-    symbols = np.flatnonzero(counts)
-    occurrences = np.sort(before * size + np.arange(size))  # by symbol, then place: rank queries by binary search
+    back = np.empty(size, np.int64)  # the place of each suffix with the symbol before it
+    back[np.argsort(before, kind="stable")] = np.arange(size)
     unknown = np.ones(size + 1, bool)
-    low = begins[symbols[symbols > 0]]
-    high = low + counts[symbols[symbols > 0]]
+    symbols = np.flatnonzero(counts)
     ends = np.arange(counts[0])  # each an interval of its own, as ends differ
-    low, high = np.concatenate([ends, low]), np.concatenate([ends + 1, high])
+    low = np.concatenate([ends, begins[symbols[symbols > 0]]])
+    high = np.concatenate([ends + 1, begins[symbols[symbols > 0]] + counts[symbols[symbols > 0]]])
     unknown[low] = False
     unknown[high] = False
     for _ in range(1, least):
         if not len(low):
             break
-        # every byte that stands before a suffix of an interval, once for each interval
-        sizes = high - low
-        of = np.repeat(np.arange(len(low)), sizes)
-        pairs = np.unique(of * 512 + before[segments(low, sizes)])
-        of, symbol = pairs >> 9, pairs & 511
-        of, symbol = of[symbol > 0], symbol[symbol > 0]
-        new_low = np.searchsorted(occurrences, symbol * size + low[of])
-        new_high = np.searchsorted(occurrences, symbol * size + high[of])
-        fresh = unknown[new_high]
-        low, high = new_low[fresh], new_high[fresh]
+        low, high = _extended(low, high, before, back, len(counts))
+        fresh = unknown[high]
+        low, high = low[fresh], high[fresh]
         unknown[high] = False
     return unknown[:size]
 
