@@ -1,14 +1,19 @@
 """The whole batch on a small raw feed, twice, and the shape of key plans."""
 
+import os
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from ticketlake.catalog import QUERIES, inputs
+from ticketlake.operators.dedup import dedup_latest
 from ticketlake.operators.quality import ContractError
 from ticketlake.plans.batch import Rules, run_batch
-from ticketlake.sources.tables import TableStore
+from ticketlake.schemas import GOLD
+from ticketlake.sources.canonical import conform
+from ticketlake.sources.files import with_lineage
+from ticketlake.sources.tables import TableStore, stamp_order
 
 SF = "/root/testdata/sf0.001"
 TODAY, AT = date(2024, 3, 5), datetime(2024, 3, 5, 6)
@@ -63,6 +68,35 @@ def test_run_batch(spark, tmp_path):
     assert len(runs) == 2 and {r["status"] for r in runs} == {"PARTIAL"}
 
 
+def test_saved_manual_link_changes_the_outcome(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path / "gold"))
+    rules = Rules(spark.createDataFrame([(9, "REMOVIDO")], "ticket_id bigint, regra string"))
+    saved = spark.createDataFrame(
+        [(3, 2, "visto", AT), (1, 77, "engano", AT)],
+        "ticket_solicitacao_id bigint, ticket_notificacao_id bigint, justificativa string, atualizado_em timestamp_ntz",
+    )
+    schema = GOLD["ticket_vinculos_manuais"][0]
+    store.replace(conform(saved, schema), "ticket_vinculos_manuais")
+    run_batch(store, feeds(spark), rules, str(tmp_path / "out"), TODAY, AT)
+    links = {r["ticket_id"]: (r["ticket_notificacao_id"], r["status_vinculo"], r["criterio_vinculo"]) for r in store.read("tickets").collect()}
+    assert links == {3: (2, "MANUAL", "manual"), 1: (None, "SEM_VINCULO", "manual_invalido")}
+
+
+def test_ties_of_files_follow_name_and_position(spark, tmp_path):
+    """Two files of one time, the rows of each in reverse: the last row of the last file stays."""
+    for name, value in (("a", "old"), ("b", "new")):
+        rows = [(k, f"{value}{n}") for n in range(3) for k in range(50)]
+        folder = tmp_path / name
+        spark.createDataFrame(rows, "id int, v string").coalesce(1).write.parquet(str(folder))
+        part = next(folder.glob("part-*.parquet"))
+        part.rename(tmp_path / f"{name}.parquet")
+        os.utime(tmp_path / f"{name}.parquet", (1_700_000_000, 1_700_000_000))
+    read = with_lineage(spark.read.parquet(str(tmp_path / "a.parquet"), str(tmp_path / "b.parquet")), "x")
+    shuffled = stamp_order(read).repartition(7, F.rand(1))
+    kept = dedup_latest(shuffled, ["id"], ["arquivo_mtime", "row_seq"])
+    assert {(r.id, r.v) for r in kept.collect()} == {(k, "new2") for k in range(50)}
+
+
 def test_broken_contract_fails_the_run(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     raw = {**feeds(spark), "zendesk_geral": frame(spark, GENERAL, HEADERS).drop("Status do ticket")}

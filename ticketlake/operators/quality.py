@@ -13,6 +13,7 @@ from ticketlake.schemas import CONTRACTS, Contract
 from ticketlake.sources.canonical import headers_by_name, quoted
 
 MISSING_COLUMNS, MISSING_DATA = "MISSING_REQUIRED_COLUMNS", "MISSING_CRITICAL_DATA"
+# Columns and labels of the output.
 MESSAGES = {
     MISSING_COLUMNS: "Colunas obrigatorias ausentes na fonte.",
     MISSING_DATA: "Nao ha dados preenchidos para um grupo critico do contrato.",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -95,14 +95,10 @@ def build_silver(
         assert_disjoint(requests, notices)
     if raw.get("zendesk_n1") is not None:
         n1 = _ordered(raw["zendesk_n1"])
-        silver.n1 = dedup_latest(
-            transform_n1(n1, governed).withColumn("row_seq", F.monotonically_increasing_id()), ["ticket_id"], latest
-        ).drop("row_seq")
+        silver.n1 = dedup_latest(transform_n1(n1, governed), ["ticket_id"], latest).drop("row_seq")
     if raw.get("audiencias") is not None:
         hearings = transform_hearings(_ordered(raw["audiencias"]), governed)
-        silver.hearings = dedup_latest(
-            hearings.withColumn("row_seq", F.monotonically_increasing_id()), ["ticket_id"], latest
-        ).drop("row_seq")
+        silver.hearings = dedup_latest(hearings, ["ticket_id"], latest).drop("row_seq")
     if general is None:
         return silver
 
@@ -166,6 +162,12 @@ def build_gold(
     return gold
 
 
+def _all_manual(given: DataFrame | None, saved: DataFrame) -> DataFrame:
+    """Manual links handed to the run and those that analysts saved; `load_manual` keeps the latest of a request."""
+    wanted = ("ticket_solicitacao_id", "ticket_notificacao_id", "justificativa", "atualizado_em")
+    return saved.select(*wanted) if given is None else saved.select(*wanted).unionByName(given.select(*wanted))
+
+
 def write_outputs(store: TableStore, folder: str, today: date, log: RunLog) -> list[str]:
     """Reports and extracts; a failing one is logged and the others go on."""
     failures: list[str] = []
@@ -238,13 +240,14 @@ def run_batch(
             log.finish("PARTIAL", 0, 0, "no source")
             return "PARTIAL"
         clock = time.perf_counter()
+        stored = {name: store.read_or_empty(name, schema) for name, (schema, _) in GOLD.items()}
+        rules = replace(rules, manual=_all_manual(rules.manual, stored["ticket_vinculos_manuais"]))
         silver = build_silver(raw, rules, today, at)
         for name, df in silver.datasets().items():
             store.replace(df, f"silver_{name}")
         log.step("save_silver", seconds=time.perf_counter() - clock)
 
         clock = time.perf_counter()
-        stored = {name: store.read_or_empty(name, schema) for name, (schema, _) in GOLD.items()}
         gold = build_gold(silver, stored, rules, log.run_id, at)
         staged = {name: store.stage(df, name) for name, df in gold.items()}
         store.publish(staged)

@@ -12,6 +12,7 @@ from ticketlake.functions.dates import CALENDAR_MONTH_NAMES, WEEKDAY_NAMES, name
 from ticketlake.functions.text import last_segment
 from ticketlake.operators.filters import BI_DONE_STATUSES, BI_OPEN_STATUSES, official
 
+# Columns and labels of the output.
 FACT_TICKET = (
     "status", "atribuido", "titulo", "assunto", "tipo_solicitacao", "tipo_manifestacao", "resultado_tratativa",
     "protocolo_procon", "protocolo_defensoria", "protocolo_codecon", "case_jec", "formulario_ticket",

@@ -12,6 +12,7 @@ from ticketlake.functions.dates import MONTH_NAMES, day_of, in_days, name_from
 from ticketlake.functions.text import clean_subject, clean_ws, collapse_spaces, first_nonblank, label_or, last_segment
 from ticketlake.operators.filters import not_archived, official
 
+# Columns and labels of the output.
 FACT_COLUMNS = (
     "ticket_id", "case_id", "matricula", "bloco", "numero_os", "data_criacao", "data_resolucao", "status",
     "atribuido", "titulo", "assunto", "tipo_solicitacao", "tipo_manifestacao", "resultado_tratativa",
@@ -20,10 +21,12 @@ FACT_COLUMNS = (
     "flag_multiplos_assuntos", "ticket_notificacao_id", "status_vinculo", "data_inicio_vigencia",
     "data_fim_vigencia", "flag_ativo",
 )
+# Columns and labels of the output.
 HEARING_FACT_COLUMNS = (
     "ticket_id", "ticket_audiencia_id", "ticket_relacionado_id", "audiencia", "data_audiencia", "status_ticket",
     "preposto_id", "preposto", "local_procon", "tipo_audiencia", "atribuido", "data_reagendamento",
 )
+# Columns and labels of the output.
 AI_TEXT = {
     "titulo": "titulo", "assunto": "assunto", "canal_semantico": "tipo_solicitacao",
     "tipo_manifestacao": "tipo_manifestacao", "resultado_tratativa": "resultado_tratativa",
@@ -31,6 +34,7 @@ AI_TEXT = {
     "classificacao_notificacoes": "classificacao_notificacoes", "grupo_tickets": "grupo_tickets",
     "municipio": "municipio", "bairro": "bairro", "endereco": "endereco",
 }
+# Columns and labels of the output.
 SANITIZED_COLUMNS = (
     "data_criacao", "data_resolucao", "ticket_id", "atribuido", "formulario_ticket", "tags_ticket", "grupo_tickets",
     "matricula", "superintendencia_adr", "canal_origem", "cpf_cliente", "passou_nivel_1", "canais_de_atrito",

@@ -19,6 +19,7 @@ from ticketlake.operators.quality import percent
 GRAND_TOTAL = "TOTAL GERAL"
 GRANULARITIES = ("DIARIA", "SEMANAL", "MENSAL", "ANUAL")
 # Columns of the audit sheet that come straight from the ticket and from the hearing.
+# Columns and labels of the output.
 DETAIL_TICKET = (
     "ticket_id", "case_id", "matricula", "numero_os", "data_criacao", "data_resolucao", "status", "atribuido",
     "titulo", "assunto", "tipo_conversa", "tipo_solicitacao", "tipo_manifestacao", "resultado_tratativa",
@@ -71,6 +72,7 @@ def _periods(day: str, granularities: Sequence[str]) -> Column:
     )
 
 
+# Columns and labels of the output.
 PERIOD = ("granularidade", "periodo_inicio", "periodo_label", "ano", "semana", "mes")
 
 

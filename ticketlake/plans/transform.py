@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ticketlake.functions.keys import PROTOCOL_PATTERNS, case_id, court_case_key, protocols
 from ticketlake.functions.text import blank_to_null, first_nonblank, norm_identifier, norm_subject, strip, territory
 from ticketlake.operators.filters import split_by_form
-from ticketlake.operators.rules import apply_overrides, archive_flag, audit_rules, bulk_overrides, drop_removed
+from ticketlake.operators.rules import apply_overrides, audit_rules, bulk_overrides, drop_removed
 from ticketlake.schemas import HEARING_ALIASES, HEARING_FEED, N1_ALIASES, N1_FEED, TICKET_ALIASES, TICKET_FEED
 from ticketlake.sources.canonical import canonicalize, channel_coalesce, explicit_link_key
 
@@ -45,7 +45,7 @@ def transform_tickets(
     rows = bulk_overrides(governed, kind)
     if overrides is not None:
         rows = rows.unionByName(overrides.select("ticket_id", "coluna", "valor", "prioridade"))
-    df = apply_overrides(archive_flag(df, governed), rows, governed)
+    df = apply_overrides(df, rows, governed)
     df = df.withColumns(protocols(F.col("titulo"))).withColumns(
         {
             "case_id": case_id(F.col("protocolo_agenersa"), F.col("ticket_id")),
@@ -62,16 +62,22 @@ def transform_tickets(
     return audit_rules(df, governed, at) if kind == "solicitacao" else df
 
 
+def _with_order(raw: DataFrame, aliases: dict, schema: dict) -> DataFrame:
+    """Canonical rows, with the input order where the feed is stamped with it."""
+    order = [c for c in raw.columns if c == "row_seq"]
+    return canonicalize(raw, aliases, schema, keep_extra=True).select(*schema, *order)
+
+
 def transform_n1(raw: DataFrame, governed: DataFrame) -> DataFrame:
     """Level-1 tickets; they never enter the level-2 metrics."""
-    df = drop_removed(_with_id(canonicalize(raw, N1_ALIASES, N1_FEED)), governed)
+    df = drop_removed(_with_id(_with_order(raw, N1_ALIASES, N1_FEED)), governed)
     df = df.withColumn("matricula", norm_identifier(F.col("matricula")))
     return df.withColumn("bloco", territory(F.col("matricula")))
 
 
 def transform_hearings(raw: DataFrame, governed: DataFrame) -> DataFrame:
     """Hearings keyed by the related ticket, else by their own id."""
-    df = canonicalize(raw, HEARING_ALIASES, HEARING_FEED)
+    df = _with_order(raw, HEARING_ALIASES, HEARING_FEED)
     df = _with_id(df.withColumn("ticket_id", F.coalesce("ticket_relacionado_id", "ticket_audiencia_id")))
     return drop_removed(df, governed).withColumns(
         {"audiencia": F.lit("TRUE"), "local_procon": F.lit(None).cast("string")}

@@ -49,11 +49,12 @@ def lookup_latest_file(spark: SparkSession, folder: str, text: str) -> DataFrame
 
 
 def with_lineage(df: DataFrame, source: str) -> DataFrame:
-    """Stamp file name, file time and source; must sit directly on a file scan."""
+    """Stamp file name, file time, position in the file and source; must sit directly on a file scan."""
     return df.select(
         "*",
         F.col("_metadata.file_name").alias("arquivo_origem"),
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("arquivo_mtime"),
+        F.col("_metadata.row_index").alias("arquivo_linha"),
         F.lit(source).alias("fonte_raw"),
     )
 

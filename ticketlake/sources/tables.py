@@ -103,5 +103,10 @@ def export_ai_ready(df: DataFrame, folder: str, day: date) -> str:
 
 
 def stamp_order(df: DataFrame, column: str = "row_seq") -> DataFrame:
-    """Input order as a tie-break: file time, file name, then position in the file."""
+    """Input order as a tie-break after the file time: file name, then position in the file.
+
+    Rows that were not read from files have no position; they are numbered as they come.
+    """
+    if "arquivo_linha" in df.columns:
+        return df.withColumn(column, F.struct("arquivo_origem", "arquivo_linha"))
     return df.withColumn(column, F.monotonically_increasing_id())
