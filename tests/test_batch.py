@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ticketlake.catalog import QUERIES, inputs
 from ticketlake.operators.dedup import dedup_latest
 from ticketlake.operators.quality import ContractError
+from ticketlake.plans import reports
 from ticketlake.plans.batch import Rules, run_batch
 from ticketlake.schemas import GOLD
 from ticketlake.sources.canonical import conform
@@ -116,6 +117,16 @@ def test_plans_stay_in_the_jvm(spark, name):
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_period_filters_reach_the_scan_of_a_stored_table(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.replace(inputs.tickets(spark, SF), "tickets")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    pushed = plan_of(reports.inflow(store.read("tickets"), date(1998, 1, 1), date(1998, 1, 31))).split("PushedFilters: [")[1].split("ReadSchema")[0]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(data_entrada_reclamacao,1998-01-01" in pushed, pushed
+    assert "IsNull(data_entrada_reclamacao)" in pushed and "GreaterThanOrEqual(data_criacao,1998-01-01" in pushed
+
+
 def test_inflow_reads_its_table_once(spark):
     plan = plan_of(QUERIES["inflow"](spark, SF))
     assert plan.count("FileScan parquet") == 1

@@ -77,6 +77,19 @@ def in_days(c: Column, start: date, end: date) -> Column:
     return (c >= F.lit(start).cast("timestamp_ntz")) & (c < F.lit(end + timedelta(days=1)).cast("timestamp_ntz"))
 
 
+def first_in_days(columns: tuple[str, ...], start: date, end: date) -> Column:
+    """Day of the first filled one of `columns` within [start, end].
+
+    Written branch by branch, as a scan can test each column against its bounds but not a coalesce.
+    """
+    test, empty = None, None
+    for name in columns:
+        branch = in_days(F.col(name), start, end)
+        test = branch if test is None else test | (empty & branch)
+        empty = F.col(name).isNull() if empty is None else empty & F.col(name).isNull()
+    return test
+
+
 def with_easter(years: DataFrame) -> DataFrame:
     """Gregorian Easter Sunday (`pascoa`) of each year, by golden number and epact.
 

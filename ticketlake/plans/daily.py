@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.functions.dates import day_of, in_days
+from ticketlake.functions.dates import day_of, first_in_days, in_days
 from ticketlake.functions.text import label_or, last_segment, upper_trim
 from ticketlake.operators.filters import DONE_STATUSES, official
 from ticketlake.plans.reports import hearing_day
@@ -67,8 +67,7 @@ def daily_base(tickets: DataFrame, hearings: DataFrame, window: dict[str, Any])
     small sets; whether one is broadcast is decided at run time, by its measured size.
     """
     today, day, friday = window["today"], window["business_day"], window["week_end"]
-    moment = F.coalesce("data_reagendamento", "data_audiencia")
-    due = hearings.filter(in_days(moment, today, friday)).select("ticket_id")
+    due = hearings.filter(first_in_days(("data_reagendamento", "data_audiencia"), today, friday)).select("ticket_id")
     moved = in_days(F.col("data_criacao"), day, day) | in_days(F.col("data_resolucao"), day, day)
     counted = tickets.filter(official("daily")).select(*TICKET_SIDE, "atribuido", "tipo_solicitacao", "titulo")
     moved = F.coalesce(moved, F.lit(False))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.functions.dates import MONTH_NAMES, day_of, in_days, name_from
+from ticketlake.functions.dates import MONTH_NAMES, day_of, first_in_days, name_from
 from ticketlake.functions.text import clean_subject, clean_ws, collapse_spaces, first_nonblank, label_or, last_segment
 from ticketlake.operators.filters import not_archived, official
 
@@ -177,10 +177,9 @@ def processed_tickets_listing(
         raise ValueError(f"date_field must be one of {LISTING_DATES}")
     if limit is not None and limit < 1:
         raise ValueError("limit must be at least 1, or None for all rows")
-    raw = (
-        F.coalesce("data_entrada_reclamacao", "data_criacao") if date_field == "data_entrada" else F.col(date_field)
-    )
-    matching = tickets.filter(official("service") & in_days(raw, start, end))
+    dates = ("data_entrada_reclamacao", "data_criacao") if date_field == "data_entrada" else (date_field,)
+    raw = F.coalesce(*dates)
+    matching = tickets.filter(official("service") & first_in_days(dates, start, end))
     total = matching.select("ticket_id").distinct().agg(F.count(F.lit(1)).alias("total"))
     newest = matching.withColumn("_dia", F.to_date(raw)).orderBy(F.desc("_dia"), F.desc("ticket_id"))
     top = (

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.functions.dates import in_days, week_label, week_monday, week_number
+from ticketlake.functions.dates import first_in_days, in_days, week_label, week_monday, week_number
 from ticketlake.functions.text import label_or, upper_trim
 from ticketlake.operators.filters import (
     OPEN_STATUSES, VIEW_DONE_STATUSES, is_request_form, not_archived, official,
@@ -33,8 +33,11 @@ DETAIL_HEARING = (
 )
 
 
+ENTRY = ("data_entrada_reclamacao", "data_criacao")
+
+
 def entry_moment() -> Column:
-    return F.coalesce("data_entrada_reclamacao", "data_criacao")
+    return F.coalesce(*ENTRY)
 
 
 def hearing_day() -> Column:
@@ -110,7 +113,7 @@ def _assignee() -> Column:
 
 def inflow(tickets: DataFrame, start: date, end: date) -> DataFrame:
     """Tickets entered in a period, by day, week, month and year, per channel and in total."""
-    chosen = tickets.filter(official("report") & in_days(entry_moment(), start, end))
+    chosen = tickets.filter(official("report") & first_in_days(ENTRY, start, end))
     daily = _daily(chosen, F.to_date(entry_moment()), _channel(), "canal_entrada")
     return by_period(daily, "canal_entrada", "qtde_tickets", GRANULARITIES, GRAND_TOTAL)
 
@@ -201,7 +204,7 @@ def _held(hearings: DataFrame) -> DataFrame:
 
 def funnel(tickets: DataFrame, hearings: DataFrame, start: date, end: date) -> DataFrame:
     """Consumer-agency tickets of a period that reached a hearing; one row."""
-    base = tickets.filter(official("report") & has_procon() & in_days(entry_moment(), start, end)).select("ticket_id")
+    base = tickets.filter(official("report") & has_procon() & first_in_days(ENTRY, start, end)).select("ticket_id")
     counts = (
         base.join(_held(hearings), "ticket_id", "left")
         .groupBy("ticket_id").agg(F.max("_tem").alias("_tem"))
@@ -279,7 +282,7 @@ def headline_kpis(tickets: DataFrame, hearings: DataFrame, start: date, end: dat
         F.coalesce("taxa_conversao_pct", F.lit(0.0)).alias("procon_taxa_pct"),
     )
     counts = official("report")
-    entered = counts & in_days(entry_moment(), start, end)
+    entered = counts & first_in_days(ENTRY, start, end)
     volumes = tickets.agg(F.count_if(entered).alias("tickets_entrada"))
     resolved = (
         tickets.filter(counts & in_days(F.col("data_resolucao"), start, end))

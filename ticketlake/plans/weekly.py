@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.functions.dates import in_days, previous_business_week, weekday_label
+from ticketlake.functions.dates import first_in_days, in_days, previous_business_week, weekday_label
 from ticketlake.functions.text import label_or, last_segment
 from ticketlake.operators.filters import official
 
@@ -105,6 +105,5 @@ def service_weekly(tickets: DataFrame, today: date) -> dict[str, DataFrame]:
 
 def service_channel_volume(tickets: DataFrame, start: date, end: date) -> DataFrame:
     """Tickets entered in a period per short channel."""
-    moment = F.coalesce("data_entrada_reclamacao", "data_criacao")
-    base = tickets.filter(official("service") & in_days(moment, start, end))
+    base = tickets.filter(official("service") & first_in_days(("data_entrada_reclamacao", "data_criacao"), start, end))
     return _merged_channels(base, "qtde_tickets")
