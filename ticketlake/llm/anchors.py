@@ -8,8 +8,9 @@ the same place inside. Windows that follow one another with one anchor form a co
 2. if all contexts of an anchor are equal, all their windows are repeated, whatever their number;
 3. where contexts of an anchor differ, equal ones fold into one, and the distinct ones of an anchor are brought to one
    shard with their units, where the resolver of the operator finds the windows that occur twice;
-4. an anchor with more distinct contexts than a shard should hold is split: its windows meet by their own hashes, so
-   equal windows alone stay together.
+4. an anchor with more distinct contexts than a shard should hold is split: a context is cut into parts of BLOCK windows,
+   and parts meet by the units that all their windows share; equal parts fold, distinct ones go to shards as above;
+5. parts that are still too many for a shard are cut into single windows, so equal windows alone stay together.
 
 Contexts, anchors and windows are compared by 64-bit hashes (windows of split anchors and equal contexts of one anchor
 by two of them); resolvers see the units themselves.
@@ -29,6 +30,8 @@ from ticketlake.llm.common import _BYTE_VALUES, blocks, cut_lineage, mixed, pref
 
 #: Distinct contexts of one anchor beyond which its windows are spread; units that a resolver takes at once.
 MANY, SHARD_UNITS = 1_000, 400_000
+#: Windows of a part of a split context.
+BLOCK = 16
 #: Bytes of text at once: arrays of 64 bits for each unit take some twenty times as much.
 _BLOCK = 600_000
 _SECOND = 0xC2B2AE3D27D4EB4F
@@ -144,7 +147,7 @@ def repeated_windows(docs: DataFrame, kind: Windows, resolve: Callable[[np.ndarr
     chosen = cut_lineage(folded.join(per_anchor, "h").select("h", "many", "one.doc_id", "one.spot", (F.col("n") == 1).alias("open")))
 
     fetched = _fetch(docs, chosen, kind)
-    alone = _resolve(fetched.where(~F.col("many")), kind, resolve).union(_spread(fetched.where("many"), kind))
+    alone = _resolve(fetched.where(~F.col("many")), kind, resolve).union(_split(fetched.where("many"), kind, resolve))
     spots = same.union(copies).union(alone).select("doc_id", _mark(F.col("spot")).alias("mark"), F.col("spot").bitwiseAND((1 << 40) - 1).alias("spot"))
     return spots.groupBy("doc_id", "mark").agg(F.collect_list("spot").alias("spots"))
 
@@ -219,11 +222,41 @@ def _arrow_kind(name: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "smallint": pa.int16(), "tinyint": pa.int8()}[name]
 
 
-def _spread(fetched: DataFrame, kind: Windows) -> DataFrame:
-    """doc_id and spot of repeated windows of anchors with many contexts: one row for each window, counted by two hashes."""
-    key = fetched.schema["doc_id"].dataType.simpleString()
+def _split(fetched: DataFrame, kind: Windows, resolve: Callable) -> DataFrame:
+    """doc_id and spot of repeated windows of open contexts of anchors with many contexts, part by part."""
+    parts = cut_lineage(_parts(fetched, kind, min(BLOCK, kind.size - kind.gram + 1)))  # what is shared is never less than an anchor
+    folded = parts.groupBy("h", "c").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "spot")).alias("one"), F.first("units").alias("units"), F.bool_or("open").alias("open")
+    )
+    folded = cut_lineage(folded)
+    copied = folded.where((F.col("n") > 1) & F.col("open")).select("h", "c")
+    copies = parts.where("open").join(copied, ["h", "c"]).select("doc_id", "spot")
+    per_anchor = folded.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > 1)
+    distinct = folded.join(per_anchor, "h").select(
+        "h", (F.col("m") > MANY).alias("many"), (F.col("open") & (F.col("n") == 1)).alias("open"), "one.doc_id", "one.spot", "units"
+    )
+    single = _parts(distinct.where("many"), kind, 1)
+    twice = single.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("h", "c")
+    windows = single.where("open").join(twice, ["h", "c"]).select("doc_id", "spot")
+    return copies.union(_resolve(distinct.where(~F.col("many")), kind, resolve)).union(windows)
+
+
+def _anchor_places(values: np.ndarray, base: np.ndarray, kind: Windows) -> np.ndarray:
+    """Where the anchor of each context stands: that of its first window, as all its windows have one."""
+    begins = base[:, None] + np.arange(kind.size - kind.gram + 1)
+    grams = range_hashes(prefix_sums(values), begins.ravel(), begins.ravel() + kind.gram).reshape(begins.shape)
+    return base + np.argmin(grams >> _PLACE_BITS, axis=1)
+
+
+def _parts(contexts_: DataFrame, kind: Windows, block: int) -> DataFrame:
+    """h, c, open, doc_id, spot, units: contexts cut after every `block`-th window, counted from their anchor.
+
+    h is a hash of the units that all windows of a full part share, c of the part; with one window both are of its units,
+    which are not passed on.
+    """
+    key = contexts_.schema["doc_id"].dataType.simpleString()
     width = np.uint64 if kind.words else np.uint8
-    names = ["x", "y", "open", "doc_id", "spot"]
+    names = ["h", "c", "open", "doc_id", "spot", "units"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -231,24 +264,34 @@ def _spread(fetched: DataFrame, kind: Windows) -> DataFrame:
                 part = batch.slice(first, 256)
                 lines = [np.frombuffer(x, width) for x in part.column("units").to_pylist()]
                 lengths = np.array([len(x) for x in lines])
+                base = np.cumsum(lengths) - lengths
                 units = np.concatenate(lines)
                 values = units if kind.words else _BYTE_VALUES[units]
                 counts = lengths - kind.size + 1
-                start = segments(np.cumsum(lengths) - lengths, counts)
+                window = segments(base, counts)
                 of = np.repeat(np.arange(len(lines)), counts)
-                inside = start - (np.cumsum(lengths) - lengths)[of]
-                x = range_hashes(prefix_sums(values), start, start + kind.size)
-                y = range_hashes(prefix_sums(mixed(values), _SECOND), start, start + kind.size, _SECOND)
-                spot = part.column("spot").to_numpy(zero_copy_only=False)[of]
-                taken = pa.array(of)
+                # equal windows have their anchor at one distance, so cuts counted from it agree
+                anchor = _anchor_places(values, base, kind)
+                block_of = (anchor[of] - window) // block
+                new = np.ones(len(window), bool)
+                new[1:] = (of[1:] != of[:-1]) | (block_of[1:] != block_of[:-1])
+                begins = np.flatnonzero(new)
+                row, start, number = of[begins], window[begins], np.diff(np.append(begins, len(window)))
+                last = anchor[row] - block_of[begins] * block  # where the last window of the full part starts
+                shared = range_hashes(prefix_sums(values), last, last - block + 1 + kind.size)
+                h = mixed(shared ^ (block_of[begins].astype(np.uint64) << np.uint64(40)))
+                end = start + number - 1 + kind.size
+                c = range_hashes(prefix_sums(mixed(values), _SECOND), start, end, _SECOND)
+                spot = part.column("spot").to_numpy(zero_copy_only=False)[row]
+                taken = pa.array(row)
+                data = [units[a:z].tobytes() for a, z in zip(start.tolist(), end.tolist(), strict=True)] if block > 1 else [None] * len(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.view(np.int64)), pa.array(y.view(np.int64)), part.column("open").take(taken), part.column("doc_id").take(taken),
-                     pa.array(((spot >> 8) + inside) << 8)], names=names,
+                    [pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), part.column("open").take(taken), part.column("doc_id").take(taken),
+                     pa.array((((spot >> 8) + start - base[row]) << 8) | (number - 1)), pa.array(data, pa.binary())],
+                    names=names,
                 )
 
-    windows = fetched.mapInArrow(run, f"x bigint, y bigint, open boolean, doc_id {key}, spot bigint")
-    twice = windows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("x", "y")
-    return windows.where("open").join(twice, ["x", "y"]).select("doc_id", "spot")
+    return contexts_.mapInArrow(run, f"h bigint, c bigint, open boolean, doc_id {key}, spot bigint, units binary")
 
 
 def covered(spots: list[int] | None, count: int, size: int) -> np.ndarray:
