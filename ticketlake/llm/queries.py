@@ -80,7 +80,7 @@ def op8_contamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
     kept = lines.drop_repeated_lines(narrow(table(spark, folder, "documents")))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 OP9_SQL = r"""
@@ -103,6 +103,48 @@ def op10_piecewise(spark: SparkSession, folder: str) -> DataFrame:
     return piecewise.with_next(table(spark, folder, "documents"))
 
 
+OP6_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM doc WHERE len(w) >= 35)
+),
+twice AS (SELECT s FROM win GROUP BY s HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS n FROM win SEMI JOIN twice USING (s)),
+word AS (SELECT doc_id, n, w[n] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS n FROM doc)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY n) AS text FROM word ANTI JOIN gone USING (doc_id, n) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+OP8_SQL = r"""
+WITH item AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+item_win AS (
+  SELECT DISTINCT id, size, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM item WHERE len(w) > 0)
+),
+doc AS (
+  SELECT doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+doc_win AS (
+  SELECT doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') AS s
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM doc JOIN (SELECT DISTINCT size FROM item_win) ON len(w) >= size)
+),
+met AS (SELECT DISTINCT doc_id, size, i, id FROM doc_win JOIN item_win USING (size, s)),
+hit AS (SELECT doc_id, count(DISTINCT n) AS n FROM (SELECT doc_id, unnest(range(i, i + size)) AS n FROM met) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, id FROM met) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -115,4 +157,4 @@ QUERIES = {
     "op9_lines": op9_lines,
     "op10_piecewise": op10_piecewise,
 }
-ORACLES: dict[str, str] = {"op9_lines": OP9_SQL}
+ORACLES: dict[str, str] = {"op6_factors": OP6_SQL, "op8_contamination": OP8_SQL, "op9_lines": OP9_SQL}
