@@ -29,7 +29,7 @@ from ticketlake.llm.common import blocks, narrow
 #: Bytes of distinct pieces in one query; pieces beyond LONG_PIECE go to the query for long ones.
 LOT_BYTES, LONG_PIECE = 400_000, 200
 #: Distinct pieces that a worker remembers; the older half goes when there are more.
-REMEMBERED = 150_000
+REMEMBERED = 500_000
 _TEXT_BLOCK = 3_000_000
 
 # A row's g is piece * 2^32 + byte place; m is the rank of the pair it starts, null if there is none.
@@ -203,7 +203,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, digests: bool = False)
         own = coder(rank_file, pattern)
         for part in blocks(batches, limit=_TEXT_BLOCK):
             split = [own.pattern.findall(text) for text in part.column("text").to_pylist()]
-            own.learn({word for words in split for word in words})
+            own.learn(set().union(*split))
             ids = [b"".join(map(own.ids.__getitem__, words)) for words in split]
             columns = [part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64())]
             if digests:
