@@ -27,8 +27,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without its repeated lines; n_chars follows the text, a null text stays null."""
     kept = lines.drop_repeated_lines(docs)
-    text = F.when(F.col("row.text").isNotNull(), F.col("text"))
-    new = {"text": text, "n_chars": F.when(F.col("n_dropped") > 0, F.length(text).cast("bigint")).otherwise(F.col("row.n_chars"))}
+    shorter = F.when(F.col("n_dropped") > 0, F.length("text").cast("bigint")).otherwise(F.col("row.n_chars"))
+    new = {"text": F.col("text"), "n_chars": shorter}
     return kept.select(*[new.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
 
 

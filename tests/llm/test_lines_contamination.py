@@ -27,7 +27,7 @@ def expected_lines(rows, min_chars=20, min_docs=3):
 
 
 def found_lines(docs, **options):
-    return rows_of(lines.drop_repeated_lines(docs, **options).select("doc_id", "text", "n_lines", "n_dropped"))
+    return rows_of(lines.drop_repeated_lines(docs, **options).selectExpr("doc_id", "coalesce(text, '')", "n_lines", "n_dropped"))
 
 
 def test_lines(spark):

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import blocks
+from ticketlake.llm.common import blocks, cut_lineage
 
 MIN_CHARS, MIN_DOCS = 20, 3
 BLANKS = b" \t\n\v\f\r"
@@ -133,10 +133,12 @@ def suspected(docs: DataFrame, min_chars: int) -> np.ndarray:
 def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """Drop lines whose key is long enough and found in `min_docs` documents, except in the largest doc_id holding it.
 
-    Returns row (all columns of the document), doc_id, text (the lines that stay), n_lines and n_dropped.
+    Returns row (the other columns of the document), doc_id, text (the lines that stay; null stays null), n_lines and
+    n_dropped. The text itself is shuffled once.
     """
     spark = docs.sparkSession
-    source = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    source = docs.select(others.alias("row"), F.col("doc_id"), F.col("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     twice = suspected(docs, min_chars)
     bits = int(len(twice) * 8).bit_length() - 1
@@ -145,7 +147,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches):
             at, keys = [], []
-            for k, text in enumerate(part.column("text").to_pylist()):
+            for k, text in enumerate(part.column("text").fill_null("").to_pylist()):
                 own = {key for key in keys_of(text, min_chars) if key is not None}
                 keys += own
                 at += [k] * len(own)
@@ -158,9 +160,9 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
         for part in blocks(batches):
             texts, lines, dropped = part.column("text").to_pylist(), [], []
             for k, (text, losing) in enumerate(zip(texts, part.column("losing").to_pylist(), strict=True)):
-                lines.append(text.count("\n") + 1)
+                lines.append((text or "").count("\n") + 1)
                 dropped.append(0)
-                if losing:
+                if losing and text:
                     gone = set(losing)
                     kept = [x for x, key in zip(text.split("\n"), keys_of(text, min_chars), strict=True) if key not in gone]
                     texts[k], dropped[k] = "\n".join(kept), lines[k] - len(kept)
@@ -172,6 +174,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: i
     pairs = source.select("doc_id", "text").mapInArrow(suspects, f"key binary, doc_id {kind}")
     held = pairs.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
     frequent = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
+    frequent = cut_lineage(frequent)  # written, so that the join shuffles both sides and Spark can split a hot line
     losing = (
         pairs.join(frequent, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
         .groupBy("doc_id").agg(F.collect_set("key").alias("losing")).withColumnRenamed("doc_id", "of")
