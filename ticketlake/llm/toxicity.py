@@ -21,13 +21,13 @@ from pyspark.sql import functions as F
 
 from ticketlake.llm.common import blocks, lower_ascii, narrow, raw
 
-BITS, LENGTHS = 18, (3, 4, 5, 6)
+BITS, LENGTHS = 19, (4, 5, 6)
 #: Most labelled rows (by hash of doc_id) that train, half of them of each kind where there are so many.
 SAMPLE_ROWS = 4_000
 #: A text that trains is read whole; a cell gets a weight if so many sampled texts have it and its ratio is so many
 #: standard errors from zero.
-LEAST_TEXTS, LEAST_Z = 3, 1.5
-RIDGE, STEPS, SMOOTH = 1.0, 60, 1.0
+LEAST_TEXTS, LEAST_Z = 3, 2.0
+RIDGE, STEPS, SMOOTH = 1.0, 120, 1.0
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -80,57 +80,57 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, float]:
     """Weight of each cell and intercept. The sample is bounded in rows; it reaches the driver as sets of cells."""
-    total, starts, columns, toxic = 0, [0], [], []
-    seen_ids = set()
-    for batch in sample(docs, labels, rows).toLocalIterator():
-        if batch.doc_id in seen_ids:
-            continue
-        seen_ids.add(batch.doc_id)
-        columns.append(np.frombuffer(batch.cells, np.int32))
-        total += len(columns[-1])
-        starts.append(total)
-        toxic.append(int(batch.toxic == 1))
-    y = np.array(toxic, np.float64)
-    weights = np.zeros(1 << BITS, np.float32)
+    found: dict = {}
+    for row in sample(docs, labels, rows).toLocalIterator():
+        found.setdefault(row.doc_id, (np.frombuffer(row.cells, np.int32), int(row.toxic == 1)))
+    keys = sorted(found)
+    y = np.array([found[k][1] for k in keys], np.float64)
     if not len(y) or y.min() == y.max():
-        return weights, -50.0
-    flat = np.concatenate(columns)
-    del columns
-    of = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(starts))
-    size = 1 << BITS
-    positive = np.bincount(flat[y[of] == 1], minlength=size) + SMOOTH
-    negative = np.bincount(flat[y[of] == 0], minlength=size) + SMOOTH
+        return np.zeros(1 << BITS, np.float32), -50.0
+    counts = np.full((2, 1 << BITS), SMOOTH)
+    for own, toxic in found.values():
+        counts[toxic][own] += 1
+    negative, positive = counts
     ratio = np.log(positive / (y.sum() + 2 * SMOOTH)) - np.log(negative / ((1 - y).sum() + 2 * SMOOTH))
     spread = np.sqrt(1 / positive + 1 / negative)
     telling = (positive + negative - 2 * SMOOTH >= LEAST_TEXTS) & (np.abs(ratio) >= LEAST_Z * spread)
-    ratio[~telling] = 0
-    keep = telling[flat]
-    flat, of = flat[keep], of[keep]
-    values = ratio[flat].astype(np.float32)
-    weight, bias = _logistic(flat, of, values, y, size)
+    ratio = np.where(telling, ratio, 0)
+    texts = [own[telling[own]] for own, _ in (found.pop(k) for k in keys)]
+    weight, bias = _logistic(texts, ratio, y)
     return (weight * ratio).astype(np.float32), bias
 
 
-def _logistic(flat: np.ndarray, of: np.ndarray, values: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, float]:
+#: Texts whose cells one step of the fit takes at once.
+_TEXTS = 200
+
+
+def _logistic(texts: list[np.ndarray], ratio: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by accelerated gradient steps; each kind of text has half of the weight."""
+    size = len(ratio)
+    parts = []
+    for first in range(0, len(texts), _TEXTS):
+        own = texts[first : first + _TEXTS]
+        parts.append((np.concatenate(own), np.repeat(np.arange(len(own)), [len(t) for t in own])))
     share = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    norms = np.bincount(of, values.astype(np.float64) ** 2, minlength=len(y))
-    lipschitz = 0.25 * (norms.max() + 1) + 1e-9
+    norms = np.array([(ratio[t] ** 2).sum() for t in texts])
     penalty = RIDGE / len(y)
-    step = 1.0 / (lipschitz * 0.05 + penalty)
+    step = 1.0 / (0.25 * (norms.max() + 1) * 0.05 + penalty)
     weight, bias, before, bias_before = np.zeros(size), 0.0, np.zeros(size), 0.0
     last = np.inf
     for k in range(STEPS):
         push = k / (k + 3)
         w, b = weight + push * (weight - before), bias + push * (bias - bias_before)
-        margin = np.bincount(of, values * w[flat], minlength=len(y)) + b
+        scaled = w * ratio
+        margin = np.concatenate([np.bincount(of, scaled[flat], minlength=min(_TEXTS, len(y) - n * _TEXTS)) for n, (flat, of) in enumerate(parts)]) + b
         p = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
         loss = -(share * np.where(y == 1, np.log(p + 1e-12), np.log(1 - p + 1e-12))).sum() + 0.5 * penalty * (w @ w)
         if loss > last * 1.02:  # the step was too long: shorten it and start the acceleration anew
             step, before, bias_before = step / 2, weight.copy(), bias
         last = min(last, loss)
         error = share * (p - y)
-        slope = np.bincount(flat, values * error[of], minlength=size) + penalty * w
+        slope = penalty * w
+        for n, (flat, of) in enumerate(parts):
+            slope += np.bincount(flat, error[n * _TEXTS + of], minlength=size) * ratio
         before, bias_before = weight, bias
         weight, bias = w - step * slope, b - step * error.sum()
     return weight, float(bias)
