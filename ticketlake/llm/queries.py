@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, contamination, factors, lines, pii, piecewise, secret_ledger, simhash, suffix, toxicity
+from ticketlake.llm import bpe, contamination, divergence, factors, lines, pii, piecewise, secret_ledger, simhash, suffix, toxicity
 from ticketlake.llm.common import narrow, table
 from ticketlake.session import ensure_checkpoint_dir
 
@@ -145,6 +145,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, c
 FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+def op11_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+OP11_SQL = r"""
+WITH doc AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(w)) AS term FROM doc) GROUP BY ALL HAVING count(*) >= 30),
+occurs AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(w) AS term FROM doc) SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+whole AS (SELECT lang, term, sum(n) AS n FROM occurs GROUP BY ALL),
+v AS (SELECT lang, count(*) AS terms FROM kept GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM doc),
+sums AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM grp LEFT JOIN occurs USING (lang, source) GROUP BY ALL),
+share AS (
+  SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+    1 + (1000000000 * (coalesce(o.n, 0) + 5)::HUGEINT) // (s.total + 5 * v.terms)::HUGEINT AS p
+  FROM grp g JOIN kept k USING (lang) JOIN v USING (lang) JOIN sums s USING (lang, source) LEFT JOIN occurs o USING (lang, source, term)
+),
+common AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 5)::HUGEINT) // (sum(n) OVER (PARTITION BY lang) + 5 * terms)::HUGEINT AS q FROM whole JOIN v USING (lang)
+),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+    FROM share x JOIN share y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source
+),
+both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM share JOIN common USING (lang, term) WHERE share.n > 0 AND p > q
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -156,5 +197,6 @@ QUERIES = {
     "op8_contamination": op8_contamination,
     "op9_lines": op9_lines,
     "op10_piecewise": op10_piecewise,
+    "op11_divergence": op11_divergence,
 }
-ORACLES: dict[str, str] = {"op6_factors": OP6_SQL, "op8_contamination": OP8_SQL, "op9_lines": OP9_SQL}
+ORACLES: dict[str, str] = {"op6_factors": OP6_SQL, "op8_contamination": OP8_SQL, "op9_lines": OP9_SQL, "op11_divergence": OP11_SQL}
