@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, contamination, divergence, factors, lines, pii, piecewise, secret_ledger, simhash, suffix, toxicity
+from ticketlake.llm import bpe, contamination, divergence, factors, lines, pii, piecewise, prefix_trie, secret_ledger, simhash, suffix, toxicity
 from ticketlake.llm.common import narrow, table
 from ticketlake.session import ensure_checkpoint_dir
 
@@ -186,6 +186,58 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
 
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(table(spark, folder, "conversations"))))
+
+
+OP12_SQL = r"""
+WITH turn AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (
+      PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, left(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 32), strlen(text)
+    ) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+conv AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS from_id,
+    xor(4294967295::UBIGINT, list_reduce(
+      list_concat([4294967295::UBIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c)::UBIGINT)),
+      lambda crc, c: list_reduce(list_concat([xor(crc, c)], list_transform(range(8), lambda r: r::UBIGINT)), lambda a, r: xor(a >> 1, 3988292384::UBIGINT * (a & 1)))
+    )) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turn)
+),
+head AS (SELECT c.conv_id, t.k, t.role, t.text FROM conv c JOIN turn t ON t.conv_id = c.from_id AND t.k <= c.h),
+said AS (
+  SELECT conv_id, k, role, text FROM head
+  UNION ALL
+  SELECT t.conv_id, t.k - c.h + (SELECT count(*) FROM head WHERE head.conv_id = c.conv_id), t.role, t.text FROM turn t JOIN conv c USING (conv_id) WHERE t.k > c.h
+),
+path AS (
+  SELECT conv_id, k AS depth, strlen(text) AS bytes, list({'r': role, 't': text}) OVER (PARTITION BY conv_id ORDER BY k) AS prefix FROM said
+  UNION ALL
+  SELECT conv_id, 0, 0, [] FROM conv
+),
+member AS (
+  SELECT conv_id, depth, bytes, min(conv_id) OVER (PARTITION BY depth, prefix) AS node, max(depth) OVER (PARTITION BY conv_id) AS length FROM path
+),
+node AS (
+  SELECT node, depth, any_value(bytes) AS bytes, count(*) AS n_convs, count(*) FILTER (depth = length) AS n_ends,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+  FROM member GROUP BY node, depth
+),
+tree AS (SELECT n.*, p.node AS parent FROM node n LEFT JOIN member p ON p.conv_id = n.node AND p.depth = n.depth - 1),
+kids AS (SELECT parent AS node, depth - 1 AS depth, count(*) AS n FROM tree WHERE depth > 0 GROUP BY ALL),
+below AS (
+  SELECT a.node, a.depth, sum((t.n_convs - 1) * t.bytes) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM tree t JOIN member a ON a.conv_id = t.node AND a.depth <= t.depth LEFT JOIN kids ON kids.node = t.node AND kids.depth = t.depth
+  GROUP BY ALL
+)
+SELECT t.node AS conv_id, CAST(t.depth AS BIGINT) AS depth, t.parent AS parent_conv_id, t.n_convs, coalesce(kids.n, 0) AS n_children,
+  below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, t.ends_sha256
+FROM tree t JOIN below USING (node, depth) LEFT JOIN kids USING (node, depth)
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -198,5 +250,6 @@ QUERIES = {
     "op9_lines": op9_lines,
     "op10_piecewise": op10_piecewise,
     "op11_divergence": op11_divergence,
+    "op12_trie": op12_trie,
 }
-ORACLES: dict[str, str] = {"op6_factors": OP6_SQL, "op8_contamination": OP8_SQL, "op9_lines": OP9_SQL, "op11_divergence": OP11_SQL}
+ORACLES: dict[str, str] = {"op6_factors": OP6_SQL, "op8_contamination": OP8_SQL, "op9_lines": OP9_SQL, "op11_divergence": OP11_SQL, "op12_trie": OP12_SQL}
