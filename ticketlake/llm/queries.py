@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, contamination, divergence, factors, lines, pii, piecewise, prefix_trie, secret_ledger, simhash, suffix, toxicity
+from ticketlake.llm import bpe, contamination, divergence, factors, lines, pii, piecewise, prefix_trie, secret_ledger, simhash, suffix, toxicity, url_templates
 from ticketlake.llm.common import narrow, table
 from ticketlake.session import ensure_checkpoint_dir
 
@@ -238,6 +238,80 @@ SELECT t.node AS conv_id, CAST(t.depth AS BIGINT) AS depth, t.parent AS parent_c
 FROM tree t JOIN below USING (node, depth) LEFT JOIN kids USING (node, depth)
 """
 
+def op13_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return url_templates.judge(table(spark, folder, "pages"))
+
+
+def _op13_level(level: int) -> str:
+    """CTEs of one level of the tree: children, named branches, bins, runs of bins, and the shapes with one segment more."""
+    return rf"""
+children{level} AS MATERIALIZED (
+  SELECT host, template, segments[{level + 1}] AS segment, sum(labelled) AS labelled, sum(blocked) AS blocked,
+    CASE WHEN sum(n) < 5 THEN '#*' ELSE segments[{level + 1}] END AS name
+  FROM tree{level} WHERE len(segments) > {level} GROUP BY host, template, segments[{level + 1}]
+),
+named{level} AS MATERIALIZED (
+  SELECT *, CASE WHEN labelled > 0 THEN (20 * (2 * blocked + 1)) // (2 * labelled + 2) END AS bin
+  FROM (SELECT host, template, name, sum(labelled) AS labelled, sum(blocked) AS blocked FROM children{level} GROUP BY ALL)
+),
+bins{level} AS MATERIALIZED (
+  SELECT host, template, bin, sum(labelled)::DOUBLE AS l, sum(blocked)::DOUBLE AS b, min(name) AS least, count(*) AS size
+  FROM named{level} WHERE bin IS NOT NULL GROUP BY ALL
+),
+beside{level} AS (SELECT *, lag(l) OVER (PARTITION BY host, template ORDER BY bin) AS l0, lag(b) OVER (PARTITION BY host, template ORDER BY bin) AS b0 FROM bins{level}),
+runs{level} AS MATERIALIZED (
+  SELECT *, sum(CASE WHEN (b * l0 - b0 * l) * (b * l0 - b0 * l) * (l + l0) > 3.84::DOUBLE * (b + b0) * (l + l0 - b - b0) * l * l0 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY host, template ORDER BY bin) AS run
+  FROM beside{level}
+),
+branch{level} AS MATERIALIZED (
+  SELECT host, template, bin, min(least) OVER w || CASE WHEN sum(size) OVER w > 1 THEN '#~' ELSE '' END AS branch
+  FROM runs{level} WINDOW w AS (PARTITION BY host, template, run)
+),
+tree{level + 1} AS MATERIALIZED (
+  SELECT t.host, t.shape, t.n, t.labelled, t.blocked, t.segments, t.template || coalesce('/' || coalesce(b.branch, m.name), '') AS template
+  FROM tree{level} t
+  LEFT JOIN children{level} c ON c.host = t.host AND c.template = t.template AND c.segment = t.segments[{level + 1}]
+  LEFT JOIN named{level} m ON m.host = c.host AND m.template = c.template AND m.name = c.name
+  LEFT JOIN branch{level} b ON b.host = m.host AND b.template = m.template AND b.bin = m.bin
+)"""
+
+
+OP13_SQL = rf"""
+WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+part AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+),
+rules(verdict, rule_host, rule_path) AS (VALUES
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+),
+fit AS (
+  SELECT host, path, max_by(rule_host || rule_path, length(rule_host || rule_path)) AS rule, max_by(verdict, length(rule_host || rule_path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM part) JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  GROUP BY ALL
+),
+ruled AS MATERIALIZED (
+  SELECT p.*, rule, verdict, regexp_replace(p.path, '[0-9]+', '#', 'g') AS shape FROM part p LEFT JOIN fit f ON f.host = p.host AND f.path = p.path
+),
+tree0 AS MATERIALIZED (
+  SELECT host, shape, count(*) AS n, count(verdict) AS labelled, count(*) FILTER (verdict = 'block') AS blocked, '' AS template,
+    CASE WHEN shape = '' THEN [] WHEN len(string_split(shape, '/')) <= 9 THEN string_split(substr(shape, 2), '/')
+      ELSE list_append(string_split(shape, '/')[2:8], array_to_string(string_split(shape, '/')[9:], '/')) END AS segments
+  FROM ruled GROUP BY ALL
+),
+{",".join(_op13_level(level) for level in range(8))},
+whole AS (SELECT coalesce(sum(blocked) / nullif(sum(labelled), 0), 0) AS share FROM tree0),
+refused AS (
+  SELECT host, template FROM tree8, whole GROUP BY host, template, share
+  HAVING sum(labelled) > 0 AND (sum(blocked) + 5 * share) / (sum(labelled) + 5) > 0.8
+),
+refused_shape AS (SELECT host, shape FROM tree8 SEMI JOIN refused USING (host, template))
+SELECT r.page_id, r.host, r.path, r.rule, coalesce(r.verdict, CASE WHEN s.host IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM ruled r LEFT JOIN refused_shape s ON s.host = r.host AND s.shape = r.shape
+"""
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -251,5 +325,8 @@ QUERIES = {
     "op10_piecewise": op10_piecewise,
     "op11_divergence": op11_divergence,
     "op12_trie": op12_trie,
+    "op13_urls": op13_urls,
+}
+ORACLES: dict[str, str] = {
+    "op6_factors": OP6_SQL, "op8_contamination": OP8_SQL, "op9_lines": OP9_SQL, "op11_divergence": OP11_SQL, "op12_trie": OP12_SQL, "op13_urls": OP13_SQL,
 }
-ORACLES: dict[str, str] = {"op6_factors": OP6_SQL, "op8_contamination": OP8_SQL, "op9_lines": OP9_SQL, "op11_divergence": OP11_SQL, "op12_trie": OP12_SQL}
