@@ -63,7 +63,7 @@ def test_every_distance_and_term(spark, least, shard_terms, tile_sources):
     assert rows_of(found) == _plain(docs.collect(), least, 5)
 
 
-def test_bitsets_hold_each_count_once(spark):
+def test_every_document_is_counted_in_its_group(spark):
     docs = _spread(spark)
     counts = divergence.term_counts(docs)
     assert counts.where("term = ''").agg({"docs": "sum"}).first()[0] == docs.count()
