@@ -27,7 +27,7 @@ def _pages() -> list[tuple]:
         f"{rng.choice(['', '/'])}{rng.choice(['', '/' + str(rng.randrange(500)), '/x/' + str(rng.randrange(50)) + '.html', '/list'])}{rng.choice(['', '?a=/en/', '#top'])}"
         for _ in range(900)
     ]
-    blocked = [f"http://www.example.com.example.com/en/{k}" for k in range(99)]
+    blocked = [f"http://www.example.com.example.com/en/{k}" for k in range(600)]
     rare = [f"http://few.net/{s}/{k}" for s in ("es", "fr") for k in range(4)] + ["http://few.net/da/1", "http://few.net/sv/12"]
     urls = odd + made + made[:60] + blocked + rare
     return [(k if k % 17 else None, u, "<p>") for k, u in enumerate(urls)]
