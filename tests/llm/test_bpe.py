@@ -1,4 +1,5 @@
 import base64
+import hashlib
 import random
 
 import public_tokenizers as P
@@ -50,6 +51,29 @@ def test_long_pieces(reference, alphabet):
     assert decoded == pieces
 
 
+@pytest.mark.parametrize(("alphabet", "length"), [("abcdefghijklmnopqrstuvwxyz", 200_000), ("".join(map(chr, range(0x4E00, 0x5E00))), 200_000), ("a", 1_000_000)])
+def test_a_run_of_any_length_is_encoded_whole(spark, reference, alphabet, length):
+    """Through Spark, beside other texts; memory grows with the length, not with its square."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choices(alphabet, k=length)), "short", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    found = {r.doc_id: r for r in bpe.encode(docs, RANKS, P.PATTERN).collect()}
+    assert [found[k].ids for k in range(3)] == [reference.encode_ordinary(t or "") for t in texts]
+    digests = {r.doc_id: r.decoded_sha256 for r in bpe.encode(docs, RANKS, P.PATTERN, True).collect()}
+    assert digests == {k: hashlib.sha256((t or "").encode()).hexdigest() for k, t in enumerate(texts)}
+
+
+def test_what_a_worker_remembers_is_bounded(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 20_000)
+    own = bpe.Coder(RANKS, P.PATTERN)
+    for k in range(30):
+        words = [f"word{k}x{j}" for j in range(50)]
+        own.learn(words)
+        assert own.held < 20_000 + 50 * 300 and all(w in own.ids for w in words)
+        assert own.decoded(words) == "".join(words).encode()
+    assert own.held == sum(bpe._weight(w, x) for w, x in own.ids.items())
+
+
 def test_contraction_stops_for_a_lower_rank(tmp_path):
     """ab ranks above abc here: after the first ab, abc comes before the second ab."""
     tokens = [bytes([b]) for b in range(256)] + [b"bc", b"abc", b"ca", b"ab", b"aba"]

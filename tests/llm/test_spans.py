@@ -100,3 +100,12 @@ def test_trees_learn_and_calibrate():
 def test_redaction():
     assert pii.redact("call a@b.co or 1.2.3.4", [(5, 11), (15, 22)]) == "call [removed] or [removed]"
     assert pii.redact("abcdef", [(0, 3), (2, 5)]) == "[removed]f"
+
+
+def test_a_feed_scanned_twice_leaves_one_finding(spark, tmp_path):
+    versions = spark.createDataFrame([("a", "password=hunter22"), ("b", "password=hunter22"), ("c", "")], "path string, text string")
+    rows = secret_ledger.scan(versions)
+    secret_ledger.append(spark, str(tmp_path / "ledger"), rows)
+    ledger = secret_ledger.append(spark, str(tmp_path / "ledger"), rows)
+    found = secret_ledger.findings(versions, ledger)
+    assert sorted((r.path, len(r.spans)) for r in found.collect()) == [("a", 1), ("b", 1), ("c", 0)]

@@ -5,7 +5,11 @@ its successor with the merge table, contracts the leftmost pair of least rank of
 pieces that still have a pair. An ordered aggregation over the rows of a piece gives its bytes back.
 
 Only pieces that a task has not met lately are sent to DuckDB, so the recursion sees distinct pieces, in lots of a
-bounded number of bytes. No shuffle, and nothing is kept but a bounded store of pieces per worker.
+bounded number of bytes. No shuffle, and nothing is kept but a store of pieces per worker, bounded in bytes.
+
+A recursive query keeps every step of every token, so its rows grow with the square of a piece. A piece over LONG_PIECE
+bytes (a run of letters without a break, or prose written without blanks) is therefore contracted with a heap of its pairs
+by rank and place, in linear memory; its ids are decoded by the same ordered aggregation.
 
 Nulls and empty texts have no tokens (n_tokens 0, digest of no bytes). Rows that repeat are encoded as often as they
 occur; a null doc_id is an id like any other. Columns other than the two named are not read.
@@ -15,6 +19,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
+from array import array
 from collections.abc import Iterable, Iterator
 
 import duckdb
@@ -26,10 +32,10 @@ from pyspark.sql import functions as F
 
 from ticketlake.llm.common import blocks, narrow
 
-#: Bytes of distinct pieces in one query; pieces beyond LONG_PIECE go to the query for long ones.
-LOT_BYTES, LONG_PIECE = 400_000, 200
-#: Distinct pieces that a worker remembers; the older half goes when there are more.
-REMEMBERED = 500_000
+#: Bytes of distinct pieces in one query; pieces beyond LONG_PIECE bytes are contracted with a heap.
+LOT_BYTES, LONG_PIECE = 300_000, 200
+#: Bytes of remembered pieces and ids, with what Python adds to each; the older half goes when there are more.
+REMEMBERED_BYTES, _ADDED = 72_000_000, 190
 _TEXT_BLOCK = 3_000_000
 
 # A row's g is piece * 2^32 + byte place; m is the rank of the pair it starts, null if there is none.
@@ -38,11 +44,6 @@ _START = """
   FROM (SELECT g, id, lead(id) OVER o AS nid, lead(g) OVER o AS nxt FROM start WINDOW o AS (ORDER BY g)) s
   LEFT JOIN merges r ON r.pair = CASE WHEN s.nxt >> 32 = s.g >> 32 THEN s.id::BIGINT * 1048576 + s.nid END
 """
-_AGAIN = """
-  SELECT n.step, n.g, n.nxt, n.id, n.nid, r.m
-  FROM (SELECT step, g, id, lead(id) OVER o AS nid, lead(g) OVER o AS nxt FROM ({kept}) WINDOW o AS (ORDER BY g)) n
-  LEFT JOIN merges r ON r.pair = CASE WHEN n.nxt >> 32 = n.g >> 32 THEN n.id::BIGINT * 1048576 + n.nid END
-"""
 _ONE_PAIR = """
   SELECT s.step + 1 AS step, s.g, CASE WHEN s.g = b.spot THEN b.made ELSE s.id END AS id
   FROM state s JOIN (
@@ -50,45 +51,17 @@ _ONE_PAIR = """
     FROM state WHERE m IS NOT NULL GROUP BY ALL
   ) b ON s.g >> 32 = b.w AND s.g <> b.gone
 """
-# Long pieces: all pairs of the least rank, from the left, up to the first whose contraction makes a pair of lower rank
-# (that one would be next). Step by step the outcome is that of one pair at a time.
-_EQUAL_PAIRS = """
-  WITH least AS (
-    SELECT g >> 32 AS w, min(m) AS made FROM state WHERE m IS NOT NULL GROUP BY ALL
-  ), token AS (
-    SELECT s.*, b.w, b.made, row_number() OVER (ORDER BY g) AS n, coalesce(s.m = b.made, false) AS hit
-    FROM state s JOIN least b ON s.g >> 32 = b.w
-  ), spot AS (
-    SELECT g, row_number() OVER (PARTITION BY w, n - k ORDER BY g) % 2 = 1 AS taken
-    FROM (SELECT g, w, n, row_number() OVER (PARTITION BY w ORDER BY g) AS k FROM token WHERE hit)
-  ), chosen AS (
-    SELECT t.*, coalesce(p.taken, false) AS taken FROM token t LEFT JOIN spot p USING (g)
-  ), around AS (
-    SELECT *, lag(taken) OVER o AS gone, lag(w, 1) OVER o = w AS has_left, lead(w, 2) OVER o = w AS has_right,
-      CASE WHEN lag(taken, 2) OVER o AND lag(w, 2) OVER o = w THEN made ELSE lag(id) OVER o END AS left_id,
-      lead(id, 2) OVER o AS right_id
-    FROM chosen WINDOW o AS (ORDER BY g)
-  ), stop AS (
-    SELECT a.w, min(a.g) AS last
-    FROM around a
-    LEFT JOIN merges x ON x.pair = CASE WHEN a.has_left THEN a.left_id::BIGINT * 1048576 + a.made END
-    LEFT JOIN merges y ON y.pair = CASE WHEN a.has_right THEN a.made::BIGINT * 1048576 + a.right_id END
-    WHERE a.taken AND least(x.m, y.m) < a.made
-    GROUP BY a.w
-  ), cut AS (
-    SELECT c.step, c.g, c.id, c.made, c.w, c.taken AND (s.last IS NULL OR c.g <= s.last) AS taken
-    FROM chosen c LEFT JOIN stop s USING (w)
-  )
-  SELECT step + 1 AS step, g, CASE WHEN taken THEN made ELSE id END AS id
-  FROM (SELECT *, coalesce(lag(taken) OVER (ORDER BY g), false) AS gone FROM cut) WHERE NOT gone
+_AGAIN = f"""
+  SELECT n.step, n.g, n.nxt, n.id, n.nid, r.m
+  FROM (SELECT step, g, id, lead(id) OVER o AS nid, lead(g) OVER o AS nxt FROM ({_ONE_PAIR}) WINDOW o AS (ORDER BY g)) n
+  LEFT JOIN merges r ON r.pair = CASE WHEN n.nxt >> 32 = n.g >> 32 THEN n.id::BIGINT * 1048576 + n.nid END
 """
-_ENCODE = """
+_ENCODE = f"""
   CREATE OR REPLACE TEMP TABLE found AS
-  WITH RECURSIVE state AS ({start} UNION ALL {again}),
+  WITH RECURSIVE state AS ({_START} UNION ALL {_AGAIN}),
   ended AS (SELECT g >> 32 AS w, max(step) AS step FROM state GROUP BY ALL)
   SELECT s.g, s.id FROM state s JOIN ended e ON s.g >> 32 = e.w AND s.step = e.step
 """
-_QUERIES = tuple(_ENCODE.format(start=_START, again=_AGAIN.format(kept=kept)) for kept in (_ONE_PAIR, _EQUAL_PAIRS))
 _IDS = "SELECT g >> 32 AS w, list(id ORDER BY g) AS ids FROM found GROUP BY ALL ORDER BY w"
 _BYTES = "SELECT f.g >> 32 AS w, list(v.piece ORDER BY f.g) AS parts FROM found f JOIN vocabulary v USING (id) GROUP BY ALL ORDER BY w"
 
@@ -107,11 +80,13 @@ class Coder:
                     pairs.append((left * 1048576 + right, rank))
         self.pattern = regex.compile(pattern)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         self._table("merges", pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "m": pa.array([m for _, m in pairs], pa.int32())}))
         self._table("vocabulary", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "piece": pa.array(list(ranks), pa.binary())}))
         self.ids: dict[str, bytes] = {}
-        self.bytes: dict[str, bytes] = {}
+        #: Decoded bytes of remembered pieces, where they differ from the piece itself.
+        self.other: dict[str, bytes] = {}
+        self.held = 0
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.con.register("given", rows)
@@ -130,17 +105,54 @@ class Coder:
         size = 0
         for k in short:
             if lot and size + len(pieces[k]) > LOT_BYTES:
-                self._contract(_QUERIES[0], lot, pieces, ids, decoded)
+                self._contract(lot, pieces, ids, decoded)
                 lot, size = [], 0
             lot.append(k)
             size += len(pieces[k])
-        self._contract(_QUERIES[0], lot, pieces, ids, decoded)
+        self._contract(lot, pieces, ids, decoded)
         for k, piece in enumerate(pieces):
             if not ids[k] and len(piece) > LONG_PIECE:
-                self._contract(_QUERIES[1], [k], pieces, ids, decoded)
+                ids[k] = self.contract_long(piece)
+                self._decode([k], ids, decoded)
         return ids, decoded
 
-    def _contract(self, sql: str, lot: list[int], pieces: list[bytes], ids: list, decoded: list) -> None:
+    def contract_long(self, piece: bytes) -> list[int]:
+        """Token ids of one piece: the leftmost pair of least rank first, until none is left."""
+        ranks, size = self.ranks, len(piece)
+        after, before = array("q", range(1, size + 1)), array("q", range(-1, size))
+        rank_of = array("q", [-1]) * size  # rank of the pair that starts at a place; -1: none, or the place is gone
+
+        def measure(at: int) -> int:
+            second = after[at]
+            return ranks.get(piece[at : after[second]], -1) if second < size else -1
+
+        heap = []
+        for at in range(size - 1):
+            rank_of[at] = rank = measure(at)
+            if rank >= 0:
+                heap.append(rank << 40 | at)
+        heapq.heapify(heap)
+        while heap:
+            top = heapq.heappop(heap)
+            rank, at = top >> 40, top & (1 << 40) - 1
+            if rank_of[at] != rank:
+                continue
+            gone = after[at]
+            after[at] = after[gone]
+            before[after[at]] = at
+            rank_of[gone] = -1
+            for place in (at, before[at]):
+                if place >= 0:
+                    rank_of[place] = new = measure(place)
+                    if new >= 0:
+                        heapq.heappush(heap, new << 40 | place)
+        ids, at = [], 0
+        while at < size:
+            ids.append(ranks[piece[at : after[at]]])
+            at = after[at]
+        return ids
+
+    def _contract(self, lot: list[int], pieces: list[bytes], ids: list, decoded: list) -> None:
         if not lot:
             return
         lengths = np.array([len(pieces[k]) for k in lot])
@@ -148,7 +160,7 @@ class Coder:
         rows += np.arange(len(rows)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         tokens = self.single[np.frombuffer(b"".join([pieces[k] for k in lot]), np.uint8)]
         self.con.register("start", pa.table({"g": rows, "id": tokens}))
-        self.con.execute(sql)
+        self.con.execute(_ENCODE)
         self.con.unregister("start")
         for w, found in self.con.execute(_IDS).fetchall():
             ids[lot[w]] = found
@@ -175,14 +187,36 @@ class Coder:
         return out
 
     def learn(self, words: Iterable[str]) -> None:
-        if len(self.ids) > REMEMBERED:
+        """Remember the ids of some pieces; until the next call all of them are known."""
+        words = set(words)
+        if self.held > REMEMBERED_BYTES:
             for word in list(self.ids)[: len(self.ids) // 2]:
-                del self.ids[word], self.bytes[word]
+                self.held -= _weight(word, self.ids.pop(word))
+                self.other.pop(word, None)
         new = [w for w in words if w not in self.ids]
-        ids, decoded = self.encode_pieces([w.encode() for w in new])
-        for word, tokens, data in zip(new, ids, decoded, strict=True):
-            self.ids[word] = np.array(tokens, "<u4").tobytes()
-            self.bytes[word] = data
+        for first in range(0, len(new), _LEARNT):
+            part = new[first : first + _LEARNT]
+            raw = [w.encode() for w in part]
+            ids, decoded = self.encode_pieces(raw)
+            for word, data, tokens, back in zip(part, raw, ids, decoded, strict=True):
+                self.ids[word] = found = np.array(tokens, "<u4").tobytes()
+                self.held += _weight(word, found)
+                if back != data:
+                    self.other[word] = back
+
+    def decoded(self, words: list[str]) -> bytes:
+        """What the ids of learnt pieces stand for, one after the other."""
+        if not self.other:
+            return "".join(words).encode()
+        return b"".join([self.other.get(w, w.encode()) for w in words])
+
+
+#: Pieces learnt at a time.
+_LEARNT = 50_000
+
+
+def _weight(word: str, ids: bytes) -> int:
+    return 2 * len(word) + len(ids) + _ADDED
 
 
 _CODERS: dict[tuple[str, str], Coder] = {}
@@ -208,7 +242,7 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, digests: bool = False)
             columns = [part.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64())]
             if digests:
                 columns.append(pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()))
-                columns.append(pa.array([hashlib.sha256(b"".join(map(own.bytes.__getitem__, words))).hexdigest() for words in split], pa.string()))
+                columns.append(pa.array([hashlib.sha256(own.decoded(words)).hexdigest() for words in split], pa.string()))
             else:
                 columns.append(pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in ids], pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays(columns, names=names)

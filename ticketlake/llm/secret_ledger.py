@@ -81,8 +81,11 @@ def scan(versions: DataFrame, ledger: DataFrame | None = None, rules_version: in
 
 
 def findings(versions: DataFrame, ledger: DataFrame, rules_version: int = RULES_VERSION) -> DataFrame:
-    """path, blob and spans of every version. Only blobs with findings meet the paths; a hot blob is split by Spark."""
-    some = ledger.where((F.col("rules_version") == rules_version) & (F.size("spans") > 0)).select("blob", "spans")
+    """path, blob and spans of every version. Only blobs with findings meet the paths; a hot blob is split by Spark.
+
+    A feed that was scanned twice against one state of the ledger has left two equal rows of a blob; one counts.
+    """
+    some = ledger.where((F.col("rules_version") == rules_version) & (F.size("spans") > 0)).select("blob", "spans").dropDuplicates(["blob"])
     paths = addressed(versions).select("path", "blob")
     return paths.join(some, "blob", "left").select("path", "blob", F.coalesce("spans", F.array().cast(SHAPE)).alias("spans"))
 

@@ -55,7 +55,7 @@ def parts(url: str = "url") -> list[Column]:
 
 def matched_rule(rules: Iterable[tuple[str, str, str]]) -> Column:
     """The longest rule whose host is the url's or above it, and whose path starts the url's; a struct of rule and verdict, or null."""
-    found = F.lit(None)
+    found = F.lit(None).cast("struct<rule: string, verdict: string>")
     for verdict, host, path in sorted(rules, key=lambda r: len(r[1] + r[2])):
         fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(path)
         found = F.when(fits, F.struct(F.lit(host + path).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
