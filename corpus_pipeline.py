@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.llm import bpe, contamination, lines, simhash, toxicity
-from ticketlake.llm.common import table
+from ticketlake.llm.common import cut_lineage, table
 from ticketlake.llm.queries import RANK_FILE
 from ticketlake.session import ensure_checkpoint_dir
 
 
+#: Name of a column that no table has.
+_ROW = "row identity of the near-copy stage"
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic, with a null or an empty text as they are."""
     scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
@@ -33,10 +37,21 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of each group with the smallest id; rows without an id stay."""
-    found = simhash.near_duplicates(docs)
-    others = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group stays: that of the smallest id, an id before none, then by digest of the text.
+
+    Rows are told apart by id and text, so rows that share an id are judged each by its own text. Rows that are equal in
+    both are copies of one another; these, usually few, are the only ones whose texts are compared by a shuffle.
+    """
+    digest = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))), 256)
+    row = F.unhex(F.substring(digest, 1, 32))
+    found = simhash.near_duplicates(docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row.alias("row")).alias("doc_id"), "text"))
+    rows = found.groupBy(F.col("doc_id.row").alias("row")).agg(
+        F.max(F.col("doc_id.row") != F.col("component_id.row")).alias("other"), F.count(F.lit(1)).alias("n")
+    )
+    odd = cut_lineage(rows.where("other OR n > 1"))
+    marked = docs.withColumns({_ROW: row}).join(odd.withColumnRenamed("row", _ROW), _ROW, "left")
+    copies = marked.where("NOT other").dropDuplicates([_ROW])
+    return marked.where("other IS NULL").unionByName(copies).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
