@@ -41,6 +41,15 @@ def test_stages_follow_their_rules(spark):
         before = after
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    """One of the three has a near copy; the other row of its id has none and stays. Equal rows become one."""
+    near = " ".join(f"word{k}" for k in range(300))
+    rows = [(1, near), (2, near + " end"), (2, "quite another text of its own, " * 9), (None, "no id"), (None, "no id"), (5, "twice"), (5, "twice"), (None, None), (7, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", None) for k, t in rows], SCHEMA)
+    kept = rows_of(pipeline.drop_near_copies(spark, docs, SF).select("doc_id", "text"))
+    assert kept == sorted([(1, near), (2, "quite another text of its own, " * 9), (None, "no id"), (5, "twice"), (7, "")], key=repr)
+
+
 def test_run_gives_what_the_stages_give(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for _, stage in pipeline.STAGES:
@@ -58,5 +67,5 @@ def test_awkward_rows_pass_every_stage(spark):
 
 def test_all_queries_are_registered():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {x[: x.index("_") + 1] for x in names if x.startswith("op") and x[2].isdigit()}
+    assert {f"op{n}_" for n in range(1, 14)} == {x[: x.index("_") + 1] for x in names if x.startswith("op") and x[2].isdigit()}
     assert "pipeline" in names and "op9_lines" in __spark_entry__.oracle_sql()
