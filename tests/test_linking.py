@@ -5,7 +5,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from ticketlake.operators.linking import RULES, attach_links, link_candidates, link_tickets, load_manual
+from ticketlake.operators import linking
+from ticketlake.operators.linking import RULES, ambiguous_candidates, attach_links, link_candidates, link_tickets, load_manual
+from ticketlake.operators.timelines import along
 
 SIDE = "ticket_id bigint, matricula string, protocolo_referencia string, assunto_normalizado string, data_criacao timestamp_ntz"
 MANUAL = "ticket_solicitacao_id string, ticket_notificacao_id string, justificativa string, usuario string, atualizado_em timestamp_ntz"
@@ -119,3 +121,63 @@ def test_candidate_counts(spark):
                 expected[(rid, rule)] = count
     got = link_candidates(spark.createDataFrame(requests, SIDE), spark.createDataFrame(notices, SIDE))
     assert {(r[0], r[1]): r[2] for r in got.collect()} == expected
+
+
+def test_candidates_of_every_ambiguous_request(spark):
+    """The whole list, also beyond the ids of the note; notices taken before are not in it."""
+    requests = [(i, "A", None, "s", T0 + timedelta(hours=50 + i)) for i in range(5)] + [(9, "A", "p", None, T0 + timedelta(hours=20))]
+    notices = [(1000 + i, "A", "p" if i == 3 else None, "s", T0 + timedelta(hours=i)) for i in range(30)] + [(2000, "B", None, "s", T0)]
+    sides = [spark.createDataFrame(rows, SIDE) for rows in (requests, notices)]
+    links = link_tickets(*sides, slice_rows=9)
+    got = sorted((r[0], r[2]) for r in ambiguous_candidates(links, *sides).collect())
+    assert got == [(i, 1000 + k) for i in range(5) for k in range(30) if k != 3]
+
+
+def test_joins_settle_nearly_all(spark):
+    """One account and subject holds a third of all rows; less than a tenth of the rows that could meet is walked."""
+    rnd = random.Random(5)
+    requests, notices = [], []
+    for i in range(900):
+        hot = i % 3 == 0
+        at = T0 + timedelta(hours=70 * i) if hot else T0 + timedelta(hours=rnd.randrange(9000))
+        key = ("A", None, "s") if hot else (f"c{i % 200}", f"p{rnd.randrange(3)}", rnd.choice(["s", "u", None]))
+        notices.append((10_000 + i, *key, at))
+        requests.append((i, *key, at + timedelta(hours=rnd.choice([1, 2, 30]))))
+    slim = [linking._slim(spark.createDataFrame(rows, SIDE)) for rows in (requests, notices)]
+    consumed = slim[1].selectExpr("ticket_id AS alvo", "conta", "t", "ticket_id").limit(0)
+    done, left, remaining = linking.peel(*slim, consumed, slice_rows=150)
+    walked = linking._with_partner(left, remaining).count() + linking._with_partner(remaining, left).count()
+    could_meet = linking._with_partner(*slim).count() + linking._with_partner(*slim[::-1]).count()
+    assert walked < 0.1 * could_meet and done.count() > 500
+    case = (requests, notices, [])
+    assert linked(spark, *case, 150) == walk(*case)
+
+
+@pytest.mark.parametrize("slice_rows", [10**6, 25, 3])
+def test_running_figures_do_not_depend_on_the_slices(spark, slice_rows):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(8)
+    rows = [(rnd.choice("aaaab"), rnd.randrange(40), i, rnd.random() < 0.6) for i in range(150)]
+    df = spark.createDataFrame(rows, "g string, t bigint, id bigint, note boolean")
+    found = along(df, ["g"], ["t", "id"], F.col("note"), F.when(~F.col("note"), F.struct("t", "id")), slice_rows).collect()
+    order = sorted(rows, key=lambda r: r[:3])
+    for r in found:
+        own = [x for x in order if x[0] == r.g]
+        at = own.index((r.g, r.t, r.id, r.note))
+        assert r.total == sum(x[3] for x in own[: at + 1])
+        after = [x for x in own[at + 1 :] if not x[3]]
+        assert (tuple(r.seguinte) if r.seguinte else None) == (after[0][1:3] if after else None)
+    assert len(found) == 150
+
+
+def test_a_slice_that_hands_over_less_reaches_the_next(spark):
+    """Long dependence through slices of two rows, walked without peeling."""
+    requests = [(i, "A", None, "s", T0 + timedelta(hours=3 * i + 2)) for i in range(30)]
+    notices = [(1000 + i, "A", None, "s", T0 + timedelta(hours=3 * i)) for i in range(30)] + [(1500, "A", None, "s", T0 + timedelta(hours=1))]
+    slim = [linking._slim(spark.createDataFrame(rows, SIDE)) for rows in (requests, notices)]
+    consumed = slim[1].selectExpr("ticket_id AS alvo", "conta", "t", "ticket_id").limit(0)
+    rows = {r.ticket_id: (r.candidatos, r.notificacao) for r in linking.serve_in_order(*slim, consumed, 7, 2).collect()}
+    want = {k: v for k, v in walk(requests, notices, []).items() if v[0] != "SEM_VINCULO"}
+    assert {k: v[0] for k, v in rows.items()} == {k: v[3] for k, v in want.items()}
+    assert {k: v[1] for k, v in rows.items()} == {k: v[2] for k, v in want.items()}

@@ -187,7 +187,25 @@ BY_HAND = """by_hand AS (SELECT ticket_id AS pedido, CASE WHEN ticket_id % 194 =
       CASE WHEN ticket_id % 194 = 0 THEN ticket_id + 1 ELSE -ticket_id END IN (SELECT ticket_id FROM n) AS vale FROM s WHERE ticket_id % 97 = 0)"""
 
 
-def link_sql(sides: str, by_hand: str = NO_HAND) -> str:
+LINK_ROWS = """
+    SELECT ticket_solicitacao_id, ticket_notificacao_id,
+      CASE WHEN vale THEN 'MANUAL' WHEN mao OR achados = 0 THEN 'SEM_VINCULO' WHEN achados = 1 THEN 'VINCULADO' ELSE 'AMBIGUO' END AS status_vinculo,
+      CASE WHEN vale THEN 'manual' WHEN mao THEN 'manual_invalido' WHEN regra = 0 THEN 'matricula_protocolo' WHEN regra = 1 THEN 'titulo_normalizado' END AS criterio_vinculo,
+      CAST(CASE WHEN vale THEN 1.0 WHEN mao THEN 0.0 WHEN regra = 0 THEN 0.95 WHEN regra = 1 THEN 0.85 END AS DOUBLE) AS confianca_vinculo,
+      criada AS data_entrada_reclamacao, criada AS data_criacao_solicitacao, n.data_criacao AS data_criacao_notificacao,
+      CAST(date_diff('day', CAST(n.data_criacao AS DATE), CAST(criada AS DATE)) AS INTEGER) AS dias_defasagem_abertura,
+      CAST(CASE WHEN vale THEN 1 WHEN mao THEN 0 ELSE achados END AS BIGINT) AS quantidade_candidatos,
+      CASE WHEN vale THEN 'a pedido' WHEN mao THEN 'Vinculo manual aponta para ticket de notificacao inexistente na base carregada.' WHEN achados > 1 THEN 'Candidatos encontrados para analise manual: ' || array_to_string(livres[1:10], ', ')
+        WHEN achados = 0 THEN 'Nenhum criterio automatico encontrou notificacao correspondente.' END AS observacao
+    FROM l LEFT JOIN n ON n.ticket_id = ticket_notificacao_id
+"""
+CANDIDATE_ROWS = """
+    SELECT ticket_solicitacao_id, CASE regra WHEN 0 THEN 'matricula_protocolo' ELSE 'titulo_normalizado' END AS criterio_vinculo, unnest(livres) AS ticket_notificacao_id
+    FROM l WHERE achados > 1 AND NOT mao
+"""
+
+
+def link_sql(sides: str, by_hand: str = NO_HAND, rows: str = LINK_ROWS) -> str:
     def options(key: str) -> str:
         return (
             f"coalesce((SELECT list(n.ticket_id ORDER BY n.data_criacao, n.ticket_id) FROM n LEFT JOIN gone g ON g.alvo = n.ticket_id WHERE n.matricula = q.matricula AND trim(n.{key}) <> '' AND n.{key} = q.{key}"
@@ -215,16 +233,7 @@ def link_sql(sides: str, by_hand: str = NO_HAND) -> str:
         CASE WHEN vale THEN h.alvo WHEN NOT mao AND len(livres) = 1 THEN livres[1] END AS ticket_notificacao_id, coalesce(len(livres), 0) AS achados, livres, s.data_criacao AS criada
       FROM s LEFT JOIN by_hand h ON h.pedido = s.ticket_id LEFT JOIN walk w ON w.ticket_id = s.ticket_id
     )
-    SELECT ticket_solicitacao_id, ticket_notificacao_id,
-      CASE WHEN vale THEN 'MANUAL' WHEN mao OR achados = 0 THEN 'SEM_VINCULO' WHEN achados = 1 THEN 'VINCULADO' ELSE 'AMBIGUO' END AS status_vinculo,
-      CASE WHEN vale THEN 'manual' WHEN mao THEN 'manual_invalido' WHEN regra = 0 THEN 'matricula_protocolo' WHEN regra = 1 THEN 'titulo_normalizado' END AS criterio_vinculo,
-      CAST(CASE WHEN vale THEN 1.0 WHEN mao THEN 0.0 WHEN regra = 0 THEN 0.95 WHEN regra = 1 THEN 0.85 END AS DOUBLE) AS confianca_vinculo,
-      criada AS data_entrada_reclamacao, criada AS data_criacao_solicitacao, n.data_criacao AS data_criacao_notificacao,
-      CAST(date_diff('day', CAST(n.data_criacao AS DATE), CAST(criada AS DATE)) AS INTEGER) AS dias_defasagem_abertura,
-      CAST(CASE WHEN vale THEN 1 WHEN mao THEN 0 ELSE achados END AS BIGINT) AS quantidade_candidatos,
-      CASE WHEN vale THEN 'a pedido' WHEN mao THEN 'Vinculo manual aponta para ticket de notificacao inexistente na base carregada.' WHEN achados > 1 THEN 'Candidatos encontrados para analise manual: ' || array_to_string(livres[1:10], ', ')
-        WHEN achados = 0 THEN 'Nenhum criterio automatico encontrou notificacao correspondente.' END AS observacao
-    FROM l LEFT JOIN n ON n.ticket_id = ticket_notificacao_id
+    {rows}
     """
 
 
@@ -241,6 +250,12 @@ def link_tickets_dense(spark, sf):
     return linking.link_tickets(*dense_sides(spark, sf))
 
 
+@query("link_ambiguous", link_sql(DENSE_SQL, rows=CANDIDATE_ROWS))
+def link_ambiguous(spark, sf):
+    sides = dense_sides(spark, sf)
+    return linking.ambiguous_candidates(linking.link_tickets(*sides), *sides)
+
+
 def manual_links(requests: DataFrame) -> DataFrame:
     """Every 97th request named by hand, half of them to a notice that does not exist."""
     k = F.col("ticket_id")
@@ -258,6 +273,13 @@ def link_tickets_manual(spark, sf):
     return linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)))
 
 
+@query("link_ambiguous_manual", link_sql(LINK_SQL.strip(), BY_HAND, CANDIDATE_ROWS))
+def link_ambiguous_manual(spark, sf):
+    requests, notices = link_sides(spark, sf)
+    links = linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)))
+    return linking.ambiguous_candidates(links, requests, notices)
+
+
 @query(
     "link_status_counts",
     f"SELECT status_vinculo, criterio_vinculo, count(*) AS qtde, CAST(sum(quantidade_candidatos) AS BIGINT) AS candidatos FROM ({link_sql(LINK_SQL.strip(), BY_HAND)}) GROUP BY ALL",

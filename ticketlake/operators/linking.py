@@ -2,9 +2,15 @@
 
 Requests are served in order of creation. A request takes the only unused notice that shares its account
 and protocol (else its account and subject) and was created within the window before it; two or more make
-it ambiguous. Serving in order is sequential inside an account, and one account may hold a third of all
+it ambiguous.
+
+First the requests are peeled by joins (`peel`): where a request is the first to reach every notice of its
+window, nobody has used one before it, so counts alone say what it gets. It leaves, with the notice it took,
+and others become first. What is left after a few rounds is the contested core.
+
+The core is walked. Serving in order is sequential inside an account, and one account may hold a third of all
 rows, so the timeline of all accounts is range-partitioned into slices of bounded size. Each slice is
-served on its own, then slices whose predecessor leaves unused notices behind are served again with them,
+served on its own, then slices whose predecessor leaves other unused notices behind are served again with them,
 until nothing changes. A slice only depends on the one before it, so the fixed point is the exact answer;
 a gap or a full window makes a slice forget its past, which is why few rounds are needed.
 """
@@ -13,6 +19,7 @@ from __future__ import annotations
 
 from collections import deque
 
+from functools import reduce
 from itertools import islice
 
 import pandas as pd
@@ -24,6 +31,7 @@ from ticketlake.functions.dates import days_lag
 from ticketlake.functions.text import strip
 from ticketlake.operators.dedup import keep_one
 from ticketlake.operators.orders import spread_nulls
+from ticketlake.operators.timelines import SLICE_ROWS, along, sliced
 from ticketlake.session import cut_lineage
 from ticketlake.sources.canonical import coerce_ids
 
@@ -41,7 +49,10 @@ NOTE_AMBIGUOUS = "Candidatos encontrados para analise manual: "
 STATUS_NOT_LOADED = "NOTIFICACAO_NAO_CARREGADA"
 
 DAY_MICROS = 86_400_000_000
-SLICE_ROWS = 500_000
+#: Rounds of joins before the walk; each settles the requests that are first at all their notices.
+PEEL_ROUNDS = 3
+_GROUP, _ORDER = ["conta", "regra", "chave"], ["t", "lugar", "ticket_id"]
+_NOTICE, _REQUEST, _HORIZON = 1, 2, 0
 _SERVED = (
     "fatia int, tipo string, ticket_id bigint, regra int, candidatos bigint, notificacao bigint, lista string,"
     " conta string, t bigint, protocolo string, assunto string"
@@ -71,49 +82,102 @@ def load_manual(links: DataFrame) -> DataFrame:
     )
 
 
-def link_candidates(requests: DataFrame, notices: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
+def link_candidates(
+    requests: DataFrame, notices: DataFrame, window_days: int = WINDOW_DAYS, slice_rows: int = SLICE_ROWS
+) -> DataFrame:
     """How many notices each request could take under each rule, before any is used.
 
     Counted with running totals, not by forming pairs: the count in [t - window, t] is the total up to t
-    less the total before t - window. Timelines are cut into cells as long as the window, each with the
-    notices of the cell before it, so no task sees more than two windows of one key.
+    less the total before t - window. `along` cuts the timelines anywhere, so no task sees more than a slice.
     """
+    events = _timeline(_slim(requests), _slim(notices), window_days)
+    counted = _candidate_counts(along(events, _GROUP, _ORDER, F.col("lugar") == _NOTICE, slice_rows=slice_rows))
+    return counted.filter(F.col("candidatos") > 0).select(
+        F.col("ticket_id").alias("ticket_solicitacao_id"),
+        _of_rule([name for name, _, _ in RULES]).alias("criterio_vinculo"),
+        F.col("candidatos").alias("quantidade_candidatos"),
+    )
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    """One row per rule whose key a ticket has."""
+    options = [F.struct(F.lit(i).alias("regra"), F.col(c).alias("chave")) for i, c in enumerate(("protocolo", "assunto"))]
+    return df.select("ticket_id", "conta", "t", F.inline(F.array(*options))).filter(F.col("chave").isNotNull())
+
+
+def _timeline(requests: DataFrame, notices: DataFrame, window_days: int) -> DataFrame:
+    """Per account, rule and key: arrivals of notices, turns of requests, and the time where each request's window opens."""
     span = window_days * DAY_MICROS
+    places = F.array(
+        F.struct(F.col("t").alias("t"), F.lit(_REQUEST).alias("lugar")),
+        F.struct((F.col("t") - span).alias("t"), F.lit(_HORIZON).alias("lugar")),
+    )
+    turns = _keyed(requests).select("ticket_id", "conta", "regra", "chave", F.inline(places))
+    return turns.unionByName(_keyed(notices).withColumn("lugar", F.lit(_NOTICE)))
 
-    def keyed(df: DataFrame) -> DataFrame:
-        options = F.array(
-            *[F.struct(F.lit(i).alias("regra"), _key(key).alias("chave")) for i, (_, key, _) in enumerate(RULES)]
-        )
-        return (
-            df.filter((strip(F.col("matricula")) != "") & F.col("data_criacao").isNotNull())
-            .select("ticket_id", "matricula", _micros("data_criacao").alias("t"), F.inline(options))
-            .filter(F.col("chave").isNotNull())
-            .withColumn("celula", F.floor(F.col("t") / span))
-        )
 
-    arrivals = keyed(notices).selectExpr(
-        "matricula", "regra", "chave", "explode(array(celula, celula + 1)) AS celula", "t", "1 AS lugar",
-        "CAST(NULL AS bigint) AS ticket_id",
+def _candidate_counts(timeline: DataFrame) -> DataFrame:
+    """ticket_id, regra, candidatos: notices in the window of each request under each rule."""
+    signed = F.when(F.col("lugar") == _REQUEST, F.col("total")).otherwise(-F.col("total"))
+    return timeline.filter(F.col("lugar") != _NOTICE).groupBy("ticket_id", "regra").agg(F.sum(signed).alias("candidatos"))
+
+
+def _peel_once(requests: DataFrame, notices: DataFrame, consumed: DataFrame, window_days: int, slice_rows: int) -> tuple:
+    """Outcomes of the requests that are first at every notice of their window, and all that still have candidates."""
+    turn = F.when(F.col("lugar") == _REQUEST, F.struct("t", "ticket_id"))
+    timeline = cut_lineage(
+        along(_timeline(requests, notices, window_days), _GROUP, _ORDER, F.col("lugar") == _NOTICE, turn, slice_rows)
     )
-    probes = keyed(requests).selectExpr(
-        "matricula", "regra", "chave", "celula",
-        f"inline(array(struct(t AS t, 2 AS lugar), struct(t - {span} AS t, 0 AS lugar)))", "ticket_id",
-    ).select("matricula", "regra", "chave", "celula", "t", "lugar", "ticket_id")
-    timeline = Window.partitionBy("matricula", "regra", "chave", "celula").orderBy("t", "lugar")
-    total = F.count_if(F.col("lugar") == 1).over(timeline)
-    counted = (
-        arrivals.unionByName(probes)
-        .withColumn("total", total)
-        .filter(F.col("lugar") != 1)
-        .groupBy("ticket_id", "regra")
-        .agg(F.sum(F.when(F.col("lugar") == 2, F.col("total")).otherwise(-F.col("total"))).alias("candidatos"))
-        .filter(F.col("candidatos") > 0)
+    counts = _candidate_counts(timeline).filter(F.col("candidatos") > 0)
+    # The first rule with candidates is the one that counts.
+    asked = counts.groupBy("ticket_id").agg(F.min(F.struct("regra", "candidatos")).alias("a")).select("ticket_id", "a.*")
+    reach = F.when(F.col("seguinte.t") <= F.col("t") + window_days * DAY_MICROS, F.col("seguinte"))
+    # Notices that are taken by hand at some turn stay contested.
+    first = (
+        timeline.filter((F.col("lugar") == _NOTICE) & reach.isNotNull())
+        .groupBy(F.col("ticket_id").alias("notificacao"))
+        .agg(F.min(reach).alias("primeiro"), F.collect_list(F.struct("regra", reach.alias("por"))).alias("regras"), F.min("t").alias("chegada"))
+        .join(consumed.select(F.col("alvo").alias("notificacao")), "notificacao", "left_anti")
+        .select("notificacao", "chegada", "primeiro", F.explode("regras").alias("r"))
+        .filter(F.col("r.por") == F.col("primeiro"))
+        .select("notificacao", "chegada", F.col("primeiro.ticket_id").alias("ticket_id"), F.col("r.regra").alias("regra"))
     )
-    return counted.select(
-        F.col("ticket_id").alias("ticket_solicitacao_id"),
-        _of_rule([name for name, _, _ in RULES]).alias("criterio_vinculo"),
-        F.col("candidatos").alias("quantidade_candidatos"),
+    own = first.groupBy("ticket_id", "regra").agg(F.count(F.lit(1)).alias("candidatos"), F.min("notificacao").alias("unica"))
+    sure = asked.join(own, ["ticket_id", "regra", "candidatos"])
+    place = F.row_number().over(Window.partitionBy("ticket_id", "regra").orderBy("chegada", "notificacao"))
+    listed = (
+        first.withColumn("lugar", place).filter(F.col("lugar") <= LISTED_CANDIDATES)
+        .groupBy("ticket_id", "regra").agg(F.array_sort(F.collect_list(F.struct("lugar", "notificacao"))).alias("ids"))
     )
+    settled = cut_lineage(
+        sure.join(listed, ["ticket_id", "regra"]).select(
+            "ticket_id", "regra", "candidatos", F.when(F.col("candidatos") == 1, F.col("unica")).alias("notificacao"),
+            F.when(F.col("candidatos") > 1, F.array_join(F.transform("ids", lambda x: x["notificacao"].cast("string")), ", ")).alias("lista"),
+        )
+    )
+    return settled, asked.select("ticket_id")
+
+
+def peel(
+    requests: DataFrame, notices: DataFrame, consumed: DataFrame, window_days: int = WINDOW_DAYS, slice_rows: int = SLICE_ROWS,
+    rounds: int = PEEL_ROUNDS,
+) -> tuple[DataFrame | None, DataFrame, DataFrame]:
+    """Outcomes settled by joins, and the requests and notices that are left for the walk.
+
+    Arguments as of `serve_in_order`. A request without a candidate, taken ones gone, needs no outcome and leaves too.
+    """
+    done = None
+    for _ in range(rounds):
+        settled, asking = _peel_once(requests, notices, consumed, window_days, slice_rows)
+        if settled.isEmpty():
+            break
+        done = settled if done is None else done.unionByName(settled)
+        requests = cut_lineage(requests.join(asking, "ticket_id", "left_semi").join(settled, "ticket_id", "left_anti"))
+        if requests.isEmpty():
+            break
+        taken = settled.filter(F.col("notificacao").isNotNull()).select(F.col("notificacao").alias("ticket_id"))
+        notices = cut_lineage(notices.join(taken, "ticket_id", "left_anti"))
+    return done, requests, notices
 
 
 class _Timeline:
@@ -206,17 +270,6 @@ def _serve(slices: DataFrame, carried: DataFrame, window_days: int) -> DataFrame
     )
 
 
-def _slices(events: DataFrame, slice_rows: int) -> DataFrame:
-    """Contiguous runs of the total order (account, time, kind, id), each of about `slice_rows` rows.
-
-    The id is part of the range key, so neither a hot account nor a hot instant can make a slice grow.
-    """
-    events = cut_lineage(events)
-    parts = max(1, -(-events.count() // slice_rows))
-    ranged = events.repartitionByRange(parts, "conta", "t", "ordem", "ticket_id")
-    return cut_lineage(ranged.withColumn("fatia", F.spark_partition_id()))
-
-
 def serve_in_order(
     requests: DataFrame, notices: DataFrame, consumed: DataFrame, window_days: int, slice_rows: int
 ) -> DataFrame:
@@ -226,6 +279,7 @@ def serve_in_order(
     `consumed`: (alvo, conta, t, ticket_id), notices taken by hand when request `ticket_id` has its turn.
     """
     columns = ["conta", "t", "ordem", "ticket_id", "alvo", "protocolo", "assunto"]
+    notices = _with_partner(notices, requests)
     nothing = F.lit(None).cast("string")
     events = (
         notices.select("conta", "t", F.lit(0).alias("ordem"), "ticket_id", F.lit(-1).cast("bigint").alias("alvo"),
@@ -240,7 +294,8 @@ def serve_in_order(
         )
         .select(*columns)
     )
-    slices = _slices(events, slice_rows)
+    # The id is part of the order, so neither a hot account nor a hot instant can make a slice grow.
+    slices, parts = sliced(events, ["conta", "t", "ordem", "ticket_id"], slice_rows)
     # One row per slice: its first and last account, and the slice that follows it.
     bounds = cut_lineage(
         slices.groupBy("fatia").agg(F.min("conta").alias("inicio"), F.min_by("t", F.struct("conta", "t")).alias("t0"))
@@ -263,23 +318,35 @@ def serve_in_order(
         [], "fatia int, ticket_id bigint, conta string, t bigint, protocolo string, assunto string"
     )
     served = cut_lineage(_serve(slices, carried, window_days))
-    for _ in range(slices.select("fatia").distinct().count()):
+    versions, asked = [served], []  # what each round served, and which slices it served anew
+    for _ in range(parts - 1):
         fresh = cut_lineage(handed_over(served))
-        changed = (
+        # Only the slices behind those just served can have other notices handed over now.
+        before = carried
+        if asked:
+            behind = follows.join(asked[-1].select(F.col("fatia").alias("anterior")), "anterior").select(F.col("seguinte").alias("fatia"))
+            before = carried.join(behind, "fatia", "left_semi")
+        changed = cut_lineage(
             fresh.select("fatia", "ticket_id", F.lit(1).alias("novo"))
-            .join(carried.select("fatia", "ticket_id", F.lit(1).alias("velho")), ["fatia", "ticket_id"], "full")
+            .join(before.select("fatia", "ticket_id", F.lit(1).alias("velho")), ["fatia", "ticket_id"], "full")
             .filter(F.col("novo").isNull() | F.col("velho").isNull())
             .select("fatia").distinct()
         )
-        changed = cut_lineage(changed)
         if changed.isEmpty():
             break
-        again = _serve(
-            slices.join(changed, "fatia", "left_semi"), fresh.join(changed, "fatia", "left_semi"), window_days
-        )
-        served = cut_lineage(served.join(changed, "fatia", "left_anti").unionByName(again))
-        carried = fresh
-    return served.filter(F.col("tipo") == "R").select("ticket_id", "regra", "candidatos", "notificacao", "lista")
+        now = fresh.join(changed, "fatia", "left_semi")
+        served = cut_lineage(_serve(slices.join(changed, "fatia", "left_semi"), now, window_days))
+        carried = cut_lineage(carried.join(changed, "fatia", "left_anti").unionByName(now))
+        versions.append(served)
+        asked.append(changed)
+    # The latest version of each slice counts; the earlier ones stay as they were written.
+    outcomes = []
+    for k, rows in enumerate(versions):
+        found = rows.filter(F.col("tipo") == "R")
+        for later in asked[k:]:
+            found = found.join(later, "fatia", "left_anti")
+        outcomes.append(found.select("ticket_id", "regra", "candidatos", "notificacao", "lista"))
+    return reduce(DataFrame.unionByName, outcomes)
 
 
 def _slim(df: DataFrame) -> DataFrame:
@@ -375,10 +442,13 @@ def link_tickets(
         open_notices = open_notices.join(early, "ticket_id", "left_anti")
         automatic = base.join(by_hand.select("ticket_id"), "ticket_id", "left_anti")
 
-    asking = _slim(automatic)
-    served = serve_in_order(
-        _with_partner(asking, open_notices), _with_partner(open_notices, asking), consumed, window_days, slice_rows
-    )
+    consumed = cut_lineage(consumed)
+    asking, open_notices = cut_lineage(_slim(automatic)), cut_lineage(open_notices)
+    asking, open_notices = _with_partner(asking, open_notices), _with_partner(open_notices, asking)
+    peeled, asking, open_notices = peel(asking, open_notices, consumed, window_days, slice_rows)
+    served = serve_in_order(asking, open_notices, consumed, window_days, slice_rows)
+    if peeled is not None:
+        served = served.unionByName(peeled)
     rule_name = _of_rule([name for name, _, _ in RULES])
     confidence = _of_rule([value for _, _, value in RULES])
     linked, many = F.col("notificacao").isNotNull(), F.col("lista").isNotNull()
@@ -408,6 +478,36 @@ def link_tickets(
     )
 
 
+def ambiguous_candidates(
+    links: DataFrame, requests: DataFrame, notices: DataFrame, window_days: int = WINDOW_DAYS
+) -> DataFrame:
+    """Every notice that an ambiguous request of `links` could have taken at its turn; the note names the first few only.
+
+    A notice counts if no request before took it. Cells as long as the window bring a request to the notices of its own
+    cell and the one before; the rows made are the rows returned, but for those outside the window or taken.
+    """
+    span = window_days * DAY_MICROS
+    number = F.when(F.col("criterio_vinculo") == RULES[0][0], 0).when(F.col("criterio_vinculo") == RULES[1][0], 1)
+    open_cases = links.filter("status_vinculo = 'AMBIGUO'").select(F.col("ticket_solicitacao_id").alias("ticket_id"), number.alias("regra"), "criterio_vinculo")
+    cell = F.floor(F.col("t") / span)
+    asked = (
+        _keyed(_slim(requests)).join(open_cases, ["ticket_id", "regra"])
+        .select("ticket_id", "criterio_vinculo", F.col("t").alias("vez"), *_GROUP, F.explode(F.array(cell - 1, cell)).alias("celula"))
+    )
+    turn = F.struct(_micros("data_criacao_solicitacao").alias("vez"), F.col("ticket_solicitacao_id").alias("ticket_id"))
+    used = (
+        links.filter(F.col("ticket_notificacao_id").isNotNull() & F.col("data_criacao_solicitacao").isNotNull())
+        .groupBy(F.col("ticket_notificacao_id").alias("notificacao")).agg(F.min(turn).alias("tomada"))
+    )
+    offered = _keyed(_slim(notices)).select(F.col("ticket_id").alias("notificacao"), "t", *_GROUP, cell.alias("celula")).join(used, "notificacao", "left")
+    return (
+        asked.join(offered, [*_GROUP, "celula"])
+        .filter((F.col("t") <= F.col("vez")) & (F.col("t") >= F.col("vez") - span))
+        .filter(F.col("tomada").isNull() | (F.col("tomada") > F.struct("vez", "ticket_id")))
+        .select(F.col("ticket_id").alias("ticket_solicitacao_id"), "criterio_vinculo", F.col("notificacao").alias("ticket_notificacao_id"))
+    )
+
+
 def attach_links(tickets: DataFrame, links: DataFrame | None) -> DataFrame:
     """Link outcome on each ticket; the ticket itself and its creation fill what is missing."""
     added = (
