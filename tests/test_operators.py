@@ -140,16 +140,17 @@ def scored_by_hand(ticket, candidates):
     return scored[0][2], scored[0][0], scored[1][0] if len(scored) > 1 else 0.0
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_scores_equal_all_pairs(spark, seed):
+@pytest.mark.parametrize(("seed", "direct_classes", "most"), [(1, 200, 3), (2, 0, 3), (3, 0, 8), (4, 30, 5)])
+def test_scores_equal_all_pairs(spark, seed, direct_classes, most):
+    """Whether an account's tickets meet all its orders or go through the token index."""
     rnd = random.Random(seed)
-    words = ["AGUA", "ESGOTO", "FATURA", "RUA", "NOVA"]
-    pick = lambda: sorted(rnd.sample(words, rnd.randint(0, 3)))
+    words = ["AGUA", "ESGOTO", "FATURA", "RUA", "NOVA", *[f"W{k}" for k in range(most)]]
+    pick = lambda: sorted({*rnd.sample(words, rnd.randint(0, most)), *rnd.sample(words[:1], rnd.randint(0, 1))})
     day = lambda: datetime(2024, 1, 1).replace(month=rnd.randint(1, 6), day=rnd.randint(1, 28))
     os = [(f"os{i:03d}", str(i), rnd.choice("AAAB"), rnd.choice([None, day(), day()]), rnd.choice([None, "EXECUTADA", "PENDENTE", "PENDENTE_VENCIDA"]), pick()) for i in range(120)]
     ts = [(i, rnd.choice("AABC"), rnd.choice([None, day().date(), day().date(), day().date()]), rnd.random() < 0.5, pick()) for i in range(80)]
     tickets = spark.createDataFrame(ts, "ticket_id bigint, matricula string, dia date, aberto boolean, tokens array<string>")
-    got = {r["ticket_id"]: (r["melhor"]["gss_os_id"], r["melhor"]["score"], r["segundo"]) for r in orders.score_orders(tickets, order_frame(spark, os)).collect()}
+    got = {r["ticket_id"]: (r["melhor"]["gss_os_id"], r["melhor"]["score"], r["segundo"]) for r in orders.score_orders(tickets, order_frame(spark, os), direct_classes).collect()}
     expected = {}
     for i, account, d, is_open, tokens in ts:
         mine = [o for o in os if o[2] == account]

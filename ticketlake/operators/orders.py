@@ -16,6 +16,7 @@ from ticketlake.functions.text import (
 from ticketlake.operators.dedup import dedup_first, dedup_latest, keep_one
 from ticketlake.operators.filters import OPEN_STATUSES
 from ticketlake.schemas import WORK_ORDER_ALIASES, WORK_ORDER_FEED
+from ticketlake.session import cut_lineage
 from ticketlake.sources.canonical import canonicalize, headers_by_name, quoted, with_required
 
 # Order column -> ticket column it may fill; score weights, bands and thresholds.
@@ -37,6 +38,10 @@ TICKET_WORDS = (
     "titulo", "assunto", "tipo_solicitacao", "tipo_manifestacao", "classificacao_solicitacoes", "canais_de_atrito",
 )
 TICKET_DATES = ("data_entrada_reclamacao", "data_criacao_solicitacao", "data_criacao")
+#: Orders (two of each class) up to which an account's tickets simply meet them all.
+DIRECT_CLASSES = 200
+ORDER_FIELDS = ["matricula", "gss_os_id", "numero_os", "data_emissao", "status_os_gss", "tokens_servico", "dia_os"]
+_ASKER = ["tokens", "aberto"]
 MATCH_COLUMNS = {
     "numero_os": "string", "numero_os_original": "string", "numero_os_gss": "string", "gss_os_id": "string",
     "origem_numero_os": "string", "status_vinculo_os": "string", "score_vinculo_os": "double",
@@ -159,23 +164,26 @@ def _best_two(df: DataFrame, keys: list[str], *first: Column) -> DataFrame:
     return df.withColumn("_lugar", place).filter(F.col("_lugar") <= 2).drop("_lugar")
 
 
-def score_orders(tickets: DataFrame, orders: DataFrame) -> DataFrame:
+def score_orders(tickets: DataFrame, orders: DataFrame, direct_classes: int = DIRECT_CLASSES) -> DataFrame:
     """Best and second-best score per ticket over all orders of its account.
 
     A score depends on an order only through its class (status and service tokens) and its distance in
-    days. So the two best orders of each class are all a ticket can need: those nearest to the ticket's
-    day, and, for orders outside the date bands, the newest two whatever the day. Tickets meet classes
-    instead of orders, and an account that holds a third of all orders costs its number of classes.
+    days. So the two best orders of each class are all a ticket can need near its day. Beyond the date
+    bands the day does not count: `far_orders` ranks an account's orders once for each set of ticket
+    words. If one of its two lies near a ticket after all, it scores higher there, so that no third
+    order is ever missed; only the far score of that order is left out.
 
     `tickets(ticket_id, matricula, dia, aberto, tokens)`,
     `orders(gss_os_id, numero_os, matricula, data_emissao, status_os_gss, tokens_servico)`.
     """
+    # Read four times below; the words of a ticket are the costly part.
+    tickets = cut_lineage(tickets.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>"))))
     slim = orders.filter(F.col("matricula").isNotNull()).select(
         "matricula", "gss_os_id", "numero_os", "data_emissao", "status_os_gss", "tokens_servico",
         F.to_date("data_emissao").alias("dia_os"),
     )
     kind = ["matricula", "status_os_gss", "tokens_servico"]
-    daily = _best_two(slim, [*kind, "dia_os"])
+    daily = cut_lineage(_best_two(slim, [*kind, "dia_os"]))
     newest = _best_two(daily, kind)
 
     # Days that occur in an account's tickets, each meeting the order days within the last band.
@@ -196,9 +204,10 @@ def score_orders(tickets: DataFrame, orders: DataFrame) -> DataFrame:
 
     close = tickets.join(near, ["matricula", "dia"])
     outside = F.col("dia").isNull() | F.col("dia_os").isNull() | (F.abs(distance) > HORIZON)
-    far = tickets.join(newest, "matricula").filter(outside).withColumn("date_score", F.lit(0.0))
+    words = ["matricula", "tokens", "aberto"]
+    far = tickets.join(far_orders(tickets.select(*words).distinct(), newest, direct_classes), words).filter(outside)
 
-    pairs = close.unionByName(far)
+    pairs = close.unionByName(far.withColumn("date_score", F.lit(0.0)).select(*close.columns))
     pairs = pairs.withColumns(
         {
             "service_score": jaccard(F.col("tokens"), F.col("tokens_servico")),
@@ -221,6 +230,71 @@ def score_orders(tickets: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def _overlap_score(words: Column, service: Column) -> Column:
+    return F.lit(WEIGHT_SERVICE) * words + F.lit(WEIGHT_STATUS) * service
+
+
+def _ranked_two(pairs: DataFrame) -> DataFrame:
+    """Score of each pair without a date, and the two best orders of each asker."""
+    scored = pairs.withColumns(
+        {"_js": jaccard(F.col("tokens"), F.col("tokens_servico")), "_ss": status_score(F.col("status_os_gss"), F.col("aberto"))}
+    )
+    return _best_two(scored.withColumn("_nota", _overlap_score(F.col("_js"), F.col("_ss"))), ["_pedido"], F.desc("_nota"))
+
+
+def far_orders(askers: DataFrame, newest: DataFrame, direct_classes: int = DIRECT_CLASSES) -> DataFrame:
+    """The two best orders of the account of each (matricula, tokens, aberto), dates left aside.
+
+    `newest` has up to two orders of each class. Askers of an account with few of them meet them all; in larger accounts,
+    where that would grow with askers times classes, they go through the token index. Both ways are exact.
+    """
+    asked = cut_lineage(askers.withColumn("_pedido", F.monotonically_increasing_id()))
+    newest = cut_lineage(newest.select(*ORDER_FIELDS))
+    large = cut_lineage(newest.groupBy("matricula").count().filter(F.col("count") > direct_classes).select("matricula"))
+    few = asked.join(large, "matricula", "left_anti").join(newest, "matricula")
+    found = _ranked_two(few).select(*_ASKER, *ORDER_FIELDS)
+    if large.isEmpty():
+        return found
+    many = [df.join(large, "matricula", "left_semi") for df in (asked, newest)]
+    return found.unionByName(_far_by_index(*many))
+
+
+def _far_by_index(asked: DataFrame, newest: DataFrame) -> DataFrame:
+    """As `far_orders`, by a prefix-filtered token index.
+
+    An order loses to two newer ones of its status that share as many words of the same total, so three lists suffice: the newest two of each status (orders that share no word), the newest two of each
+    status, word and number of words (orders that share one word), and, for orders that share more, the classes with a word
+    of the asker, rarest word first. The first two lists give a bound. A word is looked up in the third only while an order
+    without the rarer words could still reach the bound, and the commonest word never is: who shares two words has another.
+    Common words therefore meet short lists, however many texts an account has.
+    """
+    index = newest.withColumn("_tamanho", F.size("tokens_servico")).withColumn("_palavra", F.explode("tokens_servico"))
+    none_shared = _best_two(newest, ["matricula", "status_os_gss"])
+    one_shared = _best_two(index, ["matricula", "status_os_gss", "_palavra", "_tamanho"]).drop("_tamanho")
+    looked_up = asked.withColumn("_palavra", F.explode("tokens"))
+    first = asked.join(none_shared, "matricula").unionByName(
+        looked_up.join(one_shared, ["matricula", "_palavra"]).drop("_palavra")
+    ).dropDuplicates(["_pedido", "gss_os_id"])
+    leading = cut_lineage(_ranked_two(first))
+    bound = leading.groupBy("_pedido").agg(F.when(F.count(F.lit(1)) == 2, F.min("_nota")).otherwise(0.0).alias("_limite"))
+
+    held = index.groupBy("matricula", "_palavra").agg(F.count(F.lit(1)).alias("_classes"))
+    rarest = Window.partitionBy("_pedido").orderBy("_classes", "_palavra")
+    left = looked_up.join(held, ["matricula", "_palavra"]).withColumns(
+        {"_ordem": F.row_number().over(rarest) - 1, "_conhecidas": F.count(F.lit(1)).over(Window.partitionBy("_pedido"))}
+    )
+    most = _overlap_score((F.col("_conhecidas") - F.col("_ordem")) / F.size("tokens"), F.when(F.col("aberto"), 1.0).otherwise(0.75))
+    probes = left.join(bound, "_pedido").filter((F.col("_ordem") < F.col("_conhecidas") - 1) & (most >= F.col("_limite") - 1e-9))
+    sizes = F.least(F.size("tokens"), F.col("_tamanho")) / F.greatest(F.size("tokens"), F.col("_tamanho"))
+    reachable = _overlap_score(sizes, status_score(F.col("status_os_gss"), F.col("aberto"))) >= F.col("_limite") - 1e-9
+    more = (
+        probes.select("matricula", "_palavra", "_pedido", "tokens", "aberto", "_limite").join(index, ["matricula", "_palavra"])
+        .filter(reachable).select("_pedido", *_ASKER, *ORDER_FIELDS).dropDuplicates(["_pedido", "gss_os_id"])
+    )
+    both = leading.select("_pedido", *_ASKER, *ORDER_FIELDS).unionByName(more).dropDuplicates(["_pedido", "gss_os_id"])
+    return _ranked_two(both).select(*_ASKER, *ORDER_FIELDS)
+
+
 def _present(df: DataFrame, names: tuple[str, ...]) -> list[Column]:
     return [F.col(c) for c in names if c in df.columns]
 

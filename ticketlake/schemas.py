@@ -100,49 +100,110 @@ WORK_ORDER_ALIASES = {
 LINEAGE = {"arquivo_origem": TEXT, "arquivo_mtime": TS}
 
 
-def _typed(text: str, kind: str = TEXT) -> dict[str, str]:
-    return {name: kind for name in text.split()}
-
-
-TICKET_TEXT = """
-atribuido titulo assunto tipo_conversa tipo_solicitacao status matricula bloco tipo_manifestacao numero_os
-resultado_tratativa tags_ticket grupo_tickets superintendencia_adr canal_origem cpf_cliente passou_nivel_1
-canais_de_atrito protocolo_referencia_informado motivo_espera prioridade_ticket controle_interno concessionaria
-bairro municipio logradouro endereco numero_porta complemento telefone nome_cliente_gss nome_requerente_gss
-nome_solicitante email_solicitante classificacao_solicitacoes formulario_ticket classificacao_notificacoes
-audiencia tipo_audiencia preposto local_procon
-"""
 TICKET_FEED = {
     "ticket_id": LONG,
-    **_typed("data_criacao data_resolucao data_audiencia data_reagendamento", TS),
-    **_typed(TICKET_TEXT),
+    "data_criacao": TS,
+    "data_resolucao": TS,
+    "data_audiencia": TS,
+    "data_reagendamento": TS,
+    "atribuido": TEXT,
+    "titulo": TEXT,
+    "assunto": TEXT,
+    "tipo_conversa": TEXT,
+    "tipo_solicitacao": TEXT,
+    "status": TEXT,
+    "matricula": TEXT,
+    "bloco": TEXT,
+    "tipo_manifestacao": TEXT,
+    "numero_os": TEXT,
+    "resultado_tratativa": TEXT,
+    "tags_ticket": TEXT,
+    "grupo_tickets": TEXT,
+    "superintendencia_adr": TEXT,
+    "canal_origem": TEXT,
+    "cpf_cliente": TEXT,
+    "passou_nivel_1": TEXT,
+    "canais_de_atrito": TEXT,
+    "protocolo_referencia_informado": TEXT,
+    "motivo_espera": TEXT,
+    "prioridade_ticket": TEXT,
+    "controle_interno": TEXT,
+    "concessionaria": TEXT,
+    "bairro": TEXT,
+    "municipio": TEXT,
+    "logradouro": TEXT,
+    "endereco": TEXT,
+    "numero_porta": TEXT,
+    "complemento": TEXT,
+    "telefone": TEXT,
+    "nome_cliente_gss": TEXT,
+    "nome_requerente_gss": TEXT,
+    "nome_solicitante": TEXT,
+    "email_solicitante": TEXT,
+    "classificacao_solicitacoes": TEXT,
+    "formulario_ticket": TEXT,
+    "classificacao_notificacoes": TEXT,
+    "audiencia": TEXT,
+    "tipo_audiencia": TEXT,
+    "preposto": TEXT,
+    "local_procon": TEXT,
     **LINEAGE,
 }
 N1_FEED = {
     "ticket_id": LONG,
-    **_typed("data_criacao data_resolucao", TS),
-    **_typed(
-        "matricula bloco status titulo assunto grupo_tickets canal_ticket canal_origem formulario_ticket"
-        " tipo_ticket conversation_id tipo_conversa"
-    ),
+    "data_criacao": TS,
+    "data_resolucao": TS,
+    "matricula": TEXT,
+    "bloco": TEXT,
+    "status": TEXT,
+    "titulo": TEXT,
+    "assunto": TEXT,
+    "grupo_tickets": TEXT,
+    "canal_ticket": TEXT,
+    "canal_origem": TEXT,
+    "formulario_ticket": TEXT,
+    "tipo_ticket": TEXT,
+    "conversation_id": TEXT,
+    "tipo_conversa": TEXT,
     **LINEAGE,
 }
 HEARING_FEED = {
-    **_typed("ticket_audiencia_id ticket_relacionado_id", LONG),
-    **_typed("data_audiencia data_reagendamento", TS),
-    **_typed("tipo_audiencia status_ticket preposto_id preposto atribuido"),
+    "ticket_audiencia_id": LONG,
+    "ticket_relacionado_id": LONG,
+    "data_audiencia": TS,
+    "data_reagendamento": TS,
+    "tipo_audiencia": TEXT,
+    "status_ticket": TEXT,
+    "preposto_id": TEXT,
+    "preposto": TEXT,
+    "atribuido": TEXT,
     **LINEAGE,
 }
 WORK_ORDER_FEED = {
-    **_typed("numero_os ano_os matricula"),
-    **_typed(
-        "data_emissao data_agendamento data_impressao previsao_conclusao data_execucao entrada_setor", TS
-    ),
-    **_typed(
-        "servico_executado nome_cliente nome_requerente telefone endereco_requerente nome_logradouro"
-        " numero_porta complemento bairro municipio executor data_pedido atendente solicitacao_associada"
-        " tipo_solicitacao_gss"
-    ),
+    "numero_os": TEXT,
+    "ano_os": TEXT,
+    "matricula": TEXT,
+    "data_emissao": TS,
+    "data_agendamento": TS,
+    "data_impressao": TS,
+    "previsao_conclusao": TS,
+    "data_execucao": TS,
+    "entrada_setor": TS,
+    "servico_executado": TEXT,
+    "nome_cliente": TEXT,
+    "nome_requerente": TEXT,
+    "telefone": TEXT,
+    "endereco_requerente": TEXT,
+    "nome_logradouro": TEXT,
+    "numero_porta": TEXT,
+    "complemento": TEXT,
+    "bairro": TEXT,
+    "municipio": TEXT,
+    "executor": TEXT,
+    "data_pedido": TEXT,
+    "atendente": TEXT,
+    "solicitacao_associada": TEXT,
+    "tipo_solicitacao_gss": TEXT,
     **LINEAGE,
 }
 # Candidate columns of an explicit link between two tickets, best first.
@@ -152,96 +213,206 @@ EXPLICIT_LINK_COLUMNS = (
 )
 
 # ---- stored tables ----------------------------------------------------------------------------
-_CASE_TEXT = """
-tipo_conversa tipo_solicitacao tipo_manifestacao resultado_tratativa tags_ticket grupo_tickets
-superintendencia_adr canal_origem cpf_cliente passou_nivel_1 canais_de_atrito protocolo_referencia_informado
-motivo_espera prioridade_ticket controle_interno concessionaria classificacao_solicitacoes bairro municipio
-logradouro endereco numero_porta complemento telefone nome_cliente_gss nome_requerente_gss nome_solicitante
-email_solicitante formulario_ticket classificacao_notificacoes
-"""
 TICKETS = {
     "ticket_id": LONG,
-    **_typed(
-        "case_id matricula bloco numero_os numero_os_original numero_os_gss gss_os_id origem_numero_os"
-        " status_vinculo_os"
-    ),
+    "case_id": TEXT,
+    "matricula": TEXT,
+    "bloco": TEXT,
+    "numero_os": TEXT,
+    "numero_os_original": TEXT,
+    "numero_os_gss": TEXT,
+    "gss_os_id": TEXT,
+    "origem_numero_os": TEXT,
+    "status_vinculo_os": TEXT,
     "score_vinculo_os": REAL,
     "criterio_vinculo_os": TEXT,
-    **_typed("data_criacao data_resolucao", TS),
-    **_typed("status atribuido titulo assunto"),
-    **_typed(_CASE_TEXT),
-    **_typed("flag_arquivado_relatorio flag_auditoria_classificacao", INT),
-    **_typed(
-        "motivo_auditoria_classificacao status_auditoria_classificacao grupo_sugerido_auditoria"
-        " tipo_solicitacao_original_auditoria"
-    ),
+    "data_criacao": TS,
+    "data_resolucao": TS,
+    "status": TEXT,
+    "atribuido": TEXT,
+    "titulo": TEXT,
+    "assunto": TEXT,
+    "tipo_conversa": TEXT,
+    "tipo_solicitacao": TEXT,
+    "tipo_manifestacao": TEXT,
+    "resultado_tratativa": TEXT,
+    "tags_ticket": TEXT,
+    "grupo_tickets": TEXT,
+    "superintendencia_adr": TEXT,
+    "canal_origem": TEXT,
+    "cpf_cliente": TEXT,
+    "passou_nivel_1": TEXT,
+    "canais_de_atrito": TEXT,
+    "protocolo_referencia_informado": TEXT,
+    "motivo_espera": TEXT,
+    "prioridade_ticket": TEXT,
+    "controle_interno": TEXT,
+    "concessionaria": TEXT,
+    "classificacao_solicitacoes": TEXT,
+    "bairro": TEXT,
+    "municipio": TEXT,
+    "logradouro": TEXT,
+    "endereco": TEXT,
+    "numero_porta": TEXT,
+    "complemento": TEXT,
+    "telefone": TEXT,
+    "nome_cliente_gss": TEXT,
+    "nome_requerente_gss": TEXT,
+    "nome_solicitante": TEXT,
+    "email_solicitante": TEXT,
+    "formulario_ticket": TEXT,
+    "classificacao_notificacoes": TEXT,
+    "flag_arquivado_relatorio": INT,
+    "flag_auditoria_classificacao": INT,
+    "motivo_auditoria_classificacao": TEXT,
+    "status_auditoria_classificacao": TEXT,
+    "grupo_sugerido_auditoria": TEXT,
+    "tipo_solicitacao_original_auditoria": TEXT,
     "data_auditoria_classificacao": TS,
-    **_typed("qtde_assuntos_ticket flag_multiplos_assuntos", INT),
-    **_typed("protocolo_procon protocolo_defensoria protocolo_codecon case_jec"),
-    **_typed("ticket_solicitacao_id ticket_notificacao_id", LONG),
-    **_typed("data_entrada_reclamacao data_criacao_solicitacao data_criacao_notificacao", TS),
+    "qtde_assuntos_ticket": INT,
+    "flag_multiplos_assuntos": INT,
+    "protocolo_procon": TEXT,
+    "protocolo_defensoria": TEXT,
+    "protocolo_codecon": TEXT,
+    "case_jec": TEXT,
+    "ticket_solicitacao_id": LONG,
+    "ticket_notificacao_id": LONG,
+    "data_entrada_reclamacao": TS,
+    "data_criacao_solicitacao": TS,
+    "data_criacao_notificacao": TS,
     "dias_defasagem_abertura": INT,
     "criterio_vinculo": TEXT,
     "confianca_vinculo": REAL,
     "status_vinculo": TEXT,
-    **_typed("data_inicio_vigencia data_fim_vigencia", TS),
+    "data_inicio_vigencia": TS,
+    "data_fim_vigencia": TS,
     "flag_ativo": INT,
 }
 NOTICES = {
     "ticket_id": LONG,
-    **_typed("case_id matricula bloco numero_os"),
-    **_typed("data_criacao data_resolucao", TS),
-    **_typed("status atribuido titulo assunto"),
-    **_typed(_CASE_TEXT),
+    "case_id": TEXT,
+    "matricula": TEXT,
+    "bloco": TEXT,
+    "numero_os": TEXT,
+    "data_criacao": TS,
+    "data_resolucao": TS,
+    "status": TEXT,
+    "atribuido": TEXT,
+    "titulo": TEXT,
+    "assunto": TEXT,
+    "tipo_conversa": TEXT,
+    "tipo_solicitacao": TEXT,
+    "tipo_manifestacao": TEXT,
+    "resultado_tratativa": TEXT,
+    "tags_ticket": TEXT,
+    "grupo_tickets": TEXT,
+    "superintendencia_adr": TEXT,
+    "canal_origem": TEXT,
+    "cpf_cliente": TEXT,
+    "passou_nivel_1": TEXT,
+    "canais_de_atrito": TEXT,
+    "protocolo_referencia_informado": TEXT,
+    "motivo_espera": TEXT,
+    "prioridade_ticket": TEXT,
+    "controle_interno": TEXT,
+    "concessionaria": TEXT,
+    "classificacao_solicitacoes": TEXT,
+    "bairro": TEXT,
+    "municipio": TEXT,
+    "logradouro": TEXT,
+    "endereco": TEXT,
+    "numero_porta": TEXT,
+    "complemento": TEXT,
+    "telefone": TEXT,
+    "nome_cliente_gss": TEXT,
+    "nome_requerente_gss": TEXT,
+    "nome_solicitante": TEXT,
+    "email_solicitante": TEXT,
+    "formulario_ticket": TEXT,
+    "classificacao_notificacoes": TEXT,
     "flag_arquivado_relatorio": INT,
-    **_typed("protocolo_procon protocolo_defensoria protocolo_codecon case_jec arquivo_origem"),
+    "protocolo_procon": TEXT,
+    "protocolo_defensoria": TEXT,
+    "protocolo_codecon": TEXT,
+    "case_jec": TEXT,
+    "arquivo_origem": TEXT,
 }
 TICKETS_N1 = {name: kind for name, kind in N1_FEED.items() if name != "arquivo_mtime"}
 HEARINGS = {
     "audiencia_id": LONG,
-    **_typed("ticket_id ticket_audiencia_id ticket_relacionado_id", LONG),
+    "ticket_id": LONG,
+    "ticket_audiencia_id": LONG,
+    "ticket_relacionado_id": LONG,
     "audiencia": TEXT,
     "data_audiencia": TS,
-    **_typed("status_ticket preposto_id preposto local_procon tipo_audiencia atribuido"),
+    "status_ticket": TEXT,
+    "preposto_id": TEXT,
+    "preposto": TEXT,
+    "local_procon": TEXT,
+    "tipo_audiencia": TEXT,
+    "atribuido": TEXT,
     "data_reagendamento": TS,
     "arquivo_origem": TEXT,
 }
 TICKET_SUBJECTS = {
     "ticket_assunto_id": TEXT,
     "ticket_id": LONG,
-    **_typed("formulario_ticket assunto_raw assunto_normalizado"),
-    **_typed("ordem_assunto flag_assunto_principal", INT),
+    "formulario_ticket": TEXT,
+    "assunto_raw": TEXT,
+    "assunto_normalizado": TEXT,
+    "ordem_assunto": INT,
+    "flag_assunto_principal": INT,
     "arquivo_origem": TEXT,
 }
 RELATIONS = {
-    **_typed("ticket_solicitacao_id ticket_notificacao_id", LONG),
-    **_typed("status_vinculo criterio_vinculo"),
+    "ticket_solicitacao_id": LONG,
+    "ticket_notificacao_id": LONG,
+    "status_vinculo": TEXT,
+    "criterio_vinculo": TEXT,
     "confianca_vinculo": REAL,
-    **_typed("data_entrada_reclamacao data_criacao_solicitacao data_criacao_notificacao", TS),
+    "data_entrada_reclamacao": TS,
+    "data_criacao_solicitacao": TS,
+    "data_criacao_notificacao": TS,
     "dias_defasagem_abertura": INT,
     "quantidade_candidatos": LONG,
     "observacao": TEXT,
 }
 MANUAL_LINKS = {
-    **_typed("ticket_solicitacao_id ticket_notificacao_id", LONG),
-    **_typed("justificativa usuario"),
+    "ticket_solicitacao_id": LONG,
+    "ticket_notificacao_id": LONG,
+    "justificativa": TEXT,
+    "usuario": TEXT,
     "atualizado_em": TS,
 }
 AUDIT_CLASS = {
     "ticket_id": LONG,
-    **_typed(
-        "origem_regra status_auditoria motivo_auditoria tipo_solicitacao_original tipo_solicitacao_atual"
-        " grupo_tickets grupo_sugerido canal_normalizado"
-    ),
-    **_typed("data_criacao data_resolucao", TS),
-    **_typed("atribuido titulo observacao arquivo_origem"),
+    "origem_regra": TEXT,
+    "status_auditoria": TEXT,
+    "motivo_auditoria": TEXT,
+    "tipo_solicitacao_original": TEXT,
+    "tipo_solicitacao_atual": TEXT,
+    "grupo_tickets": TEXT,
+    "grupo_sugerido": TEXT,
+    "canal_normalizado": TEXT,
+    "data_criacao": TS,
+    "data_resolucao": TS,
+    "atribuido": TEXT,
+    "titulo": TEXT,
+    "observacao": TEXT,
+    "arquivo_origem": TEXT,
 }
 AUDIT_OPER = {
     "auditoria_operacional_key": TEXT,
     "ticket_id": LONG,
-    **_typed("origem_regra tipo_inconsistencia descricao_inconsistencia status_validacao"),
-    **_typed("data_identificacao data_validacao", TS),
-    **_typed("validado_por acao_tomada observacao"),
+    "origem_regra": TEXT,
+    "tipo_inconsistencia": TEXT,
+    "descricao_inconsistencia": TEXT,
+    "status_validacao": TEXT,
+    "data_identificacao": TS,
+    "data_validacao": TS,
+    "validado_por": TEXT,
+    "acao_tomada": TEXT,
+    "observacao": TEXT,
 }
 HISTORY_COLUMNS = (
     "ticket_id", "case_id", "matricula", "numero_os", "status", "atribuido", "titulo", "assunto",
@@ -251,27 +422,36 @@ HISTORY_COLUMNS = (
 HISTORY = {
     "ticket_hist_id": TEXT,
     **{name: TICKETS[name] for name in HISTORY_COLUMNS},
-    **_typed("data_inicio_vigencia data_fim_vigencia", TS),
+    "data_inicio_vigencia": TS,
+    "data_fim_vigencia": TS,
     "flag_ativo": INT,
-    **_typed("run_id hash_dados payload_json"),
+    "run_id": TEXT,
+    "hash_dados": TEXT,
+    "payload_json": TEXT,
 }
 RUNS = {
-    **_typed("run_id pipeline_name"),
+    "run_id": TEXT,
+    "pipeline_name": TEXT,
     "data_execucao": TS,
     "status": TEXT,
     "tempo_execucao": REAL,
     "qtd_registros_processados": LONG,
     "erro": TEXT,
-    **_typed("qtd_arquivos_lidos qtd_fontes_processadas", LONG),
-    **_typed("data_inicio data_fim", TS),
+    "qtd_arquivos_lidos": LONG,
+    "qtd_fontes_processadas": LONG,
+    "data_inicio": TS,
+    "data_fim": TS,
 }
 STEPS = {
     "run_id": TEXT,
     "timestamp_log": TS,
-    **_typed("nivel etapa status"),
+    "nivel": TEXT,
+    "etapa": TEXT,
+    "status": TEXT,
     "volume_processado": LONG,
     "tempo_etapa": REAL,
-    **_typed("erro payload_json"),
+    "erro": TEXT,
+    "payload_json": TEXT,
 }
 # Stored table -> (schema, key).
 GOLD = {
