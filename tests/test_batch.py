@@ -14,7 +14,7 @@ from ticketlake.plans.batch import Rules, run_batch
 from ticketlake.schemas import GOLD
 from ticketlake.sources.canonical import conform
 from ticketlake.sources.files import with_lineage
-from ticketlake.sources.tables import TableStore, stamp_order
+from ticketlake.sources.tables import TableStore, export_semantic, stamp_order
 
 SF = "/root/testdata/sf0.001"
 TODAY, AT = date(2024, 3, 5), datetime(2024, 3, 5, 6)
@@ -107,6 +107,31 @@ def test_broken_contract_fails_the_run(spark, tmp_path):
     assert not store.exists("tickets")
 
 
+def test_tables_change_together_or_not_at_all(spark, tmp_path):
+    """A writer that dies between two tables, or after claiming a number, leaves readers on the run before."""
+    store = TableStore(spark, str(tmp_path))
+    store.publish({name: store.stage(spark.range(1), name) for name in ("a", "b")})
+    staged = store.stage(spark.range(5), "a")
+    (tmp_path / "_commits" / "000000000001.claim").touch()
+    assert [TableStore(spark, str(tmp_path)).read(name).count() for name in ("a", "b")] == [1, 1]
+    store.publish({"a": staged})
+    assert [store.read(name).count() for name in ("a", "b")] == [5, 1]
+    assert not store.exists("c") and store.read_or_empty("c", {"x": "int"}).count() == 0
+
+
+def test_a_failing_mart_is_written_empty_and_others_stand(spark, tmp_path):
+    said = []
+
+    def broken():
+        raise ValueError("no such column")
+
+    fails_late = lambda: spark.range(9).select(F.raise_error(F.lit("late")).alias("x"))
+    export_semantic({"a": lambda: spark.range(3), "b": lambda: spark.range(4)}, str(tmp_path))
+    written = export_semantic({"a": lambda: spark.range(7), "b": broken, "c": fails_late}, str(tmp_path), said.append)
+    assert [spark.read.parquet(written[name]).count() for name in "abc"] == [7, 0, 0]
+    assert len(said) == 2 and "no such column" in said[0]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -185,10 +185,40 @@ def test_upsert(spark):
 def test_history(spark):
     empty = spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in HISTORY.items()))
     day1 = spark.createDataFrame([(1, "OPEN", None), (2, "OPEN", 5)], "ticket_id bigint, status string, ticket_notificacao_id bigint")
-    first = persistence.scd2_append(empty, persistence.changed_tickets(empty, day1), "r1", AT)
+    first = persistence.scd2(empty, day1, "r1", AT)
     assert persistence.changed_tickets(first, day1).count() == 0  # a second identical run changes nothing
     day2 = spark.createDataFrame([(1, "SOLVED", None)], "ticket_id bigint, status string, ticket_notificacao_id bigint")
-    second = persistence.scd2_append(first, persistence.changed_tickets(first, day2), "r2", LATER)
+    second = persistence.scd2(first, day2, "r2", LATER)
     got = rows(second, "ticket_id", "status", "flag_ativo", "data_fim_vigencia")
     assert got == [(1, "OPEN", 0, LATER), (1, "SOLVED", 1, None), (2, "OPEN", 1, None)]
     assert '"ticket_notificacao_id":null' in second.filter("ticket_id = 1").first()["payload_json"]
+
+
+def test_stored_history_touches_open_versions_and_one_month(spark, tmp_path):
+    import glob
+    import os
+
+    from ticketlake.sources.tables import read_history, update_history
+
+    path = str(tmp_path / "historico")
+    day = lambda rows: spark.createDataFrame(rows, "ticket_id bigint, status string")
+    files = lambda: {f: os.path.getmtime(f) for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
+    update_history(spark, path, day([(1, "a"), (2, "a")]), "r1", datetime(2024, 1, 5))
+    update_history(spark, path, day([(1, "b"), (2, "a")]), "r2", datetime(2024, 2, 5))
+    old = {f: t for f, t in files().items() if "mes_fim=2024-02" in f}
+    update_history(spark, path, day([(1, "c"), (3, "a")]), "r3", datetime(2024, 3, 5))
+    got = update_history(spark, path, day([(1, "d")]), "r4", datetime(2024, 3, 6))
+    assert {f: files().get(f) for f in old} == old and old
+    found = rows(got, "ticket_id", "status", "flag_ativo", "mes_fim")
+    assert found == [(1, "a", 0, "2024-02"), (1, "b", 0, "2024-03"), (1, "c", 0, "2024-03"), (1, "d", 1, "aberta"), (2, "a", 1, "aberta"), (3, "a", 1, "aberta")]
+    update_history(spark, path, day([(1, "d")]), "r5", datetime(2024, 3, 7))
+    assert rows(read_history(spark, path), "ticket_id", "status", "flag_ativo", "mes_fim") == found
+    plan = read_history(spark, path).filter("flag_ativo = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(flag_ativo" in plan
+
+
+def test_history_is_one_join_of_open_and_current_rows(spark):
+    empty = spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in HISTORY.items()))
+    day1 = spark.createDataFrame([(1, "OPEN")], "ticket_id bigint, status string")
+    plan = persistence.scd2(empty, day1, "r1", AT)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join FullOuter") == 1 and plan.count("Join") == 1

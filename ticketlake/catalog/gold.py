@@ -58,9 +58,8 @@ def _snapshots(spark, sf):
 def _history(spark, sf):
     first, second = _snapshots(spark, sf)
     empty = spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in HISTORY.items()))
-    opened = persistence.scd2_append(empty, persistence.changed_tickets(empty, first), "r1", AT)
-    changed = persistence.changed_tickets(opened, second)
-    return persistence.scd2_append(opened, changed, "r2", LATER), first, second, changed
+    opened = persistence.scd2(empty, first, "r1", AT)
+    return opened, persistence.scd2(opened, second, "r2", LATER), second
 
 
 @query(
@@ -77,7 +76,7 @@ def _history(spark, sf):
     stamps=("data_inicio_vigencia", "data_fim_vigencia"),
 )
 def scd2(spark, sf):
-    return _history(spark, sf)[0].select(*SCD_OUT)
+    return _history(spark, sf)[1].select(*SCD_OUT)
 
 
 @query(
@@ -90,7 +89,8 @@ def scd2(spark, sf):
     stamps=("data_inicio_vigencia", "data_fim_vigencia"),
 )
 def sync_validity(spark, sf):
-    _, _, second, changed = _history(spark, sf)
+    opened, _, second = _history(spark, sf)
+    changed = persistence.changed_tickets(opened, second)
     stored = tickets(spark, sf).select(
         "ticket_id",
         F.when(F.col("ticket_id") % 2 == 0, F.lit(None)).otherwise(F.col("data_inicio_vigencia")).alias(

@@ -67,13 +67,14 @@ def changed_tickets(history: DataFrame, current: DataFrame) -> DataFrame:
     return joined.filter(F.col("_vigente").isNull() | (F.col("_vigente") != F.col("hash_dados"))).drop("_vigente")
 
 
-def scd2_append(history: DataFrame, changed: DataFrame, run_id: str, at: datetime) -> DataFrame:
+def scd2(history: DataFrame, current: DataFrame, run_id: str, at: datetime) -> DataFrame:
     """History after a run: replaced versions closed, changed and new tickets opened.
 
-    Tickets that no longer arrive keep their open version. `changed` as given by `changed_tickets`.
+    One full join of open versions with current rows; each pair gives the open version as it was, or closed beside its
+    successor. Tickets that no longer arrive keep their open version; closed versions pass by untouched.
     """
     moment = F.lit(at).cast("timestamp_ntz")
-    opened = changed.select(
+    opened = with_version_hash(current).select(
         sha256_key(F.col("ticket_id"), timestamp_text(moment), F.col("hash_dados")).alias("ticket_hist_id"),
         *HISTORY_COLUMNS,
         moment.alias("data_inicio_vigencia"),
@@ -83,15 +84,19 @@ def scd2_append(history: DataFrame, changed: DataFrame, run_id: str, at: datetim
         "hash_dados",
         "payload_json",
     ).select(*[F.col(c).cast(k).alias(c) for c, k in HISTORY.items()])
-    marked = history.join(changed.select("ticket_id", F.lit(True).alias("_mudou")), "ticket_id", "left")
-    closes = F.col("_mudou") & (F.col("flag_ativo") == 1)
-    kept = marked.withColumns(
-        {
-            "data_fim_vigencia": F.when(closes, moment).otherwise(F.col("data_fim_vigencia")),
-            "flag_ativo": F.when(closes, F.lit(0)).otherwise(F.col("flag_ativo")),
-        }
-    ).select(*HISTORY)
-    return kept.unionByName(opened)
+    is_open = F.coalesce(F.col("flag_ativo") == 1, F.lit(False))
+    row = F.struct(*HISTORY)
+    now = history.filter(is_open).select("ticket_id", row.alias("_aberta"))
+    met = now.join(opened.select("ticket_id", row.alias("_nova")), "ticket_id", "full")
+    before, after = F.col("_aberta"), F.col("_nova")
+    closed = before.withField("data_fim_vigencia", moment).withField("flag_ativo", F.lit(0))
+    same = before["hash_dados"] == after["hash_dados"]
+    versions = (
+        F.when(before.isNull(), F.array(after))
+        .when(after.isNull() | F.coalesce(same, F.lit(False)), F.array(before))
+        .otherwise(F.array(closed, after))
+    )
+    return history.filter(~is_open).select(*HISTORY).unionByName(met.select(F.inline(versions)))
 
 
 def sync_validity(tickets: DataFrame, loaded: DataFrame, changed: DataFrame, at: datetime) -> DataFrame:

@@ -17,7 +17,7 @@ from ticketlake.operators.dedup import (
 from ticketlake.operators.filters import assert_disjoint, orphan_filter
 from ticketlake.operators.linking import SLICE_ROWS, attach_links, link_tickets, load_manual
 from ticketlake.operators.orders import enrich_missing, match_orders, prepare_orders, semi_filter_orders
-from ticketlake.operators.persistence import changed_tickets, scd2_append, sync_validity, upsert
+from ticketlake.operators.persistence import changed_tickets, scd2, sync_validity, upsert
 from ticketlake.operators.quality import ContractError, validate_or_raise
 from ticketlake.operators.rules import (
     backfill_territory, classification_audit, operational_audit, purge_removed, purge_stale,
@@ -143,7 +143,7 @@ def build_gold(
         put("tickets", tickets)
         put("ticket_assunto", _brought(silver.subjects, TICKET_SUBJECTS))
         changed = cut_lineage(changed_tickets(gold["tickets_historico"], tickets))
-        gold["tickets_historico"] = scd2_append(gold["tickets_historico"], changed, run_id, at)
+        gold["tickets_historico"] = scd2(gold["tickets_historico"], tickets, run_id, at)
         gold["tickets"] = sync_validity(gold["tickets"], tickets, changed, at)
         put("tickets_auditoria_classificacao", classification_audit(silver.requests))
         put("tickets_auditoria_operacional", operational_audit(silver.requests, at))
@@ -224,7 +224,7 @@ def run_batch(
 ) -> str:
     """Run everything and return the final status: SUCCESS, PARTIAL (a feed or output missing) or FAILED.
 
-    All stored tables are written as new snapshots first and switched together at the end.
+    All stored tables are written as new snapshots first and switched together at the end, by one commit file.
     """
     log = RunLog(store, "batch")
     missing = [name for name in SOURCES if raw.get(name) is None]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +31,7 @@ def build_session(app: str = "ticketlake", master: str | None = None, **conf: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Checkpoint folder of the session; a private one only for local runs that name none."""
+    """Checkpoint folder of the session; a private one, gone at the end of the process, only for local runs that name none."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
@@ -39,6 +41,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("Set spark.checkpoint.dir to a folder that every executor can reach.")
         folder = tempfile.mkdtemp(prefix="ticketlake-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 

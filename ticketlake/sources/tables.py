@@ -1,15 +1,20 @@
-"""Stored tables: versioned parquet snapshots behind a pointer, so that a replace is atomic."""
+"""Stored tables: parquet snapshots behind one commit file for all of them, and a history that rewrites touched months only."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Mapping
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_current"
+from ticketlake.operators.persistence import scd2
+from ticketlake.schemas import HISTORY
+from ticketlake.session import cut_lineage
+
+COMMITS = "_commits"
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -26,32 +31,40 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 class TableStore:
     """Named tables under one folder of any Hadoop file system.
 
-    A table is a set of snapshot folders; the newest pointer file names the live one. Readers that
-    planned on an older snapshot finish on it, and a failed write leaves the pointer where it was.
+    A table is a set of snapshot folders. The newest commit file names the live snapshot of every table, so that several
+    tables change together or not at all. Readers that planned on older snapshots finish on them, and a failed write or a
+    crash before the commit leaves everything as it was.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _pointers(self, name: str) -> list[str]:
-        fs, folder = _filesystem(self.spark, f"{self.root}/{name}/{POINTER}")
-        if not fs.exists(folder):
-            return []
-        return sorted(status.getPath().getName() for status in fs.listStatus(folder))
+    def _commits(self) -> list[str]:
+        fs, folder = _filesystem(self.spark, f"{self.root}/{COMMITS}")
+        return sorted(status.getPath().getName() for status in fs.listStatus(folder)) if fs.exists(folder) else []
+
+    def _live(self) -> dict[str, str]:
+        """Table name to snapshot, as of the newest commit."""
+        done = [name for name in self._commits() if name.endswith(".json")]
+        if not done:
+            return {}
+        fs, path = _filesystem(self.spark, f"{self.root}/{COMMITS}/{done[-1]}")
+        stream = fs.open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
 
     def exists(self, name: str) -> bool:
-        return bool(self._pointers(name))
-
-    def _snapshot(self, name: str) -> str:
-        newest = self._pointers(name)[-1]
-        return f"{self.root}/{name}/{newest.split('-', 1)[1]}"
+        return name in self._live()
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._snapshot(name))
+        return self.spark.read.parquet(f"{self.root}/{name}/{self._live()[name]}")
 
     def read_or_empty(self, name: str, schema: Mapping[str, str]) -> DataFrame:
-        if self.exists(name):
-            return self.read(name)
+        live = self._live()
+        if name in live:
+            return self.spark.read.parquet(f"{self.root}/{name}/{live[name]}")
         return self.spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in schema.items()))
 
     def stage(self, df: DataFrame, name: str) -> str:
@@ -61,16 +74,22 @@ class TableStore:
         return version
 
     def publish(self, versions: Mapping[str, str]) -> None:
-        """Make staged snapshots live; each switch is the creation of one empty file."""
-        for name, version in versions.items():
-            pointers = self._pointers(name)
-            serial = int(pointers[-1].split("-", 1)[0]) + 1 if pointers else 0
-            fs, _ = _filesystem(self.spark, self.root)
-            marker = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-                f"{self.root}/{name}/{POINTER}/{serial:012d}-{version}"
-            )
-            if not fs.createNewFile(marker):
-                raise RuntimeError(f"Another writer published {name} first.")
+        """Make staged snapshots live, all at once.
+
+        A number is claimed by creating an empty file; the commit is written aside and renamed to that number. A claim
+        without its commit is a writer that has not finished, or never will: it holds nothing back.
+        """
+        taken = self._commits()
+        serial = int(taken[-1].split(".")[0]) + 1 if taken else 0
+        fs, claim = _filesystem(self.spark, f"{self.root}/{COMMITS}/{serial:012d}.claim")
+        if not fs.createNewFile(claim):
+            raise RuntimeError("Another writer published first.")
+        _, aside = _filesystem(self.spark, f"{self.root}/_writing-{uuid.uuid4().hex}")
+        stream = fs.create(aside)
+        stream.write(bytearray(json.dumps({**self._live(), **versions}, sort_keys=True).encode()))
+        stream.close()
+        if not fs.rename(aside, _filesystem(self.spark, f"{self.root}/{COMMITS}/{serial:012d}.json")[1]):
+            raise RuntimeError("The commit could not be put in place.")
 
     def replace(self, df: DataFrame, name: str) -> bool:
         """Replace a table; an empty frame writes nothing and keeps the old one."""
@@ -84,17 +103,57 @@ class TableStore:
 def export_semantic(
     marts: Mapping[str, Callable[[], DataFrame]], folder: str, warn: Callable[[str], None] = print
 ) -> dict[str, str]:
-    """Write one parquet folder per mart; a failing mart is reported and skipped."""
+    """Write one parquet folder per mart; a failing mart is reported and written without rows or columns.
+
+    Each mart is written aside first, so that a failure on the way never costs readers the folder they have.
+    """
     written = {}
     for name, build in marts.items():
+        target = f"{folder}/{name}"
         try:
-            build().write.mode("overwrite").parquet(f"{folder}/{name}")
-            written[name] = f"{folder}/{name}"
+            _swap_in(build(), target)
         except Exception as error:  # one broken mart must not stop the others
             warn(f"mart {name}: {error}")
+            spark = SparkSession.getActiveSession()
+            _swap_in(spark.createDataFrame([], "sem_dados boolean"), target)
+        written[name] = target
     return written
 
 
+def _swap_in(df: DataFrame, target: str) -> None:
+    """Write beside the target, then put the new folder in its place."""
+    spark, aside = df.sparkSession, f"{target}.{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    fs, old = _filesystem(spark, target)
+    fs.delete(old, True)
+    if not fs.rename(_filesystem(spark, aside)[1], old):
+        raise RuntimeError(f"{target} could not be replaced.")
+
+
+def update_history(spark: SparkSession, path: str, current: DataFrame, run_id: str, at: datetime) -> DataFrame:
+    """Bring a stored history up to date and return it: folders by `flag_ativo` and the month in which a version closed.
+
+    Open versions and those closed in the month of `at` are read, merged and written; Spark overwrites the folders that
+    have rows, so older months are neither read nor written. A run that is repeated with the same rows changes nothing.
+    """
+    month = f"{at:%Y-%m}"
+    kinds = ", ".join(f"`{c}` {k}" for c, k in HISTORY.items())
+    touched = spark.createDataFrame([], kinds)
+    if path_exists(spark, path):
+        stored = read_history(spark, path)
+        touched = stored.filter((F.col("flag_ativo") == 1) | (F.col("mes_fim") == month)).select(*HISTORY)
+    merged = scd2(touched, current, run_id, at)
+    named = merged.withColumn("mes_fim", F.coalesce(F.date_format("data_fim_vigencia", "yyyy-MM"), F.lit("aberta")))
+    written = cut_lineage(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written.partitionBy("flag_ativo", "mes_fim").parquet(path)
+    return read_history(spark, path)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    kinds = ", ".join(f"`{c}` {k}" for c, k in HISTORY.items())
+    return spark.read.schema(f"{kinds}, mes_fim string").parquet(path)
+
+
 def export_ai_ready(df: DataFrame, folder: str, day: date) -> str:
     """Dated output of the AI-ready mart."""
     target = f"{folder}/date={day:%Y%m%d}"
