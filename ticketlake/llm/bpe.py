@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from ticketlake.llm.common import blocks, narrow
 
 #: Bytes of distinct pieces in one query; pieces beyond LONG_PIECE bytes are contracted with a heap.
-LOT_BYTES, LONG_PIECE = 300_000, 200
+LOT_BYTES, LONG_PIECE = 120_000, 200
 #: Bytes of remembered pieces and ids, with what Python adds to each; the older half goes when there are more.
-REMEMBERED_BYTES, _ADDED = 72_000_000, 190
-_TEXT_BLOCK = 3_000_000
+REMEMBERED_BYTES, _ADDED = 56_000_000, 190
+_TEXT_BLOCK = 1_000_000
 
 # A row's g is piece * 2^32 + byte place; m is the rank of the pair it starts, null if there is none.
 _START = """
@@ -80,7 +80,7 @@ class Coder:
                     pairs.append((left * 1048576 + right, rank))
         self.pattern = regex.compile(pattern)
         self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "160MB", "temp_directory": ""})
         self._table("merges", pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "m": pa.array([m for _, m in pairs], pa.int32())}))
         self._table("vocabulary", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "piece": pa.array(list(ranks), pa.binary())}))
         self.ids: dict[str, bytes] = {}
@@ -99,8 +99,8 @@ class Coder:
         decoded = [b""] * len(pieces)
         short = [k for k, p in enumerate(pieces) if not ids[k] and 0 < len(p) <= LONG_PIECE]
         whole = [k for k in range(len(pieces)) if ids[k]]
-        for k in range(0, len(whole), 20_000):
-            self._decode(whole[k : k + 20_000], ids, decoded)
+        for k in range(0, len(whole), 10_000):
+            self._decode(whole[k : k + 10_000], ids, decoded)
         lot: list[int] = []
         size = 0
         for k in short:
@@ -212,7 +212,7 @@ class Coder:
 
 
 #: Pieces learnt at a time.
-_LEARNT = 50_000
+_LEARNT = 20_000
 
 
 def _weight(word: str, ids: bytes) -> int:

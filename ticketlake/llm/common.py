@@ -14,7 +14,7 @@ from ticketlake.session import cut_lineage
 #: Bytes of text that a task works on at once; one longer text is a block of its own.
 BLOCK_BYTES = 2_000_000
 
-__all__ = ["BLOCK_BYTES", "blocks", "cut_lineage", "lower_ascii", "mixed", "narrow", "raw", "prefix_sums", "range_hashes", "segments", "table", "word_hashes", "words_of"]
+__all__ = ["BLOCK_BYTES", "apart", "blocks", "cut_lineage", "lower_ascii", "mixed", "narrow", "raw", "prefix_sums", "range_hashes", "segments", "table", "together", "word_hashes", "words_of"]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,16 @@ def narrow(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     return df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def apart(docs: DataFrame) -> F.Column:
+    """`row`: all columns but the text, which then travels once, beside it."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+
+
+def together(docs: DataFrame) -> list[F.Column]:
+    """The columns of `docs` again, from `row` and `text`."""
+    return [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
+
+
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a column of texts without nulls, not copied."""
     kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32

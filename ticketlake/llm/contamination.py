@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import blocks, lower_ascii, raw, segments, word_hashes, words_of
+from ticketlake.llm.common import apart, blocks, lower_ascii, raw, segments, together, word_hashes, words_of
 
 WINDOW, SHARE = 13, 20
 #: Words of the benchmark that one pass searches.
@@ -126,7 +126,7 @@ def _longest(word: np.ndarray, size: np.ndarray, item: np.ndarray, place: np.nda
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, lot_words: int = LOT_WORDS) -> DataFrame:
-    """row (all columns), doc_id, n_words, n_hit, items (sorted texts of item ids), longest, longest_at (word), contaminated."""
+    """row (all columns but the text), doc_id, text, n_words, n_hit, items (sorted texts of item ids), longest, longest_at (word), contaminated."""
     spark = docs.sparkSession
     words = F.coalesce(F.length("text"), F.lit(0)) / 2 + 1  # an upper bound of an item's words
     named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("name"), F.coalesce("text", F.lit("")).alias("text"))
@@ -135,7 +135,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, lot_words: int = LOT_WOR
     named = named.withColumn("lot", F.pmod(F.xxhash64("name", "text"), F.lit(lots)))
 
     source = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.lit(0).cast("bigint").alias("n_words"),
+        apart(docs), F.col("doc_id"), F.col("text"), F.lit(0).cast("bigint").alias("n_words"),
         F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items"),
         F.lit(0).cast("bigint").alias("longest"), F.lit(-1).cast("bigint").alias("longest_at"),
     )
@@ -147,7 +147,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, lot_words: int = LOT_WOR
     # hits are ranges of words, start and end in turn, in order and apart
     spread = F.aggregate("hits", F.lit(0).cast("bigint"), lambda total, x: x - total)
     out = source.withColumn("n_hit", spread).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words")))
-    return out.select("row", "doc_id", "n_words", "n_hit", F.array_sort("items").alias("items"), "longest", "longest_at", "contaminated")
+    return out.select("row", "doc_id", "text", "n_words", "n_hit", F.array_sort("items").alias("items"), "longest", "longest_at", "contaminated")
 
 
 def _pass(shared):
@@ -190,4 +190,4 @@ def _pass(shared):
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns."""
-    return find_matches(docs, benchmark).where(~F.col("contaminated")).select("row.*")
+    return find_matches(docs, benchmark).where(~F.col("contaminated")).select(*together(docs))

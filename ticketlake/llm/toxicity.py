@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.llm.common import blocks, lower_ascii, narrow, raw
+from ticketlake.llm.common import apart, blocks, lower_ascii, narrow, raw
 
 BITS, LENGTHS = 19, (4, 5, 6)
 #: Most labelled rows (by hash of doc_id) that train, half of them of each kind where there are so many.
@@ -137,7 +137,7 @@ def _logistic(texts: list[np.ndarray], ratio: np.ndarray, y: np.ndarray) -> tupl
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
-    """row (all columns), doc_id, score and predicted of every document."""
+    """row (all columns but the text), doc_id, text, score and predicted of every document."""
     weights, bias = model
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2^BITS numbers
 
@@ -147,13 +147,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             margin = np.array([own[_distinct(x, seen)].sum(dtype=np.float64) for x in _texts(part)]) + bias
             found = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("doc_id"), pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))],
-                names=["row", "doc_id", "score", "predicted"],
+                [part.column("row"), part.column("doc_id"), part.column("text"), pa.array(found, pa.float64()), pa.array((found >= 0.5).astype(np.int32))],
+                names=["row", "doc_id", "text", "score", "predicted"],
             )
 
-    source = docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    source = docs.select(apart(docs), F.col("doc_id"), F.col("text"))
     row, key = (source.schema[x].dataType.simpleString() for x in ("row", "doc_id"))
-    return source.mapInArrow(run, f"row {row}, doc_id {key}, score double, predicted int")
+    return source.mapInArrow(run, f"row {row}, doc_id {key}, text string, score double, predicted int")
 
 
 def held_out(key: str = "doc_id") -> F.Column:
