@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.llm import bpe, contamination, lines, simhash, toxicity
-from ticketlake.llm.common import cut_lineage, table
+from ticketlake.llm.common import cut_lineage, table, together
 from ticketlake.llm.queries import RANK_FILE
 from ticketlake.session import ensure_checkpoint_dir
 
@@ -25,7 +25,7 @@ _ROW = "row identity of the near-copy stage"
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not call toxic, with a null or an empty text as they are."""
     scored = toxicity.classify(docs, table(spark, sf_dir, "labels"))
-    return scored.where(F.col("predicted") == 0).select("row.*")
+    return scored.where(F.col("predicted") == 0).select(*together(docs))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
