@@ -35,8 +35,8 @@ from ticketlake.llm.common import blocks, narrow
 #: Bytes of distinct pieces in one query; pieces beyond LONG_PIECE bytes are contracted with a heap.
 LOT_BYTES, LONG_PIECE = 120_000, 200
 #: Bytes of remembered pieces and ids, with what Python adds to each; the older half goes when there are more.
-REMEMBERED_BYTES, _ADDED = 56_000_000, 190
-_TEXT_BLOCK = 1_000_000
+REMEMBERED_BYTES, _ADDED = 68_000_000, 190
+_TEXT_BLOCK = 2_000_000
 
 # A row's g is piece * 2^32 + byte place; m is the rank of the pair it starts, null if there is none.
 _START = """
@@ -187,8 +187,8 @@ class Coder:
         return out
 
     def learn(self, words: Iterable[str]) -> None:
-        """Remember the ids of some pieces; until the next call all of them are known."""
-        words = set(words)
+        """Remember the ids of some distinct pieces; until the next call all of them are known."""
+        words = list(words)
         if self.held > REMEMBERED_BYTES:
             for word in list(self.ids)[: len(self.ids) // 2]:
                 self.held -= _weight(word, self.ids.pop(word))
