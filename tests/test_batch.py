@@ -14,7 +14,7 @@ from ticketlake.plans.batch import Rules, run_batch
 from ticketlake.schemas import GOLD
 from ticketlake.sources.canonical import conform
 from ticketlake.sources.files import with_lineage
-from ticketlake.sources.tables import TableStore, export_semantic, stamp_order
+from ticketlake.sources.tables import Progress, TableStore, export_semantic, stamp_order
 
 SF = "/root/testdata/sf0.001"
 TODAY, AT = date(2024, 3, 5), datetime(2024, 3, 5, 6)
@@ -157,3 +157,77 @@ def test_inflow_reads_its_table_once(spark):
     assert plan.count("FileScan parquet") == 1
     schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
     assert "o_totalprice" not in schema and "o_orderstatus" not in schema
+
+
+def _dies_at(monkeypatch, table):
+    """Let the writer die before the snapshot of a table; the names of those it wrote are listed."""
+    written, real = [], TableStore.stage
+
+    def stage(self, df, name, version=None):
+        if name == table:
+            raise OSError("executor and driver are gone")
+        written.append(name)
+        return real(self, df, name, version)
+
+    monkeypatch.setattr(TableStore, "stage", stage)
+    return written
+
+
+def test_a_run_that_died_goes_on_with_its_key(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "gold"))
+    rules = Rules(spark.createDataFrame([(9, "REMOVIDO")], "ticket_id bigint, regra string"))
+    with monkeypatch.context() as patch:
+        before = _dies_at(patch, "tickets_historico")
+        with pytest.raises(OSError):
+            run_batch(store, feeds(spark), rules, str(tmp_path / "out"), TODAY, AT, "day-65")
+    assert "silver_geral" in before and "tickets_historico" not in before
+    assert not store.exists("tickets") and not store.exists("silver_geral")  # readers see nothing of it
+
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "gold").rglob("part-*.parquet") if "etl_" not in str(p)}
+    unread = {k: v if v is None else v.select(*[F.raise_error(F.lit("read again")).cast("string").alias(c) for c in v.columns]) for k, v in feeds(spark).items()}
+    later = datetime(2024, 3, 5, 9)
+    assert run_batch(store, unread, rules, str(tmp_path / "out"), TODAY, later, "day-65") == "PARTIAL"
+    stands = {p: p.stat().st_mtime_ns for p in kept if "_runs" not in str(p)}
+    assert stands and all(kept[p] == t for p, t in stands.items())  # finished snapshots were not written again
+    assert {r["data_inicio_vigencia"] for r in store.read("tickets").collect()} == {AT}  # the moment of the first start
+    assert store.read("tickets_historico").count() == 2 and store.read("etl_runs").count() == 1
+    assert not (tmp_path / "gold/_runs/day-65").exists()
+
+
+def test_a_run_that_died_after_the_switch_only_writes_outputs(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path / "gold"))
+    rules = Rules(spark.createDataFrame([(9, "REMOVIDO")], "ticket_id bigint, regra string"))
+
+    def dies(*_):
+        raise OSError("driver is gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("ticketlake.plans.batch.write_outputs", dies)
+        with pytest.raises(OSError):
+            run_batch(store, feeds(spark), rules, str(tmp_path / "out"), TODAY, AT, "k")
+    live = store.live()
+    run_batch(store, feeds(spark), rules, str(tmp_path / "out"), TODAY, AT, "k")
+    assert {n: v for n, v in store.live().items() if n != "etl_runs"} == {n: v for n, v in live.items() if n != "etl_runs"}
+    assert spark.read.parquet(str(tmp_path / "out/semantic/fato_tickets")).count() == 1
+
+
+def test_what_a_run_kept_is_void_once_another_run_switched_the_tables(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    first = Progress(store, "a", ["t"], TODAY, AT)
+    assert first.keep("x", spark.range(3)).count() == 3
+    again = Progress(store, "a", ["t"], TODAY, datetime(2024, 3, 5, 9))
+    assert (again.run_id, again.at) == (first.run_id, AT)
+    assert again.keep("x", spark.range(7)).count() == 3
+    with pytest.raises(ValueError):
+        Progress(store, "a", ["t"], date(2024, 3, 6), AT)
+
+    (tmp_path / "_runs/a/x/_SUCCESS").unlink()  # half of a frame is written over
+    assert again.keep("x", spark.range(7)).count() == 7
+    other = Progress(store, "b", ["t"], TODAY, AT)
+    other.publish({"t": store.stage(spark.range(1), "t", other.snapshot)})
+    assert other.published() and Progress(store, "b", ["t"], TODAY, AT).published()
+    anew = Progress(store, "a", ["t"], TODAY, AT)
+    assert anew.run_id != first.run_id and not anew.published()
+    assert anew.keep("x", spark.range(2)).count() == 2
+    anew.discard()
+    assert not (tmp_path / "_runs/a").exists()

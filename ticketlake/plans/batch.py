@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 from datetime import date, datetime
 
@@ -24,13 +25,14 @@ from ticketlake.operators.rules import (
 )
 from ticketlake.plans import daily, marts, weekly
 from ticketlake.plans.runs import RunLog
-from ticketlake.plans.transform import silver_general, transform_hearings, transform_n1, transform_tickets
+from ticketlake.plans.transform import canonical_tickets, silver_general, tickets_of_kind, transform_hearings, transform_n1
 from ticketlake.schemas import GOLD, HEARINGS, NOTICES, RELATIONS, TICKET_SUBJECTS, TICKETS, TICKETS_N1
 from ticketlake.session import cut_lineage
 from ticketlake.sources.canonical import conform
-from ticketlake.sources.tables import TableStore, export_ai_ready, export_semantic, stamp_order
+from ticketlake.sources.tables import Progress, TableStore, export_ai_ready, export_semantic, stamp_order
 
 SOURCES = ("zendesk_geral", "zendesk_n1", "audiencias", "gss")
+Keep = Callable[[str, DataFrame], DataFrame]
 VALIDITY = ("data_inicio_vigencia", "data_fim_vigencia", "flag_ativo")
 
 
@@ -74,12 +76,18 @@ def _ordered(raw: DataFrame) -> DataFrame:
     return raw if "row_seq" in raw.columns else stamp_order(raw)
 
 
+def _cut(name: str, df: DataFrame) -> DataFrame:
+    return cut_lineage(df)
+
+
 def build_silver(
-    raw: Mapping[str, DataFrame | None], rules: Rules, today: date, at: datetime, slice_rows: int = SLICE_ROWS
+    raw: Mapping[str, DataFrame | None], rules: Rules, today: date, at: datetime, slice_rows: int = SLICE_ROWS,
+    keep: Keep = _cut,
 ) -> Silver:
     """Transform, deduplicate, link, enrich and match.
 
-    Requests and notices are materialised once after deduplication: five consumers read them.
+    Every feed is read once: the canonical rows of the general feed are materialised before they part into kinds, and
+    requests and notices after deduplication, as five consumers read them. `keep` says where.
     """
     silver = Silver()
     governed = rules.governed
@@ -87,33 +95,34 @@ def build_silver(
     general = raw.get("zendesk_geral")
     if general is not None:
         general = _ordered(general)
-        requests = transform_tickets(general, "solicitacao", governed, rules.overrides, at)
-        notices = transform_tickets(general, "notificacao", governed, rules.overrides, at)
-        silver.subjects = cut_lineage(ticket_subjects(requests))
-        requests = cut_lineage(dedup_latest(requests, ["ticket_id"], latest))
-        notices = cut_lineage(dedup_latest(notices, ["ticket_id"], latest))
+        general = keep("geral_canonico", canonical_tickets(general, governed))
+        requests = tickets_of_kind(general, "solicitacao", governed, rules.overrides, at)
+        notices = tickets_of_kind(general, "notificacao", governed, rules.overrides, at)
+        silver.subjects = keep("assuntos", ticket_subjects(requests))
+        requests = keep("solicitacoes", dedup_latest(requests, ["ticket_id"], latest))
+        notices = keep("notificacoes", dedup_latest(notices, ["ticket_id"], latest))
         assert_disjoint(requests, notices)
     if raw.get("zendesk_n1") is not None:
         n1 = _ordered(raw["zendesk_n1"])
-        silver.n1 = dedup_latest(transform_n1(n1, governed), ["ticket_id"], latest).drop("row_seq")
+        silver.n1 = keep("n1", dedup_latest(transform_n1(n1, governed), ["ticket_id"], latest).drop("row_seq"))
     if raw.get("audiencias") is not None:
         hearings = transform_hearings(_ordered(raw["audiencias"]), governed)
-        silver.hearings = dedup_latest(hearings, ["ticket_id"], latest).drop("row_seq")
+        silver.hearings = keep("audiencias", dedup_latest(hearings, ["ticket_id"], latest).drop("row_seq"))
     if general is None:
         return silver
 
     orders = None
     if raw.get("gss") is not None:
         accounts = requests.select("matricula").union(notices.select("matricula"))
-        orders = cut_lineage(prepare_orders(semi_filter_orders(_ordered(raw["gss"]), accounts), today))
+        orders = keep("ordens", prepare_orders(semi_filter_orders(_ordered(raw["gss"]), accounts), today))
         silver.orders = orders
         orders = None if orders.isEmpty() else orders
     manual = None if rules.manual is None else load_manual(rules.manual)
     loaded = None if notices.isEmpty() else notices
-    silver.links = cut_lineage(link_tickets(requests, loaded, manual, slice_rows=slice_rows))
+    silver.links = keep("vinculos", link_tickets(requests, loaded, manual, slice_rows=slice_rows))
     matched = match_orders(enrich_missing(requests, orders), orders)
-    silver.requests = cut_lineage(attach_subject_metrics(matched, silver.subjects))
-    silver.notices = cut_lineage(enrich_missing(notices, orders))
+    silver.requests = keep("solicitacoes_prontas", attach_subject_metrics(matched, silver.subjects))
+    silver.notices = keep("notificacoes_prontas", enrich_missing(notices, orders))
     return silver
 
 
@@ -123,7 +132,7 @@ def _brought(df: DataFrame, schema: Mapping[str, str], without: tuple[str, ...]
 
 
 def build_gold(
-    silver: Silver, stored: Mapping[str, DataFrame], rules: Rules, run_id: str, at: datetime
+    silver: Silver, stored: Mapping[str, DataFrame], rules: Rules, run_id: str, at: datetime, keep: Keep = _cut
 ) -> dict[str, DataFrame]:
     """Stored tables after the run, from the stored tables before it."""
     governed = rules.governed
@@ -139,10 +148,10 @@ def build_gold(
         put("cases", distinct_cases(silver.requests, silver.notices))
         put("tickets_notificacao", _brought(silver.notices, NOTICES))
         linked = attach_links(silver.requests, silver.links)
-        tickets = cut_lineage(_brought(linked, TICKETS, VALIDITY))
+        tickets = keep("tickets_atuais", _brought(linked, TICKETS, VALIDITY))
         put("tickets", tickets)
         put("ticket_assunto", _brought(silver.subjects, TICKET_SUBJECTS))
-        changed = cut_lineage(changed_tickets(gold["tickets_historico"], tickets))
+        changed = keep("tickets_alterados", changed_tickets(gold["tickets_historico"], tickets))
         gold["tickets_historico"] = scd2(gold["tickets_historico"], tickets, run_id, at)
         gold["tickets"] = sync_validity(gold["tickets"], tickets, changed, at)
         put("tickets_auditoria_classificacao", classification_audit(silver.requests))
@@ -219,51 +228,73 @@ def write_outputs(store: TableStore, folder: str, today: date, log: RunLog) -> l
     return failures
 
 
+def _process_and_load(
+    store: TableStore, raw: Mapping[str, DataFrame | None], rules: Rules, today: date, progress: Progress, log: RunLog
+) -> None:
+    """Write the snapshots of all treated and stored tables that are not there yet, then switch to them."""
+    clock = time.perf_counter()
+    stored = {name: store.read_or_empty(name, schema) for name, (schema, _) in GOLD.items()}
+    rules = replace(rules, manual=_all_manual(rules.manual, stored["ticket_vinculos_manuais"]))
+    silver = build_silver(raw, rules, today, progress.at, keep=progress.keep)
+    staged = {}
+    for name, df in silver.datasets().items():
+        version = store.stage(df, f"silver_{name}", progress.snapshot)
+        if store.has_rows(df, f"silver_{name}", version):
+            staged[f"silver_{name}"] = version
+    log.step("save_silver", seconds=time.perf_counter() - clock)
+
+    clock = time.perf_counter()
+    gold = build_gold(silver, stored, rules, log.run_id, progress.at, progress.keep)
+    for name, df in gold.items():
+        staged[name] = store.stage(df, name, progress.snapshot)
+    progress.publish(staged)
+    log.step("persist_gold", seconds=time.perf_counter() - clock)
+
+
 def run_batch(
-    store: TableStore, raw: Mapping[str, DataFrame | None], rules: Rules, out: str, today: date, at: datetime
+    store: TableStore, raw: Mapping[str, DataFrame | None], rules: Rules, out: str, today: date, at: datetime,
+    run_key: str | None = None,
 ) -> str:
     """Run everything and return the final status: SUCCESS, PARTIAL (a feed or output missing) or FAILED.
 
-    All stored tables are written as new snapshots first and switched together at the end, by one commit file.
+    All stored tables are written as new snapshots first and switched together at the end, by one commit file. A run that
+    died goes on where it stopped when it is started again with the same `run_key` (and the same feeds, rules and day);
+    what it had finished is neither read nor computed again. Without a key nothing is left for a second start.
     """
-    log = RunLog(store, "batch")
+    progress = Progress(store, run_key or uuid.uuid4().hex, GOLD, today, at)
+    at = progress.at
+    log = RunLog(store, "batch", run_id=progress.run_id)
     missing = [name for name in SOURCES if raw.get(name) is None]
     present = len(SOURCES) - len(missing)
     try:
         for name in SOURCES:
             if raw.get(name) is None:
                 log.step(f"contract_validation_{name}", "EMPTY", 0, level="WARNING")
-            else:
+            elif not progress.done(f"contrato_{name}"):
                 validate_or_raise(raw[name], name)
+                progress.mark(f"contrato_{name}")
                 log.step(f"contract_validation_{name}")
         if not present:
             log.finish("PARTIAL", 0, 0, "no source")
+            progress.discard()
             return "PARTIAL"
-        clock = time.perf_counter()
-        stored = {name: store.read_or_empty(name, schema) for name, (schema, _) in GOLD.items()}
-        rules = replace(rules, manual=_all_manual(rules.manual, stored["ticket_vinculos_manuais"]))
-        silver = build_silver(raw, rules, today, at)
-        for name, df in silver.datasets().items():
-            store.replace(df, f"silver_{name}")
-        log.step("save_silver", seconds=time.perf_counter() - clock)
-
-        clock = time.perf_counter()
-        gold = build_gold(silver, stored, rules, log.run_id, at)
-        staged = {name: store.stage(df, name) for name, df in gold.items()}
-        store.publish(staged)
+        if not progress.published():
+            _process_and_load(store, raw, rules, today, progress, log)
         records = store.read("tickets").count() + store.read("tickets_notificacao").count()
-        log.step("persist_gold", volume=records, seconds=time.perf_counter() - clock)
-
         failures = write_outputs(store, out, today, log)
         log.step("generate_outputs", error="; ".join(failures)[:2000] or None)
         status = "PARTIAL" if missing or failures else "SUCCESS"
         log.finish(status, records, present, "; ".join(failures)[:2000])
+        progress.discard()
         return status
     except ContractError as error:
         log.step("validate_contracts", "FAILED", error=str(error)[:2000], level="ERROR")
         log.finish("FAILED", 0, present, str(error)[:2000])
+        progress.discard()  # other rows must come, so this run has nothing to go on with
         raise
     except Exception as error:
         log.step("process_and_load", "FAILED", error=str(error)[:2000], level="ERROR")
         log.finish("FAILED", 0, present, str(error)[:2000])
+        if run_key is None:
+            progress.discard()
         raise

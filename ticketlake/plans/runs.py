@@ -28,9 +28,9 @@ def step_rows(spark: SparkSession, rows: list[dict]) -> DataFrame:
 class RunLog:
     """One run: RUNNING until finished, with a row per step."""
 
-    def __init__(self, store: TableStore, name: str, now=datetime.now):
+    def __init__(self, store: TableStore, name: str, now=datetime.now, run_id: str | None = None):
         self.store, self.name, self.now = store, name, now
-        self.run_id = uuid.uuid4().hex
+        self.run_id = run_id or uuid.uuid4().hex
         self.begun = time.perf_counter()
         self._save_run({"data_execucao": now(), "status": "RUNNING", "data_inicio": now()})
 

@@ -19,16 +19,26 @@ def _with_id(df: DataFrame, column: str = "ticket_id") -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
+def canonical_tickets(raw: DataFrame, governed: DataFrame) -> DataFrame:
+    """Canonical rows of the general feed, of both kinds, without removed tickets."""
+    return drop_removed(_with_id(canonicalize(raw, TICKET_ALIASES, TICKET_FEED, keep_extra=True)), governed)
+
+
 def transform_tickets(
     raw: DataFrame, kind: str, governed: DataFrame, overrides: DataFrame | None, at: datetime
 ) -> DataFrame:
     """Canonical tickets of one kind ("solicitacao" or "notificacao") from the general feed."""
-    df = _with_id(canonicalize(raw, TICKET_ALIASES, TICKET_FEED, keep_extra=True))
-    df = drop_removed(df, governed)
-    df = df.withColumns(
+    return tickets_of_kind(canonical_tickets(raw, governed), kind, governed, overrides, at)
+
+
+def tickets_of_kind(
+    canonical: DataFrame, kind: str, governed: DataFrame, overrides: DataFrame | None, at: datetime
+) -> DataFrame:
+    """Tickets of one kind from the canonical rows of both."""
+    df = canonical.withColumns(
         {
             "tipo_ticket_zendesk": F.lit(kind.upper()),
-            "chave_explicita_vinculo": explicit_link_key(df),
+            "chave_explicita_vinculo": explicit_link_key(canonical),
             "formulario_ticket": strip(F.col("formulario_ticket")),
         }
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,8 @@ from ticketlake.schemas import HISTORY
 from ticketlake.session import cut_lineage
 
 COMMITS = "_commits"
+# Entry of a commit that names the batch run that made it.
+RUN = "_run"
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -23,6 +25,25 @@ def _filesystem(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def _read_json(spark: SparkSession, path: str) -> dict:
+    fs, target = _filesystem(spark, path)
+    stream = fs.open(target)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _write_json(spark: SparkSession, path: str, value: Mapping, aside: str) -> None:
+    """Write a small file aside and rename it, so that readers see all of it or nothing."""
+    fs, writing = _filesystem(spark, f"{aside}/_writing-{uuid.uuid4().hex}")
+    stream = fs.create(writing)
+    stream.write(bytearray(json.dumps(value, sort_keys=True).encode()))
+    stream.close()
+    if not fs.rename(writing, _filesystem(spark, path)[1]):
+        raise RuntimeError(f"{path} could not be put in place.")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     fs, target = _filesystem(spark, path)
     return fs.exists(target)
@@ -43,36 +64,33 @@ class TableStore:
         fs, folder = _filesystem(self.spark, f"{self.root}/{COMMITS}")
         return sorted(status.getPath().getName() for status in fs.listStatus(folder)) if fs.exists(folder) else []
 
-    def _live(self) -> dict[str, str]:
+    def live(self) -> dict[str, str]:
         """Table name to snapshot, as of the newest commit."""
         done = [name for name in self._commits() if name.endswith(".json")]
-        if not done:
-            return {}
-        fs, path = _filesystem(self.spark, f"{self.root}/{COMMITS}/{done[-1]}")
-        stream = fs.open(path)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+        return _read_json(self.spark, f"{self.root}/{COMMITS}/{done[-1]}") if done else {}
 
     def exists(self, name: str) -> bool:
-        return name in self._live()
+        return name in self.live()
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}/{self._live()[name]}")
+        return self.spark.read.parquet(f"{self.root}/{name}/{self.live()[name]}")
 
     def read_or_empty(self, name: str, schema: Mapping[str, str]) -> DataFrame:
-        live = self._live()
+        live = self.live()
         if name in live:
             return self.spark.read.parquet(f"{self.root}/{name}/{live[name]}")
         return self.spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in schema.items()))
 
-    def stage(self, df: DataFrame, name: str) -> str:
-        """Write a new snapshot without making it live."""
-        version = uuid.uuid4().hex
-        df.write.parquet(f"{self.root}/{name}/{version}")
+    def stage(self, df: DataFrame, name: str, version: str | None = None) -> str:
+        """Write a new snapshot without making it live; one of a given version that is there in full is left as it is."""
+        version = version or uuid.uuid4().hex
+        _write_once(df, f"{self.root}/{name}/{version}")
         return version
 
+    def has_rows(self, df: DataFrame, name: str, version: str) -> bool:
+        """Whether a staged snapshot of `df` holds any row."""
+        return not self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}/{version}").isEmpty()
+
     def publish(self, versions: Mapping[str, str]) -> None:
         """Make staged snapshots live, all at once.
 
@@ -84,22 +102,76 @@ class TableStore:
         fs, claim = _filesystem(self.spark, f"{self.root}/{COMMITS}/{serial:012d}.claim")
         if not fs.createNewFile(claim):
             raise RuntimeError("Another writer published first.")
-        _, aside = _filesystem(self.spark, f"{self.root}/_writing-{uuid.uuid4().hex}")
-        stream = fs.create(aside)
-        stream.write(bytearray(json.dumps({**self._live(), **versions}, sort_keys=True).encode()))
-        stream.close()
-        if not fs.rename(aside, _filesystem(self.spark, f"{self.root}/{COMMITS}/{serial:012d}.json")[1]):
-            raise RuntimeError("The commit could not be put in place.")
+        _write_json(
+            self.spark, f"{self.root}/{COMMITS}/{serial:012d}.json", {**self.live(), **versions}, aside=self.root
+        )
 
     def replace(self, df: DataFrame, name: str) -> bool:
         """Replace a table; an empty frame writes nothing and keeps the old one."""
         version = self.stage(df, name)
-        if self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}/{version}").isEmpty():
+        if not self.has_rows(df, name, version):
             return False
         self.publish({name: version})
         return True
 
 
+def _write_once(df: DataFrame, path: str) -> None:
+    """Write a folder unless it is there in full; Spark marks a finished one, and half of one is written over."""
+    if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+
+
+class Progress:
+    """What a run has finished, kept in the store under the key of the run.
+
+    A run that is started again with its key reads the frames that are there and goes on with the first one that is not.
+    It keeps the id and moment of its first start. When the stored tables it began from have been replaced meanwhile by
+    another run, what it kept is worthless and it starts anew.
+    """
+
+    def __init__(self, store: TableStore, key: str, tables: Iterable[str], today: date, at: datetime):
+        self.store, self.spark, self.folder = store, store.spark, f"{store.root}/_runs/{key}"
+        live = store.live()
+        base = {name: live[name] for name in tables if name in live}
+        begun = f"{self.folder}/begun.json"
+        start = _read_json(self.spark, begun) if path_exists(self.spark, begun) else None
+        if start and start["today"] != today.isoformat():
+            raise ValueError(f"Run {key} is of {start['today']}.")
+        if start and start["base"] != base and live.get(RUN) != start["run_id"]:
+            self.discard()
+            start = None
+        if start is None:
+            start = {
+                "run_id": uuid.uuid4().hex, "snapshot": uuid.uuid4().hex, "today": today.isoformat(),
+                "at": at.isoformat(), "base": base,
+            }
+            _write_json(self.spark, begun, start, aside=self.folder)
+        self.run_id, self.snapshot = start["run_id"], start["snapshot"]
+        self.at = datetime.fromisoformat(start["at"])
+
+    def done(self, step: str) -> bool:
+        return path_exists(self.spark, f"{self.folder}/{step}.json")
+
+    def mark(self, step: str) -> None:
+        _write_json(self.spark, f"{self.folder}/{step}.json", {}, aside=self.folder)
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """The frame as it was written by this run, now or before it was started again."""
+        _write_once(df, f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def publish(self, versions: Mapping[str, str]) -> None:
+        """Make the run's snapshots live; the same commit says that it was this run."""
+        self.store.publish({**versions, RUN: self.run_id})
+
+    def published(self) -> bool:
+        return self.store.live().get(RUN) == self.run_id
+
+    def discard(self) -> None:
+        fs, folder = _filesystem(self.spark, self.folder)
+        fs.delete(folder, True)
+
+
 def export_semantic(
     marts: Mapping[str, Callable[[], DataFrame]], folder: str, warn: Callable[[str], None] = print
 ) -> dict[str, str]:
