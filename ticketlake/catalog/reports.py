@@ -72,14 +72,13 @@ def inflow_all(spark, sf):
     return reports.inflow_all(tickets(spark, sf))
 
 
-@query(
-    "productivity",
-    by_period_sql(
-        f"SELECT CAST(data_resolucao AS DATE) AS d, {ASSIGNEE} AS rotulo FROM tickets WHERE {REPORT} AND CAST(data_resolucao AS DATE) {PERIOD_DAYS}",
-        "atribuido", "tickets_resolvidos", THREE, False,
-    ),
-    days=("periodo_inicio",),
+PRODUCTIVITY_SQL = by_period_sql(
+    f"SELECT CAST(data_resolucao AS DATE) AS d, {ASSIGNEE} AS rotulo FROM tickets WHERE {REPORT} AND CAST(data_resolucao AS DATE) {PERIOD_DAYS}",
+    "atribuido", "tickets_resolvidos", THREE, False,
 )
+
+
+@query("productivity", PRODUCTIVITY_SQL, days=("periodo_inicio",))
 def productivity(spark, sf):
     return reports.sort_productivity(reports.productivity(tickets(spark, sf), START, END))
 

@@ -31,8 +31,10 @@ DETAIL_TICKET = (
 DETAIL_HEARING = (
     "audiencia_id", "audiencia", "data_audiencia", "data_reagendamento", "preposto", "local_procon", "tipo_audiencia",
 )
-
-
+HEADLINE = (
+    "audiencias_em_aberto", "audiencias_data_futura", "procon_total", "procon_com_audiencia", "procon_taxa_pct",
+    "tickets_entrada", "tickets_resolvidos", "colaboradores_ativos", "linhas_detalhe",
+)
 ENTRY = ("data_entrada_reclamacao", "data_criacao")
 
 
@@ -103,38 +105,38 @@ def _daily(df: DataFrame, day: Column, label: Column, name: str) -> DataFrame:
     return df.groupBy(day.alias("dia"), label.alias(name)).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _channel() -> Column:
+def channel() -> Column:
     return label_or(F.col("tipo_solicitacao"), "NAO INFORMADO")
 
 
-def _assignee() -> Column:
+def assignee() -> Column:
     return label_or(F.col("atribuido"), "NAO ATRIBUIDO")
 
 
 def inflow(tickets: DataFrame, start: date, end: date) -> DataFrame:
     """Tickets entered in a period, by day, week, month and year, per channel and in total."""
     chosen = tickets.filter(official("report") & first_in_days(ENTRY, start, end))
-    daily = _daily(chosen, F.to_date(entry_moment()), _channel(), "canal_entrada")
+    daily = _daily(chosen, F.to_date(entry_moment()), channel(), "canal_entrada")
     return by_period(daily, "canal_entrada", "qtde_tickets", GRANULARITIES, GRAND_TOTAL)
 
 
 def inflow_all(tickets: DataFrame) -> DataFrame:
     """Entry volume of all tickets, no filter."""
     chosen = tickets.filter(entry_moment().isNotNull())
-    daily = _daily(chosen, F.to_date(entry_moment()), _channel(), "canal_entrada")
+    daily = _daily(chosen, F.to_date(entry_moment()), channel(), "canal_entrada")
     return by_period(daily, "canal_entrada", "qtde_tickets", GRANULARITIES, GRAND_TOTAL)
 
 
 def productivity(tickets: DataFrame, start: date, end: date) -> DataFrame:
     """Resolved tickets per assignee by day, week and month."""
     chosen = tickets.filter(official("report") & in_days(F.col("data_resolucao"), start, end))
-    daily = _daily(chosen, F.to_date("data_resolucao"), _assignee(), "atribuido")
+    daily = _daily(chosen, F.to_date("data_resolucao"), assignee(), "atribuido")
     return by_period(daily, "atribuido", "tickets_resolvidos", GRANULARITIES[:3])
 
 
 def productivity_all(tickets: DataFrame) -> DataFrame:
     chosen = tickets.filter(F.col("data_resolucao").isNotNull())
-    daily = _daily(chosen, F.to_date("data_resolucao"), _assignee(), "atribuido")
+    daily = _daily(chosen, F.to_date("data_resolucao"), assignee(), "atribuido")
     return by_period(daily, "atribuido", "tickets_resolvidos", GRANULARITIES[:3])
 
 
@@ -190,7 +192,7 @@ def open_hearings_view(tickets: DataFrame, hearings: DataFrame, today: date) ->
     return counts.select(F.lit(today).alias("data_referencia"), "*")
 
 
-def _funnel(counts: DataFrame, what: str, suffix: str) -> DataFrame:
+def funnel_row(counts: DataFrame, what: str, suffix: str) -> DataFrame:
     total, held = F.col("total"), F.col("com")
     return counts.select(
         total.alias(f"{what}_{suffix}"), held.alias(f"{what}_com_audiencia"),
@@ -210,7 +212,7 @@ def funnel(tickets: DataFrame, hearings: DataFrame, start: date, end: date) -> D
         .groupBy("ticket_id").agg(F.max("_tem").alias("_tem"))
         .agg(F.count(F.lit(1)).alias("total"), F.count("_tem").alias("com"))
     )
-    return _funnel(counts, "qtde_tickets_procon", "periodo").select(
+    return funnel_row(counts, "qtde_tickets_procon", "periodo").select(
         F.lit(start).alias("periodo_inicial"), F.lit(end).alias("periodo_final"), "*"
     )
 
@@ -223,7 +225,7 @@ def funnel_protocols(tickets: DataFrame, hearings: DataFrame, today: date) -> Da
         .groupBy("protocolo").agg(F.max("_tem").alias("_tem"))
         .agg(F.count(F.lit(1)).alias("total"), F.count("_tem").alias("com"))
     )
-    return _funnel(counts, "qtde_protocolos_procon", "total").select(F.lit(today).alias("data_referencia"), "*")
+    return funnel_row(counts, "qtde_protocolos_procon", "total").select(F.lit(today).alias("data_referencia"), "*")
 
 
 def _flag(test: Column, name: str) -> Column:
@@ -271,31 +273,63 @@ def report_detail(tickets: DataFrame, hearings: DataFrame, start: date, end: dat
 
 
 def headline_kpis(tickets: DataFrame, hearings: DataFrame, start: date, end: date, today: date) -> DataFrame:
-    """One row with the figures an executive reads first."""
-    opened = open_hearings(tickets, hearings, start, end, today).select(
-        F.col("qtde_audiencias_em_aberto").alias("audiencias_em_aberto"),
-        F.col("qtde_audiencias_somente_data_futura").alias("audiencias_data_futura"),
-    )
-    steps = funnel(tickets, hearings, start, end).select(
-        F.col("qtde_tickets_procon_periodo").alias("procon_total"),
-        F.col("qtde_tickets_procon_com_audiencia").alias("procon_com_audiencia"),
-        F.coalesce("taxa_conversao_pct", F.lit(0.0)).alias("procon_taxa_pct"),
-    )
+    """One row with the figures an executive reads first.
+
+    Volumes are one pass over the tickets of the period. Everything about hearings is one join: each of its rows says
+    which hearing and which agency ticket it counts for, these fold to one row per id, and all counts are taken from that.
+    """
     counts = official("report")
     entered = counts & first_in_days(ENTRY, start, end)
-    volumes = tickets.agg(F.count_if(entered).alias("tickets_entrada"))
-    resolved = (
-        tickets.filter(counts & in_days(F.col("data_resolucao"), start, end))
-        .groupBy(_assignee().alias("a")).agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tickets_resolvidos"), F.count(F.lit(1)).alias("colaboradores_ativos"))
+    resolved = counts & in_days(F.col("data_resolucao"), start, end)
+    volumes = (
+        tickets.filter(entered | resolved).groupBy(assignee().alias("_quem"))
+        .agg(F.count_if(entered).alias("_entrada"), F.count_if(resolved).alias("_resolvidos"))
+        .agg(
+            F.coalesce(F.sum("_entrada"), F.lit(0)).alias("tickets_entrada"),
+            F.coalesce(F.sum("_resolvidos"), F.lit(0)).alias("tickets_resolvidos"),
+            F.count_if(F.col("_resolvidos") > 0).alias("colaboradores_ativos"),
+        )
+    )
+    slim = tickets.select(
+        "ticket_id", _truth(counts, "_conta"), _truth(is_open(), "_aberto"), _truth(entered & has_procon(), "_procon")
     )
-    detail = (
-        tickets.select("ticket_id").join(hearings.select("ticket_id"), "ticket_id", "left")
-        .agg(F.count(F.lit(1)).alias("linhas_detalhe"))
+    held = hearings.select(
+        "ticket_id", "audiencia_id", _truth(hearing_day() >= F.lit(today), "_futura"), F.lit(True).alias("_tem")
     )
-    # Five one-row frames side by side.
-    rows = [f.withColumn("_k", F.lit(1)) for f in (opened, steps, volumes, resolved, detail)]
-    return reduce(lambda a, b: a.join(b, "_k"), rows).drop("_k")
+    ahead = F.coalesce("_futura", F.lit(False))
+    marks = F.array(
+        _mark("linha", F.lit(None), F.lit(False), F.lit(False)),
+        F.when(
+            F.col("_conta") & F.col("audiencia_id").isNotNull(),
+            _mark("audiencia", F.col("audiencia_id"), ahead | F.col("_aberto"), ahead),
+        ),
+        F.when(F.col("_procon"), _mark("procon", F.col("ticket_id"), F.coalesce("_tem", F.lit(False)), F.lit(False))),
+    )
+    folded = (
+        slim.join(held, "ticket_id", "left").select(F.inline(F.array_compact(marks)))
+        .groupBy("tipo", "id").agg(F.bool_or("a").alias("a"), F.bool_or("b").alias("b"), F.count(F.lit(1)).alias("n"))
+    )
+    hearing, asked = F.col("tipo") == "audiencia", F.col("tipo") == "procon"
+    found = folded.agg(
+        F.count_if(hearing & F.col("a")).alias("audiencias_em_aberto"),
+        F.count_if(hearing & F.col("b")).alias("audiencias_data_futura"),
+        F.count_if(asked).alias("procon_total"),
+        F.count_if(asked & F.col("a")).alias("procon_com_audiencia"),
+        F.coalesce(F.sum(F.when(F.col("tipo") == "linha", F.col("n"))), F.lit(0)).alias("linhas_detalhe"),
+    )
+    rate = F.coalesce(percent(F.col("procon_com_audiencia"), F.col("procon_total")), F.lit(0.0))
+    found = found.withColumn("procon_taxa_pct", rate).withColumn("_k", F.lit(1))
+    # Two one-row frames side by side.
+    return found.join(volumes.withColumn("_k", F.lit(1)), "_k").select(*HEADLINE)
+
+
+def _truth(test: Column, name: str) -> Column:
+    return F.coalesce(test, F.lit(False)).alias(name)
+
+
+def _mark(kind: str, key: Column, a: Column, b: Column) -> Column:
+    """What a joined row counts for: a kind of thing, its id and two tests."""
+    return F.struct(F.lit(kind).alias("tipo"), key.cast("string").alias("id"), a.alias("a"), b.alias("b"))
 
 
 def append_total(
