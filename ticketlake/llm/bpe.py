@@ -47,8 +47,11 @@ _START = """
 _ONE_PAIR = """
   SELECT s.step + 1 AS step, s.g, CASE WHEN s.g = b.spot THEN b.made ELSE s.id END AS id
   FROM state s JOIN (
-    SELECT g >> 32 AS w, min(m) AS made, arg_min(g, m::HUGEINT << 64 | g) AS spot, arg_min(nxt, m::HUGEINT << 64 | g) AS gone
-    FROM state WHERE m IS NOT NULL GROUP BY ALL
+    SELECT w, (best >> 32)::INTEGER AS made, (w << 32) | (best & 4294967295) AS spot, gone
+    FROM (
+      SELECT g >> 32 AS w, min((m::BIGINT << 32) | (g & 4294967295)) AS best, arg_min(nxt, (m::BIGINT << 32) | (g & 4294967295)) AS gone
+      FROM state WHERE m IS NOT NULL GROUP BY ALL
+    )
   ) b ON s.g >> 32 = b.w AND s.g <> b.gone
 """
 _AGAIN = f"""
