@@ -62,10 +62,27 @@ _ENCODE = f"""
   ended AS (SELECT g >> 32 AS w, max(step) AS step FROM state GROUP BY ALL)
   SELECT s.g, s.id FROM state s JOIN ended e ON s.g >> 32 = e.w AND s.step = e.step
 """
-_IDS = "SELECT g >> 32 AS w, list(id ORDER BY g) AS ids FROM found GROUP BY ALL ORDER BY w"
+_IDS = "SELECT g >> 32 AS w, list(id ORDER BY g) AS parts FROM found GROUP BY ALL ORDER BY w"
 _BYTES = "SELECT f.g >> 32 AS w, list(v.piece ORDER BY f.g) AS parts FROM found f JOIN vocabulary v USING (id) GROUP BY ALL ORDER BY w"
 
 
+def _joined(rows: pa.Table, width: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """Each w with its ordered parts, one after the other; they lie so in Arrow's buffers, as numbers of `width` bytes or as texts."""
+    for chunk in rows.to_batches():
+        lists = chunk.column("parts")
+        ends = lists.offsets.to_numpy()
+        parts = lists.values
+        if width is None:
+            ends = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset :][ends]
+            data = parts.buffers()[2]
+        else:
+            ends = (ends.astype(np.int64) + parts.offset) * width
+            data = parts.buffers()[1]
+        data, stops = data.to_pybytes() if data else b"", ends.tolist()
+        for w, start, stop in zip(chunk.column("w").to_pylist(), stops[:-1], stops[1:], strict=True):
+            yield w, data[start:stop]
+
+
 class Coder:
     """One in-memory DuckDB with the merge table of a rank file (lines of base64 token and rank)."""
 
@@ -94,8 +111,13 @@ class Coder:
         self.con.unregister("given")
 
     def encode_pieces(self, pieces: list[bytes]) -> tuple[list[list[int]], list[bytes]]:
-        """Token ids of each piece, and the bytes that those ids stand for. A piece that is a token is not contracted."""
-        ids = [[self.ranks[p]] if p in self.ranks else [] for p in pieces]
+        """Token ids of each piece, and the bytes that those ids stand for."""
+        ids, decoded = self.encode_packed(pieces)
+        return [np.frombuffer(x, "<u4").tolist() for x in ids], decoded
+
+    def encode_packed(self, pieces: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+        """As `encode_pieces`, ids as little-endian numbers of four bytes. A piece that is a token is not contracted."""
+        ids = [self.ranks[p].to_bytes(4, "little") if p in self.ranks else b"" for p in pieces]
         decoded = [b""] * len(pieces)
         short = [k for k, p in enumerate(pieces) if not ids[k] and 0 < len(p) <= LONG_PIECE]
         whole = [k for k in range(len(pieces)) if ids[k]]
@@ -112,7 +134,7 @@ class Coder:
         self._contract(lot, pieces, ids, decoded)
         for k, piece in enumerate(pieces):
             if not ids[k] and len(piece) > LONG_PIECE:
-                ids[k] = self.contract_long(piece)
+                ids[k] = np.array(self.contract_long(piece), "<u4").tobytes()
                 self._decode([k], ids, decoded)
         return ids, decoded
 
@@ -162,28 +184,29 @@ class Coder:
         self.con.register("start", pa.table({"g": rows, "id": tokens}))
         self.con.execute(_ENCODE)
         self.con.unregister("start")
-        for w, found in self.con.execute(_IDS).fetchall():
+        for w, found in _joined(self.con.sql(_IDS).to_arrow_table(), width=4):
             ids[lot[w]] = found
-        for w, parts in self.con.execute(_BYTES).fetchall():
-            decoded[lot[w]] = b"".join(parts)
+        for w, data in _joined(self.con.sql(_BYTES).to_arrow_table()):
+            decoded[lot[w]] = data
 
-    def _decode(self, lot: list[int], ids: list, decoded: list) -> None:
-        for k, data in zip(lot, self.decode([ids[k] for k in lot]), strict=True):
+    def _decode(self, lot: list[int], ids: list[bytes], decoded: list) -> None:
+        for k, data in zip(lot, self._decode_packed([ids[k] for k in lot]), strict=True):
             decoded[k] = data
 
     def decode(self, lists: Iterable[Iterable[int]]) -> list[bytes]:
         """Bytes of each list of ids, by one ordered aggregation."""
-        lists = [list(x) for x in lists]
-        rows = pa.table({
-            "g": pa.array([w << 32 | p for w, x in enumerate(lists) for p in range(len(x))], pa.int64()),
-            "id": pa.array([i for x in lists for i in x], pa.int32()),
-        })
-        self.con.register("given", rows)
+        return self._decode_packed([np.array(list(x), "<u4").tobytes() for x in lists])
+
+    def _decode_packed(self, lists: list[bytes]) -> list[bytes]:
+        lengths = np.array([len(x) // 4 for x in lists], np.int64)
+        places = np.repeat(np.arange(len(lists), dtype=np.int64) << 32, lengths)
+        places += np.arange(len(places)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.con.register("given", pa.table({"g": places, "id": np.frombuffer(b"".join(lists), "<i4")}))
         self.con.execute("CREATE OR REPLACE TEMP TABLE found AS SELECT * FROM given")
         self.con.unregister("given")
         out = [b""] * len(lists)
-        for w, parts in self.con.execute(_BYTES).fetchall():
-            out[w] = b"".join(parts)
+        for w, data in _joined(self.con.sql(_BYTES).to_arrow_table()):
+            out[w] = data
         return out
 
     def learn(self, words: Iterable[str]) -> None:
@@ -197,9 +220,9 @@ class Coder:
         for first in range(0, len(new), _LEARNT):
             part = new[first : first + _LEARNT]
             raw = [w.encode() for w in part]
-            ids, decoded = self.encode_pieces(raw)
-            for word, data, tokens, back in zip(part, raw, ids, decoded, strict=True):
-                self.ids[word] = found = np.array(tokens, "<u4").tobytes()
+            ids, decoded = self.encode_packed(raw)
+            for word, data, found, back in zip(part, raw, ids, decoded, strict=True):
+                self.ids[word] = found
                 self.held += _weight(word, found)
                 if back != data:
                     self.other[word] = back
