@@ -24,6 +24,15 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def name_glob(prefixes: Sequence[str], extension: str) -> str:
+    """File name pattern for any of some prefixes and an extension, in any case."""
+
+    def any_case(text: str) -> str:
+        return "".join(f"[{c.upper()}{c.lower()}]" if c.isalpha() else c for c in text)
+
+    return "{" + ",".join(any_case(p) for p in prefixes) + "}*." + any_case(extension)
+
+
 def discover_sources(
     spark: SparkSession, folder: str, prefixes: Sequence[str], extensions: Sequence[str] = ("parquet", "csv")
 ) -> DataFrame:
@@ -72,13 +81,13 @@ def read_source(spark: SparkSession, layouts: Sequence[Sequence[str]], source: s
 def read_discovered(spark: SparkSession, folder: str, source: str) -> DataFrame | None:
     """All parquet files of a named source in a folder; None when there is none.
 
-    Only the file list reaches the driver. Layout differences are merged by column name.
+    Files are chosen by a pattern inside the scan, so their paths are not collected; layouts are merged by column name.
     """
-    found = discover_sources(spark, folder, SOURCE_PREFIXES[source], ("parquet",)).select("path").collect()
-    if not found:
+    prefixes = SOURCE_PREFIXES[source]
+    if discover_sources(spark, folder, prefixes, ("parquet",)).isEmpty():
         return None
-    paths = [row["path"] for row in found]
-    return with_lineage(spark.read.option("mergeSchema", "true").parquet(*paths), source)
+    reader = spark.read.option("mergeSchema", "true").option("pathGlobFilter", name_glob(prefixes, "parquet"))
+    return with_lineage(reader.parquet(folder), source)
 
 
 def read_delimited(spark: SparkSession, path: str) -> DataFrame:
