@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ticketlake.catalog.inputs import END, START, hearings, tickets
 from ticketlake.catalog.registry import query
-from ticketlake.catalog.reports import FUNNEL_SQL, INFLOW_SQL, PRODUCTIVITY_SQL
+from ticketlake.catalog.reports import CHANNEL, ENTRY_DAY, FUNNEL_SQL, INFLOW_SQL, PRODUCTIVITY_SQL
 from ticketlake.plans import cube, reports
 
 
@@ -49,3 +49,24 @@ def productivity_cube(spark, sf):
 @query("funnel_cube", FUNNEL_SQL, days=("periodo_inicial", "periodo_final"))
 def funnel_cube(spark, sf):
     return cube.funnel(_maintained(spark, sf), START, END)
+
+
+@query(
+    "moved_tickets",
+    f"""
+    WITH moves AS (
+      SELECT ticket_id, {CHANNEL} AS canal, {ENTRY_DAY} AS dia FROM tickets
+      UNION ALL SELECT ticket_id, {CHANNEL}, CAST(data_resolucao AS DATE) FROM tickets),
+    spans AS (
+      SELECT 'MES' AS granularidade, CAST(date_trunc('month', dia) AS DATE) AS periodo_inicio, * FROM moves WHERE dia IS NOT NULL
+      UNION ALL SELECT 'ANO', CAST(date_trunc('year', dia) AS DATE), * FROM moves WHERE dia IS NOT NULL)
+    SELECT granularidade, periodo_inicio, canal AS canal_entrada, count(DISTINCT ticket_id) AS qtde_tickets FROM spans GROUP BY ALL
+    UNION ALL SELECT granularidade, periodo_inicio, 'TOTAL GERAL', count(DISTINCT ticket_id) FROM spans GROUP BY ALL
+    """,
+    days=("periodo_inicio",),
+)
+def moved_tickets(spark, sf):
+    """Distinct tickets per period, from the cells of two feeds that were stored apart."""
+    every = tickets(spark, sf)
+    parts = [cube.movement_cells(every.filter(f"ticket_id % 3 {sign} 0")) for sign in ("=", "<>")]
+    return cube.moved_tickets(parts[0].unionByName(parts[1]))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.catalog.ingest import transform_sql
@@ -13,7 +15,7 @@ from ticketlake.catalog.registry import query
 from ticketlake.operators import persistence
 from ticketlake.plans.batch import Rules, build_gold, build_silver
 from ticketlake.plans.runs import last_run as latest_steps
-from ticketlake.schemas import GOLD, HISTORY, HISTORY_COLUMNS, TICKETS
+from ticketlake.schemas import GOLD, HISTORY, HISTORY_COLUMNS
 
 LATER = datetime(1998, 4, 21, 6, 30, 0)
 
@@ -36,12 +38,15 @@ def upsert(spark, sf):
     return persistence.upsert(target, source, "ticket_id")
 
 
-def _cell(name: str) -> str:
-    kind = TICKETS[name]
-    return f"strftime({name}, '%Y-%m-%d %H:%M:%S')" if kind == "timestamp_ntz" else f"CAST({name} AS VARCHAR)"
-
-
-HASH_SQL = "sha256(CAST(to_json({" + ", ".join(f"'{c}': {_cell(c)}" for c in sorted(HISTORY_COLUMNS)) + "}) AS VARCHAR))"
+# Columns and forms of the version hash, written out here and not taken from the operator.
+HASH_SQL = """sha256(CAST(to_json({
+    'assunto': assunto, 'atribuido': atribuido, 'case_id': case_id,
+    'data_criacao': strftime(data_criacao, '%Y-%m-%d %H:%M:%S'), 'data_resolucao': strftime(data_resolucao, '%Y-%m-%d %H:%M:%S'),
+    'flag_arquivado_relatorio': CAST(flag_arquivado_relatorio AS VARCHAR), 'grupo_tickets': grupo_tickets, 'matricula': matricula,
+    'numero_os': CAST(numero_os AS VARCHAR), 'resultado_tratativa': resultado_tratativa, 'status': status,
+    'status_vinculo': status_vinculo, 'ticket_id': CAST(ticket_id AS VARCHAR),
+    'ticket_notificacao_id': CAST(ticket_notificacao_id AS VARCHAR), 'tipo_manifestacao': tipo_manifestacao,
+    'tipo_solicitacao': tipo_solicitacao, 'titulo': titulo}) AS VARCHAR))"""
 SCD_OUT = ("ticket_id", "status", "data_inicio_vigencia", "data_fim_vigencia", "flag_ativo", "run_id", "hash_dados")
 
 
@@ -164,6 +169,18 @@ def _brought_sql(kind: str) -> str:
 )
 def batch_counts(spark, sf):
     """Rows of every stored table after one whole batch over all tickets, hearings and work orders."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(name).alias("tabela"), "linhas")
+        for name, df in _after_batch(spark, sf).items()
+    ]
+    total = counts[0]
+    for other in counts[1:]:
+        total = total.unionByName(other)
+    return total
+
+
+def _after_batch(spark, sf):
+    """Stored tables after one batch that began with none."""
     raw = raw_general(spark, sf).filter(F.col("`Formulário de ticket`").isNotNull())
     h = hearings(spark, sf)
     hearing_feed = h.select(
@@ -180,11 +197,42 @@ def batch_counts(spark, sf):
         name: spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in schema.items()))
         for name, (schema, _) in GOLD.items()
     }
-    gold = build_gold(silver, stored, rules, "r1", AT)
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(name).alias("tabela"), "linhas") for name, df in gold.items()
+    return build_gold(silver, stored, rules, "r1", AT)
+
+
+@query(
+    "batch_contents",
+    f"""
+    WITH r AS {_brought_sql("solicitacao")}, n AS {_brought_sql("notificacao")},
+    fora AS (SELECT ticket_id FROM governed WHERE regra = 'REMOVIDO')
+    SELECT 'clientes' AS tabela, matricula AS chave, matricula, CAST(NULL AS VARCHAR) AS case_id FROM (SELECT matricula FROM r UNION SELECT matricula FROM n) WHERE matricula IS NOT NULL
+    UNION ALL SELECT 'cases', case_id, NULL, case_id FROM (SELECT case_id FROM r UNION SELECT case_id FROM n)
+    UNION ALL SELECT 'tickets', CAST(ticket_id AS VARCHAR), matricula, case_id FROM r
+    UNION ALL SELECT 'tickets_historico', CAST(ticket_id AS VARCHAR), matricula, case_id FROM r
+    UNION ALL SELECT 'tickets_notificacao', CAST(ticket_id AS VARCHAR), matricula, case_id FROM n
+    UNION ALL SELECT unnest(['tickets_auditoria_classificacao', 'tickets_auditoria_operacional']), CAST(ticket_id AS VARCHAR), NULL, NULL FROM r WHERE marcado
+    UNION ALL SELECT 'audiencias', CAST(ticket_audiencia_id AS VARCHAR), NULL, NULL FROM hearings WHERE ticket_id IN (SELECT ticket_id FROM r) AND ticket_audiencia_id NOT IN (SELECT ticket_id FROM fora)
+    """,
+)
+def batch_contents(spark, sf):
+    """Key, account and case of every row of the stored tables after one whole batch."""
+    gold = _after_batch(spark, sf)
+    keys = {
+        "clientes": ("matricula", "matricula", None),
+        "cases": ("case_id", None, "case_id"),
+        "tickets": ("ticket_id", "matricula", "case_id"),
+        "tickets_historico": ("ticket_id", "matricula", "case_id"),
+        "tickets_notificacao": ("ticket_id", "matricula", "case_id"),
+        "tickets_auditoria_classificacao": ("ticket_id", None, None),
+        "tickets_auditoria_operacional": ("ticket_id", None, None),
+        "audiencias": ("ticket_audiencia_id", None, None),
+    }
+    frames = [
+        gold[name].select(
+            F.lit(name).alias("tabela"), F.col(key).cast("string").alias("chave"),
+            (F.col(account) if account else F.lit(None).cast("string")).alias("matricula"),
+            (F.col(case) if case else F.lit(None).cast("string")).alias("case_id"),
+        )
+        for name, (key, account, case) in keys.items()
     ]
-    total = counts[0]
-    for other in counts[1:]:
-        total = total.unionByName(other)
-    return total
+    return reduce(DataFrame.unionByName, frames)

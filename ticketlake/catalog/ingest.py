@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ticketlake.catalog.inputs import AT, SUBJECT_TIES, governed, raw_general, table, tickets, view
 from ticketlake.catalog.registry import query
 from ticketlake.catalog.text import PROTOCOL_SQL, norm, subject
-from ticketlake.functions.keys import PROTOCOL_PATTERNS
 from ticketlake.functions.text import first_nonblank
 from ticketlake.operators import dedup
 from ticketlake.plans import transform
 from ticketlake.schemas import TICKET_ALIASES, TICKET_FEED
-from ticketlake.sources import canonical, files
+from ticketlake.session import cut_lineage, ensure_checkpoint_dir
+from ticketlake.sources import canonical, files, intake
+from ticketlake.sources.tables import deliver
 
 BLANK = "CASE WHEN trim({c}) IN ('', '<NA>', 'nan', 'None') THEN NULL ELSE trim({c}) END"
 
@@ -38,6 +41,28 @@ def bronze_union(spark, sf):
     )
 
 
+@query(
+    "bronze_intake",
+    """
+    SELECT o_orderkey AS chave, CASE WHEN o_orderkey % 4 = 3 THEN 2 ELSE o_orderkey % 4 END AS versao, o_totalprice AS valor,
+      CASE WHEN o_orderkey % 4 IN (1, 2, 3) THEN o_orderstatus END AS situacao FROM orders
+    """,
+)
+def bronze_intake(spark, sf):
+    """Three deliveries, each taken in as it comes: every one repeats a quarter of the keys, the later two bring a column."""
+    root = f"{ensure_checkpoint_dir(spark)}/intake-{uuid.uuid4().hex}"
+    orders, stored = table(spark, sf, "orders"), None
+    for version in range(3):
+        chosen = orders.filter(F.col("o_orderkey") % 4 == version).unionByName(orders.filter("o_orderkey % 4 = 3"))
+        columns = [F.col("o_orderkey").alias("chave"), F.lit(version).alias("versao"), F.col("o_totalprice").alias("valor")]
+        columns += [F.col("o_orderstatus").alias("situacao")] if version else []
+        deliver(chosen.select(*columns), f"{root}/feed", f"Base_GSS_{version}")
+        last = intake.land(spark, f"{root}/feed", "gss", f"{root}/bronze")
+        arrived = intake.landed(spark, f"{root}/bronze", after=last - 1)
+        stored = cut_lineage(intake.merge_latest(stored, arrived, "chave"))
+    return stored.select("chave", F.col("versao").cast("bigint").alias("versao"), "valor", "situacao")
+
+
 # The general feed as it is after canonicalisation, in the check database.
 FEED_SQL = """
     feed AS (SELECT * REPLACE (
@@ -206,7 +231,9 @@ TRANSFORM_OUT = (
     "tipo_ticket_zendesk", "flag_arquivado_relatorio", "tipo_solicitacao",
 )
 _REFERENCE = (
-    "coalesce(" + ", ".join(f"nullif(trim({c}), '')" for c in ("protocolo_referencia_informado", *PROTOCOL_PATTERNS, "case_jec")) + ")"
+    "coalesce(nullif(trim(protocolo_referencia_informado), ''), nullif(trim(protocolo_agenersa), ''), "
+    "nullif(trim(protocolo_procon), ''), nullif(trim(protocolo_defensoria), ''), nullif(trim(protocolo_codecon), ''), "
+    "nullif(trim(case_jec), ''))"
 )
 _SHARED = ", ".join(c for c in TRANSFORM_OUT[:11])
 _TAIL = f"coalesce(protocolo_agenersa, CAST(ticket_id AS VARCHAR)) AS case_id, case_jec, protocolo_agenersa, {_REFERENCE} AS protocolo_referencia, assunto_normalizado, chave_explicita_vinculo, formulario_ticket"

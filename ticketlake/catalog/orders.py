@@ -60,7 +60,19 @@ def blank(c: str) -> str:
     return f"CASE WHEN trim({c}) IN ('', '<NA>', 'nan', 'None') THEN NULL ELSE trim({c}) END"
 
 
-SOURCES = {c: ("CAST(porta AS VARCHAR)" if c == "numero_porta" else c) for c in orders.FILL_COLUMNS}
+# Written out here and not taken from the operator: order column, its expression in the check SQL, ticket column.
+FILLS = (
+    ("bairro", "bairro", "bairro"),
+    ("municipio", "municipio", "municipio"),
+    ("nome_logradouro", "nome_logradouro", "logradouro"),
+    ("endereco_requerente", "endereco_requerente", "endereco"),
+    ("numero_porta", "CAST(porta AS VARCHAR)", "numero_porta"),
+    ("complemento", "complemento", "complemento"),
+    ("telefone", "telefone", "telefone"),
+    ("nome_cliente", "nome_cliente", "nome_cliente_gss"),
+    ("nome_requerente", "nome_requerente", "nome_requerente_gss"),
+)
+SOURCES = {source: shown for source, shown, _ in FILLS}
 FILLED = " + ".join(f"CASE WHEN c_{s} IS NOT NULL THEN 1 ELSE 0 END" for s in SOURCES)
 
 
@@ -70,13 +82,13 @@ FILLED = " + ".join(f"CASE WHEN c_{s} IS NOT NULL THEN 1 ELSE 0 END" for s in SO
     WITH {PREPARED_SQL},
     k0 AS (SELECT matricula, gss_os_id, data_emissao, data_execucao, data_agendamento, {', '.join(f'{blank(e)} AS c_{s}' for s, e in SOURCES.items())} FROM prep),
     k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY matricula ORDER BY {FILLED} DESC, data_emissao DESC NULLS LAST, data_execucao DESC NULLS LAST, data_agendamento DESC NULLS LAST, gss_os_id DESC) AS rn FROM k0) WHERE rn = 1)
-    SELECT ticket_id, {', '.join(f"CASE WHEN {blank('t.' + target)} IS NULL THEN coalesce(k.c_{source}, t.{target}) ELSE t.{target} END AS {target}" for source, target in orders.FILL_COLUMNS.items())}
+    SELECT ticket_id, {', '.join(f"CASE WHEN {blank('t.' + target)} IS NULL THEN coalesce(k.c_{source}, t.{target}) ELSE t.{target} END AS {target}" for source, _, target in FILLS)}
     FROM tickets t LEFT JOIN k ON k.matricula = t.matricula
     """,
 )
 def enrich_missing(spark, sf):
     filled = orders.enrich_missing(tickets(spark, sf), prepared(spark, sf))
-    return filled.select("ticket_id", *orders.FILL_COLUMNS.values())
+    return filled.select("ticket_id", *[target for _, _, target in FILLS])
 
 
 @query(

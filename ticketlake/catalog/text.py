@@ -10,7 +10,7 @@ from ticketlake.functions import text as T
 from ticketlake.functions.dates import (
     business_calendar, holiday_calendar, parse_timestamp, timestamp_text, week_label, week_monday, weekday_label,
 )
-from ticketlake.functions.keys import PROTOCOL_PATTERNS, case_id, court_case_key, protocols
+from ticketlake.functions.keys import case_id, court_case_key, protocols
 from ticketlake.plans.bi import bi_fact_tickets, dim_status_bi
 from ticketlake.plans.daily import report_dates
 
@@ -143,7 +143,12 @@ def join_key(spark, sf):
     return tickets(spark, sf).select("ticket_id", T.join_key_text(raw).alias("chave"))
 
 
-PROTOCOL_SQL = ", ".join(f"nullif(regexp_extract(titulo, '{p}', 1), '') AS {n}" for n, p in PROTOCOL_PATTERNS.items())
+PROTOCOL_SQL = r"""
+    nullif(regexp_extract(titulo, '(\d{10})', 1), '') AS protocolo_agenersa,
+    nullif(regexp_extract(titulo, '(\d{2}\.\d{2}\.\d{4}\.\d{3}\.\d{5}-\d{3})', 1), '') AS protocolo_procon,
+    nullif(regexp_extract(titulo, '([Vv]\d{2,5}/\d{4})', 1), '') AS protocolo_defensoria,
+    nullif(regexp_extract(titulo, '(\d{4,6}/\d{4})', 1), '') AS protocolo_codecon
+"""
 
 
 @query("protocols", f"SELECT ticket_id, {PROTOCOL_SQL} FROM tickets")
@@ -167,7 +172,7 @@ def protocols_text(spark, sf):
 
 @query(
     "case_id",
-    f"SELECT ticket_id, coalesce(nullif(regexp_extract(titulo, '{PROTOCOL_PATTERNS['protocolo_agenersa']}', 1), ''), CAST(ticket_id AS VARCHAR)) AS case_id FROM tickets",
+    r"SELECT ticket_id, coalesce(nullif(regexp_extract(titulo, '(\d{10})', 1), ''), CAST(ticket_id AS VARCHAR)) AS case_id FROM tickets",
 )
 def case_id_query(spark, sf):
     found = protocols(F.col("titulo"))["protocolo_agenersa"]

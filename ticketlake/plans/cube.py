@@ -11,6 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketlake.operators.distinct import count_cells, distinct_cells, merge_cells
 from ticketlake.operators.filters import official
 from ticketlake.plans.reports import (
     GRAND_TOTAL, GRANULARITIES, assignee, by_period, channel, entry_moment, funnel_row, has_procon,
@@ -99,3 +100,27 @@ def funnel(cube: DataFrame, start: date, end: date) -> DataFrame:
     return funnel_row(counts, "qtde_tickets_procon", "periodo").select(
         F.lit(start).alias("periodo_inicial"), F.lit(end).alias("periodo_final"), "*"
     )
+
+
+def movement_cells(tickets: DataFrame) -> DataFrame:
+    """Per day and channel, which tickets entered or were resolved; stored beside the cube, each day is written once."""
+    days = F.array_distinct(F.array(F.to_date(entry_moment()), F.to_date("data_resolucao")))
+    moves = tickets.select("ticket_id", channel().alias("canal_entrada"), F.explode(days).alias("dia"))
+    return distinct_cells(moves.filter(F.col("dia").isNotNull()), F.col("ticket_id"), ("dia", "canal_entrada"))
+
+
+def moved_tickets(cells: DataFrame) -> DataFrame:
+    """Tickets that moved in each month and year, by channel and in all.
+
+    A ticket that entered and was resolved in one period counts once, so the days cannot be added up.
+    """
+    spans = F.array(*[
+        F.struct(F.lit(name).alias("granularidade"), F.trunc("dia", unit).alias("periodo_inicio"))
+        for name, unit in (("MES", "month"), ("ANO", "year"))
+    ])
+    labels = F.array("canal_entrada", F.lit(GRAND_TOTAL))
+    monthly = merge_cells(cells.withColumn("periodo_inicio", F.trunc("dia", "month")), ("periodo_inicio", "canal_entrada"))
+    spread = monthly.withColumnRenamed("periodo_inicio", "dia").withColumn("canal_entrada", F.explode(labels))
+    return count_cells(
+        spread.select("*", F.inline(spans)), ("granularidade", "periodo_inicio", "canal_entrada"), "qtde_tickets"
+    )

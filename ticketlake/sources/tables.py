@@ -202,6 +202,19 @@ def _swap_in(df: DataFrame, target: str) -> None:
         raise RuntimeError(f"{target} could not be replaced.")
 
 
+def deliver(df: DataFrame, folder: str, name: str) -> None:
+    """Put a frame into a feed folder as files `<name>_<i>.parquet`, each there as a whole or not at all."""
+    aside = f"{folder}.{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    fs, written = _filesystem(df.sparkSession, aside)
+    fs.mkdirs(_filesystem(df.sparkSession, folder)[1])
+    parts = [status.getPath() for status in fs.listStatus(written) if status.getPath().getName().endswith(".parquet")]
+    for i, part in enumerate(parts):
+        if not fs.rename(part, _filesystem(df.sparkSession, f"{folder}/{name}_{i}.parquet")[1]):
+            raise RuntimeError(f"{name}_{i}.parquet could not be put into {folder}.")
+    fs.delete(written, True)
+
+
 def update_history(spark: SparkSession, path: str, current: DataFrame, run_id: str, at: datetime) -> DataFrame:
     """Bring a stored history up to date and return it: folders by `flag_ativo` and the month in which a version closed.
 
