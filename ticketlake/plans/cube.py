@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.operators.distinct import count_cells, distinct_cells, merge_cells
+from ticketlake.operators.distinct import by_range, count_cells, distinct_cells, merge_cells
 from ticketlake.operators.filters import official
 from ticketlake.plans.reports import (
     GRAND_TOTAL, GRANULARITIES, assignee, by_period, channel, entry_moment, funnel_row, has_procon,
@@ -119,7 +119,8 @@ def moved_tickets(cells: DataFrame) -> DataFrame:
         for name, unit in (("MES", "month"), ("ANO", "year"))
     ])
     labels = F.array("canal_entrada", F.lit(GRAND_TOTAL))
-    monthly = merge_cells(cells.withColumn("periodo_inicio", F.trunc("dia", "month")), ("periodo_inicio", "canal_entrada"))
+    # One shuffle by range serves the merges over days, months and channels.
+    monthly = merge_cells(by_range(cells).withColumn("periodo_inicio", F.trunc("dia", "month")), ("periodo_inicio", "canal_entrada"))
     spread = monthly.withColumnRenamed("periodo_inicio", "dia").withColumn("canal_entrada", F.explode(labels))
     return count_cells(
         spread.select("*", F.inline(spans)), ("granularidade", "periodo_inicio", "canal_entrada"), "qtde_tickets"
