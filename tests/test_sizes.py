@@ -5,7 +5,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ticketlake.operators import distinct
+from ticketlake.operators import dedup, distinct
 
 AT = datetime(2024, 5, 1, 6, 0, 0)
 
@@ -24,3 +24,17 @@ def test_sparse_cells_take_no_more_than_their_rows(spark):
     assert dict(cells.dtypes)[distinct.MEMBERS] == "bigint"
     assert cells.count() == 5_000
     assert distinct.count_cells(cells, ("dia",), "n").agg(F.sum("n")).first()[0] == 5_000
+
+
+def test_subject_keys_are_those_of_the_subject_rows(spark):
+    ids = F.col("id")
+    feed = spark.range(400).select(
+        F.when(ids % 50 == 0, None).otherwise(ids % 90).alias("ticket_id"), F.lit("f").alias("formulario_ticket"),
+        F.when(ids % 4 == 0, " ").otherwise(F.concat(F.lit("Água "), ids % 3)).alias("assunto"),
+        F.when(ids % 8 == 0, None).otherwise(F.lit("agua 1!")).alias("titulo"),
+        F.lit(AT).alias("arquivo_mtime"), F.lit("a").alias("arquivo_origem"), ids.alias("row_seq"),
+    )
+    keys = dedup.subject_keys(feed)
+    whole = dedup.ticket_subjects(feed).select("ticket_id", "assunto_normalizado")
+    assert sorted(keys.collect()) == sorted(whole.collect())
+    assert "Window" not in optimized(keys)

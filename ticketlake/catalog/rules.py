@@ -270,7 +270,7 @@ def table_profile(spark, sf):
 def reconcile(spark, sf):
     feed = view(spark, sf, "subject_feed")
     gold = rules.drop_removed(tickets(spark, sf).select("ticket_id"), governed(spark, sf))
-    return quality.reconcile(feed, gold, dedup.ticket_subjects(feed, SUBJECT_TIES))
+    return quality.reconcile(feed, gold, dedup.subject_keys(feed))
 
 
 @query(
