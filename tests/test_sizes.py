@@ -5,7 +5,8 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from ticketlake.operators import dedup, distinct
+from ticketlake.operators import dedup, distinct, persistence
+from ticketlake.session import cut_lineage, empty_frame, ensure_checkpoint_dir, settle
 
 AT = datetime(2024, 5, 1, 6, 0, 0)
 
@@ -18,6 +19,31 @@ def size(folder: str) -> int:
     return sum(os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(folder.removeprefix("file:")) for name in names)
 
 
+def test_settled_rows_are_small_and_complete(spark):
+    ids = F.col("id")
+    wide = spark.range(200_000).select(
+        "id", *[F.lit(None).cast("string").alias(f"vazia_{i}") for i in range(40)],
+        *[F.concat(F.lit("texto "), ids % 7).alias(f"texto_{i}") for i in range(20)],
+    ).groupBy("id").agg(*[F.max(f"vazia_{i}").alias(f"vazia_{i}") for i in range(40)], *[F.max(f"texto_{i}").alias(f"texto_{i}") for i in range(20)])
+    folder = ensure_checkpoint_dir(spark)
+    before = size(folder)
+    cut_lineage(wide)
+    checkpointed = size(folder) - before
+    kept = settle(wide)
+    settled = size(folder) - before - checkpointed
+    assert kept.schema.names == wide.schema.names and kept.count() == 200_000
+    assert kept.exceptAll(wide).isEmpty()
+    assert settled * 5 < checkpointed, (settled, checkpointed)
+
+
+def test_joins_with_empty_tables_are_dropped(spark):
+    target = empty_frame(spark, {"k": "bigint", "a": "string", "b": "int"})
+    source = spark.range(10).select(F.col("id").alias("k"), F.lit("x").alias("a"))
+    merged = persistence.upsert(target, source, "k")
+    assert "Join" not in optimized(merged)
+    assert sorted(map(tuple, merged.collect())) == [(i, "x", None) for i in range(10)]
+
+
 def test_sparse_cells_take_no_more_than_their_rows(spark):
     rows = spark.range(5_000).select((F.col("id") * 40_000).alias("k"), (F.col("id") % 900).alias("dia"))
     cells = distinct.distinct_cells(rows, F.col("k"), ("dia",))

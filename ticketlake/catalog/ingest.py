@@ -13,7 +13,7 @@ from ticketlake.functions.text import first_nonblank
 from ticketlake.operators import dedup
 from ticketlake.plans import transform
 from ticketlake.schemas import TICKET_ALIASES, TICKET_FEED
-from ticketlake.session import cut_lineage, ensure_checkpoint_dir
+from ticketlake.session import settle, ensure_checkpoint_dir
 from ticketlake.sources import canonical, files, intake
 from ticketlake.sources.tables import deliver
 
@@ -59,7 +59,7 @@ def bronze_intake(spark, sf):
         deliver(chosen.select(*columns), f"{root}/feed", f"Base_GSS_{version}")
         last = intake.land(spark, f"{root}/feed", "gss", f"{root}/bronze")
         arrived = intake.landed(spark, f"{root}/bronze", after=last - 1)
-        stored = cut_lineage(intake.merge_latest(stored, arrived, "chave"))
+        stored = settle(intake.merge_latest(stored, arrived, "chave"))
     return stored.select("chave", F.col("versao").cast("bigint").alias("versao"), "valor", "situacao")
 
 

@@ -32,7 +32,7 @@ from ticketlake.functions.text import strip
 from ticketlake.operators.dedup import keep_one
 from ticketlake.operators.orders import spread_nulls
 from ticketlake.operators.timelines import SLICE_ROWS, along, sliced
-from ticketlake.session import cut_lineage
+from ticketlake.session import settle
 from ticketlake.sources.canonical import coerce_ids
 
 # Window, rules (name, key column, confidence) in order, and the notes of each outcome.
@@ -125,7 +125,7 @@ def _candidate_counts(timeline: DataFrame) -> DataFrame:
 def _peel_once(requests: DataFrame, notices: DataFrame, consumed: DataFrame, window_days: int, slice_rows: int) -> tuple:
     """Outcomes of the requests that are first at every notice of their window, and all that still have candidates."""
     turn = F.when(F.col("lugar") == _REQUEST, F.struct("t", "ticket_id"))
-    timeline = cut_lineage(
+    timeline = settle(
         along(_timeline(requests, notices, window_days), _GROUP, _ORDER, F.col("lugar") == _NOTICE, turn, slice_rows)
     )
     counts = _candidate_counts(timeline).filter(F.col("candidatos") > 0)
@@ -149,7 +149,7 @@ def _peel_once(requests: DataFrame, notices: DataFrame, consumed: DataFrame, win
         first.withColumn("lugar", place).filter(F.col("lugar") <= LISTED_CANDIDATES)
         .groupBy("ticket_id", "regra").agg(F.array_sort(F.collect_list(F.struct("lugar", "notificacao"))).alias("ids"))
     )
-    settled = cut_lineage(
+    settled = settle(
         sure.join(listed, ["ticket_id", "regra"]).select(
             "ticket_id", "regra", "candidatos", F.when(F.col("candidatos") == 1, F.col("unica")).alias("notificacao"),
             F.when(F.col("candidatos") > 1, F.array_join(F.transform("ids", lambda x: x["notificacao"].cast("string")), ", ")).alias("lista"),
@@ -172,11 +172,11 @@ def peel(
         if settled.isEmpty():
             break
         done = settled if done is None else done.unionByName(settled)
-        requests = cut_lineage(requests.join(asking, "ticket_id", "left_semi").join(settled, "ticket_id", "left_anti"))
+        requests = settle(requests.join(asking, "ticket_id", "left_semi").join(settled, "ticket_id", "left_anti"))
         if requests.isEmpty():
             break
         taken = settled.filter(F.col("notificacao").isNotNull()).select(F.col("notificacao").alias("ticket_id"))
-        notices = cut_lineage(notices.join(taken, "ticket_id", "left_anti"))
+        notices = settle(notices.join(taken, "ticket_id", "left_anti"))
     return done, requests, notices
 
 
@@ -297,7 +297,7 @@ def serve_in_order(
     # The id is part of the order, so neither a hot account nor a hot instant can make a slice grow.
     slices, parts = sliced(events, ["conta", "t", "ordem", "ticket_id"], slice_rows)
     # One row per slice: its first and last account, and the slice that follows it.
-    bounds = cut_lineage(
+    bounds = settle(
         slices.groupBy("fatia").agg(F.min("conta").alias("inicio"), F.min_by("t", F.struct("conta", "t")).alias("t0"))
     )
     follows = bounds.select(
@@ -317,16 +317,16 @@ def serve_in_order(
     carried = slices.sparkSession.createDataFrame(
         [], "fatia int, ticket_id bigint, conta string, t bigint, protocolo string, assunto string"
     )
-    served = cut_lineage(_serve(slices, carried, window_days))
+    served = settle(_serve(slices, carried, window_days))
     versions, asked = [served], []  # what each round served, and which slices it served anew
     for _ in range(parts - 1):
-        fresh = cut_lineage(handed_over(served))
+        fresh = settle(handed_over(served))
         # Only the slices behind those just served can have other notices handed over now.
         before = carried
         if asked:
             behind = follows.join(asked[-1].select(F.col("fatia").alias("anterior")), "anterior").select(F.col("seguinte").alias("fatia"))
             before = carried.join(behind, "fatia", "left_semi")
-        changed = cut_lineage(
+        changed = settle(
             fresh.select("fatia", "ticket_id", F.lit(1).alias("novo"))
             .join(before.select("fatia", "ticket_id", F.lit(1).alias("velho")), ["fatia", "ticket_id"], "full")
             .filter(F.col("novo").isNull() | F.col("velho").isNull())
@@ -335,8 +335,8 @@ def serve_in_order(
         if changed.isEmpty():
             break
         now = fresh.join(changed, "fatia", "left_semi")
-        served = cut_lineage(_serve(slices.join(changed, "fatia", "left_semi"), now, window_days))
-        carried = cut_lineage(carried.join(changed, "fatia", "left_anti").unionByName(now))
+        served = settle(_serve(slices.join(changed, "fatia", "left_semi"), now, window_days))
+        carried = settle(carried.join(changed, "fatia", "left_anti").unionByName(now))
         versions.append(served)
         asked.append(changed)
     # The latest version of each slice counts; the earlier ones stay as they were written.
@@ -442,8 +442,8 @@ def link_tickets(
         open_notices = open_notices.join(early, "ticket_id", "left_anti")
         automatic = base.join(by_hand.select("ticket_id"), "ticket_id", "left_anti")
 
-    consumed = cut_lineage(consumed)
-    asking, open_notices = cut_lineage(_slim(automatic)), cut_lineage(open_notices)
+    consumed = settle(consumed)
+    asking, open_notices = settle(_slim(automatic)), settle(open_notices)
     asking, open_notices = _with_partner(asking, open_notices), _with_partner(open_notices, asking)
     peeled, asking, open_notices = peel(asking, open_notices, consumed, window_days, slice_rows)
     served = serve_in_order(asking, open_notices, consumed, window_days, slice_rows)

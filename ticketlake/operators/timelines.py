@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ticketlake.session import cut_lineage
+from ticketlake.session import settle
 
 #: Rows of a slice, more or less.
 SLICE_ROWS = 500_000
@@ -21,11 +21,11 @@ SLICE_ROWS = 500_000
 
 def sliced(rows: DataFrame, order: Sequence[str], slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, int]:
     """Contiguous runs of the order, numbered in `fatia`, and how many; written, so that the numbers never change."""
-    rows = cut_lineage(rows)
+    rows = settle(rows)
     parts = max(1, -(-rows.count() // slice_rows))
     if parts == 1:
         return rows.withColumn("fatia", F.lit(0)), 1
-    return cut_lineage(rows.repartitionByRange(parts, *order).withColumn("fatia", F.spark_partition_id())), parts
+    return settle(rows.repartitionByRange(parts, *order).withColumn("fatia", F.spark_partition_id())), parts
 
 
 def along(

@@ -27,7 +27,7 @@ from ticketlake.plans import daily, marts, weekly
 from ticketlake.plans.runs import RunLog
 from ticketlake.plans.transform import canonical_tickets, silver_general, tickets_of_kind, transform_hearings, transform_n1
 from ticketlake.schemas import GOLD, HEARINGS, NOTICES, RELATIONS, TICKET_SUBJECTS, TICKETS, TICKETS_N1
-from ticketlake.session import cut_lineage
+from ticketlake.session import settle
 from ticketlake.sources.canonical import conform
 from ticketlake.sources.tables import Progress, TableStore, export_ai_ready, export_semantic, stamp_order
 
@@ -77,7 +77,7 @@ def _ordered(raw: DataFrame) -> DataFrame:
 
 
 def _cut(name: str, df: DataFrame) -> DataFrame:
-    return cut_lineage(df)
+    return settle(df)
 
 
 def build_silver(
@@ -195,7 +195,7 @@ def write_outputs(store: TableStore, folder: str, today: date, log: RunLog) -> l
 
     def daily_report() -> None:
         window = report_window(store.spark, today)
-        base = cut_lineage(daily.daily_base(tickets, hearings, window))
+        base = settle(daily.daily_base(tickets, hearings, window))
         save(base, "daily/data")
         save(daily.daily_totals(base, window["business_day"]), "daily/totals")
         save(daily.daily_entry_channel(base), "daily/entry_channel")
@@ -206,7 +206,7 @@ def write_outputs(store: TableStore, folder: str, today: date, log: RunLog) -> l
         save(daily.exception_movements(tickets, window), "daily/exception_movements")
 
     def weekly_report() -> None:
-        base = cut_lineage(weekly.weekly_base(tickets, today))
+        base = settle(weekly.weekly_base(tickets, today))
         save(base, "weekly/data")
         save(weekly.weekly_total(base, today), "weekly/total")
         save(weekly.weekly_by_day(base, today), "weekly/by_day")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ticketlake.operators.persistence import scd2
 from ticketlake.schemas import HISTORY
-from ticketlake.session import cut_lineage
+from ticketlake.session import empty_frame, settle
 
 COMMITS = "_commits"
 # Entry of a commit that names the batch run that made it.
@@ -79,7 +79,7 @@ class TableStore:
         live = self.live()
         if name in live:
             return self.spark.read.parquet(f"{self.root}/{name}/{live[name]}")
-        return self.spark.createDataFrame([], ", ".join(f"`{c}` {k}" for c, k in schema.items()))
+        return empty_frame(self.spark, schema)
 
     def stage(self, df: DataFrame, name: str, version: str | None = None) -> str:
         """Write a new snapshot without making it live; one of a given version that is there in full is left as it is."""
@@ -222,14 +222,13 @@ def update_history(spark: SparkSession, path: str, current: DataFrame, run_id: s
     have rows, so older months are neither read nor written. A run that is repeated with the same rows changes nothing.
     """
     month = f"{at:%Y-%m}"
-    kinds = ", ".join(f"`{c}` {k}" for c, k in HISTORY.items())
-    touched = spark.createDataFrame([], kinds)
+    touched = empty_frame(spark, HISTORY)
     if path_exists(spark, path):
         stored = read_history(spark, path)
         touched = stored.filter((F.col("flag_ativo") == 1) | (F.col("mes_fim") == month)).select(*HISTORY)
     merged = scd2(touched, current, run_id, at)
     named = merged.withColumn("mes_fim", F.coalesce(F.date_format("data_fim_vigencia", "yyyy-MM"), F.lit("aberta")))
-    written = cut_lineage(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    written = settle(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     written.partitionBy("flag_ativo", "mes_fim").parquet(path)
     return read_history(spark, path)
 
