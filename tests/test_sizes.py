@@ -6,6 +6,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ticketlake.operators import dedup, distinct, persistence
+from ticketlake.schemas import HISTORY, HISTORY_COLUMNS
 from ticketlake.session import cut_lineage, empty_frame, ensure_checkpoint_dir, settle
 
 AT = datetime(2024, 5, 1, 6, 0, 0)
@@ -44,6 +45,22 @@ def test_joins_with_empty_tables_are_dropped(spark):
     assert sorted(map(tuple, merged.collect())) == [(i, "x", None) for i in range(10)]
 
 
+def test_history_shuffles_only_what_is_read(spark):
+    def day(status):
+        columns = {c: F.lit(None).cast(HISTORY[c]) for c in HISTORY_COLUMNS}
+        columns["ticket_id"] = F.col("id")
+        return spark.range(6).withColumns({**columns, "status": status}).select(*HISTORY_COLUMNS)
+
+    opened = settle(persistence.scd2(empty_frame(spark, HISTORY), day(F.lit("OPEN")), "r1", AT))
+    status = F.when(F.col("id") < 2, "SOLVED").otherwise("OPEN")
+    after = persistence.scd2(opened, day(status).filter("ticket_id <> 5"), "r2", AT)
+    assert sorted((r.ticket_id, r.status, r.flag_ativo, r.run_id) for r in after.collect()) == [
+        (0, "OPEN", 0, "r1"), (0, "SOLVED", 1, "r2"), (1, "OPEN", 0, "r1"), (1, "SOLVED", 1, "r2"),
+        *[(i, "OPEN", 1, "r1") for i in (2, 3, 4, 5)],
+    ]
+    assert "payload_json" not in optimized(after.select("ticket_id", "flag_ativo")).split("Relation")[0]
+
+
 def test_sparse_cells_take_no_more_than_their_rows(spark):
     rows = spark.range(5_000).select((F.col("id") * 40_000).alias("k"), (F.col("id") % 900).alias("dia"))
     cells = distinct.distinct_cells(rows, F.col("k"), ("dia",))
