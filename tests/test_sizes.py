@@ -3,9 +3,10 @@
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
-from ticketlake.operators import dedup, distinct, persistence
+from ticketlake.operators import dedup, distinct, orders, persistence
 from ticketlake.schemas import HISTORY, HISTORY_COLUMNS
 from ticketlake.session import cut_lineage, empty_frame, ensure_checkpoint_dir, settle
 
@@ -81,3 +82,25 @@ def test_subject_keys_are_those_of_the_subject_rows(spark):
     whole = dedup.ticket_subjects(feed).select("ticket_id", "assunto_normalizado")
     assert sorted(keys.collect()) == sorted(whole.collect())
     assert "Window" not in optimized(keys)
+
+
+@pytest.mark.parametrize("absent_accounts", [orders.ABSENT_ACCOUNTS, 0])
+def test_orders_of_accounts_without_tickets_are_dropped_either_way(spark, absent_accounts):
+    cells = [("A1.0", 1), (" a2 ", 2), ("A3", 3), (None, 4), (" ", 5), ("A1", 6)]
+    feed = spark.createDataFrame(cells, "`Matrícula` string, n int")
+    tickets = spark.createDataFrame([("A1",), ("a2.0",), (None,), (" ",)], "matricula string")
+    kept = orders.semi_filter_orders(feed, tickets, absent_accounts)
+    assert sorted(r.n for r in kept.collect()) == [1, 2, 6]
+    assert ("LeftAnti" in optimized(kept)) == (absent_accounts > 0)
+
+
+def test_exact_match_ranks_only_given_numbers(spark):
+    found = [("7", "A", "g1", AT), ("7", "B", "g2", AT), ("8", "A", "g3", AT)]
+    prepared = spark.createDataFrame(found, "numero_os string, matricula string, gss_os_id string, data_emissao timestamp_ntz")
+    asked = spark.createDataFrame([(1, "A", "7"), (2, "C", "7"), (3, "A", "9")], "ticket_id bigint, matricula string, numero_os_original string")
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    matched = orders.match_exact(asked, prepared)
+    assert sorted(map(tuple, matched.collect())) == [(1, "g1"), (2, "g2"), (3, None)]
+    (ranked,) = set(os.listdir(folder)) - before
+    assert spark.read.parquet(f"{folder}/{ranked}").count() == 2
