@@ -109,3 +109,21 @@ def test_a_feed_scanned_twice_leaves_one_finding(spark, tmp_path):
     ledger = secret_ledger.append(spark, str(tmp_path / "ledger"), rows)
     found = secret_ledger.findings(versions, ledger)
     assert sorted((r.path, len(r.spans)) for r in found.collect()) == [("a", 1), ("b", 1), ("c", 0)]
+
+
+def test_every_text_trains(spark):
+    # More texts than were sampled before: all candidates count, and the trees are those of one fit on all rows.
+    docs = spark.range(9_000).selectExpr(
+        "id AS doc_id", "concat('see host ', id % 250, '.', id % 300, '.7.', id % 11, ' or card 4111 1111 1111 11', lpad(id % 100, 2, '0'), ' mail a', id, '@b.co') AS text"
+    )
+    rows = pii.training_rows(docs).collect()
+    assert sum(r.n for r in rows) == sum(k in pii.BASE_KINDS for r in docs.collect() for k, *_ in pii.candidates(r.text)) == 27_000
+    trees, threshold = pii.fit(docs)
+    again, other = pii.fit(docs.repartition(7))
+    assert trees.parts == again.parts and threshold == other
+    whole = [r for r in rows if r.fold > 0 for _ in range(r.n)]
+    x = np.array([np.frombuffer(r.features, np.float32) for r in whole], np.float64)
+    y = np.array([r.strict for r in whole], np.float64)
+    plain = pii.Trees().fit(x, y)
+    assert abs(plain.prior - trees.prior) < 1e-9
+    assert np.mean((plain.probability(x) > 0.5) == (trees.probability(x) > 0.5)) > 0.99

@@ -7,7 +7,8 @@ separators, checksum) and of the words around; a threshold per kind, set on span
 is added.
 
 The trees learn from the strict formats: positives are spans that pass them, negatives those that fail, and the features
-leave out the test itself where it would give the answer away. They are fitted on a bounded number of texts.
+leave out the test itself where it would give the answer away. They are fitted on every text: equal feature vectors fold
+to one with its count, tasks add up the histograms of a level, and only these sums reach the driver.
 
 Null and empty texts have no spans. Repeated rows get equal spans. Without positives and negatives nothing is added.
 Spans are in code points, end exclusive; equal spans of several kinds all stay.
@@ -17,14 +18,17 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ticketlake.llm.common import blocks
+from ticketlake.session import settle
 
 #: Kinds in the order in which spans are listed.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -32,11 +36,11 @@ LOOSE_KINDS = ("address", "network", "number", "contact")
 #: Strict kinds whose span the trees add under a name of its own, as base spans are listed by themselves.
 ADDED = {kind: f"{kind}_like" for kind in BASE_KINDS}
 _ORDER = {kind: k for k, kind in enumerate((*BASE_KINDS, *ADDED.values(), *LOOSE_KINDS))}
-#: Texts (by hash of their content) that train, about; trees and their depth; the precision that a threshold must reach.
-SAMPLE_TEXTS, TREES, DEPTH, PRECISION = 4_000, 12, 3, 0.99
+#: Trees and their depth, bins of a feature; the precision that a threshold must reach.
+TREES, DEPTH, BINS, PRECISION = 12, 3, 24, 0.99
 LEAST_PROBABILITY = 0.8
-#: Candidates of the sample that train at most.
-SAMPLE_SPANS = 20_000
+#: Slopes are summed as whole numbers of this size, so that sums do not depend on the order of tasks.
+_UNIT = float(1 << 24)
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -115,42 +119,68 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
 class Trees:
     """Gradient-boosted regression trees for the log odds, split on quantiles of each feature."""
 
-    def __init__(self, trees: int = TREES, depth: int = DEPTH, rate: float = 0.3, bins: int = 24):
+    def __init__(self, trees: int = TREES, depth: int = DEPTH, rate: float = 0.3, bins: int = BINS):
         self.count, self.depth, self.rate, self.bins = trees, depth, rate, bins
         self.prior, self.parts = 0.0, []
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
-        share = min(max(y.mean(), 1e-4), 1 - 1e-4)
-        self.prior = float(np.log(share / (1 - share)))
         cuts = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, self.bins + 1)[1:-1])) for k in range(x.shape[1])]
-        binned = np.stack([np.searchsorted(c, x[:, k], "left") for k, c in enumerate(cuts)], axis=1)
-        margin = np.full(len(y), self.prior)
+        once = np.ones(len(y), np.int64)
+        return self.learn(cuts, float(y.mean()), lambda splits: level_sums(self, cuts, splits, x, y, once))
+
+    def learn(self, cuts: list[np.ndarray], share: float, sums: Callable[[list], np.ndarray]) -> Trees:
+        """Trees from the sums of slope, curvature and rows by node, feature and bin that `sums` gives for each level."""
+        share = min(max(share, 1e-4), 1 - 1e-4)
+        self.prior = float(np.log(share / (1 - share)))
         for _ in range(self.count):
-            p = 1 / (1 + np.exp(-margin))
-            tree = self._grow(binned, cuts, y - p, p * (1 - p), np.arange(len(y)), self.depth)
-            self.parts.append(tree)
-            margin += self._walk(tree, x)
+            self.parts.append(self._grow(cuts, sums))
         return self
 
-    def _grow(self, binned, cuts, slope, curve, rows, depth):
-        value = float(self.rate * slope[rows].sum() / (curve[rows].sum() + 1.0))
-        best = (1e-6, None, None)
-        if depth and len(rows) >= 20:
-            whole = slope[rows].sum() ** 2 / (curve[rows].sum() + 1.0)
-            for k, cut in enumerate(cuts):
-                if not len(cut):
-                    continue
-                g = np.bincount(binned[rows, k], slope[rows], len(cut) + 1).cumsum()
-                h = np.bincount(binned[rows, k], curve[rows], len(cut) + 1).cumsum()
-                gain = g[:-1] ** 2 / (h[:-1] + 1.0) + (g[-1] - g[:-1]) ** 2 / (h[-1] - h[:-1] + 1.0) - whole
-                at = int(np.argmax(gain))
-                if gain[at] > best[0]:
-                    best = (float(gain[at]), k, at)
-        if best[1] is None:
-            return value
-        _, k, at = best
-        low = binned[rows, k] <= at
-        return (k, float(cuts[k][at]), *(self._grow(binned, cuts, slope, curve, part, depth - 1) for part in (rows[low], rows[~low])))
+    def _grow(self, cuts: list[np.ndarray], sums: Callable[[list], np.ndarray]):
+        splits: list = [None] * (1 << self.depth)  # by node, the children of i are 2i and 2i + 1
+        value = [0.0] * (2 << self.depth)
+        open_ = [1]
+        for level in range(self.depth):
+            if not open_:
+                break
+            g, h, n = sums(splits[: 1 << level])
+            follow = []
+            for node in open_:
+                at = node - (1 << level)
+                if level == 0:
+                    value[node] = self._value(g[at, 0].sum(), h[at, 0].sum())
+                found = self._best(cuts, g[at], h[at]) if n[at, 0].sum() >= 20 else None
+                if found:
+                    k, cut = found
+                    splits[node] = (k, float(cuts[k][cut]))
+                    for child, part in ((2 * node, slice(0, cut + 1)), (2 * node + 1, slice(cut + 1, None))):
+                        value[child] = self._value(g[at, k, part].sum(), h[at, k, part].sum())
+                        follow.append(child)
+            open_ = follow
+
+        def whole(node: int):
+            if node >= len(splits) or splits[node] is None:
+                return value[node]
+            return (*splits[node], whole(2 * node), whole(2 * node + 1))
+
+        return whole(1)
+
+    def _value(self, slope: float, curve: float) -> float:
+        return float(self.rate * slope / (curve + 1.0))
+
+    def _best(self, cuts: list[np.ndarray], g: np.ndarray, h: np.ndarray) -> tuple[int, int] | None:
+        """Feature and cut of the split that gains most."""
+        best = (1e-6, None)
+        whole = g[0].sum() ** 2 / (h[0].sum() + 1.0)
+        for k, cut in enumerate(cuts):
+            if not len(cut):
+                continue
+            low, curve = g[k].cumsum()[: len(cut)], h[k].cumsum()[: len(cut)]
+            gain = low**2 / (curve + 1.0) + (g[k].sum() - low) ** 2 / (h[k].sum() - curve + 1.0) - whole
+            at = int(np.argmax(gain))
+            if gain[at] > best[0]:
+                best = (float(gain[at]), (k, at))
+        return best[1]
 
     def _walk(self, tree, x: np.ndarray) -> np.ndarray:
         if not isinstance(tree, tuple):
@@ -164,52 +194,139 @@ class Trees:
         return 1 / (1 + np.exp(-(self.prior + sum(self._walk(tree, x) for tree in self.parts))))
 
 
-def _sampled(docs: DataFrame, texts: int, spans: int) -> list[tuple[str, bool, list[float], int]]:
-    """kind, strict, features and fold (0 to 4, by the span's text) of strict kinds in a sample of texts; `spans` at most."""
-    total = max(docs.count(), 1)
-    mark = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1_000_000))
-    chosen = docs.where(F.col("text").isNotNull() & (mark < int(1_000_000 * min(1.0, texts / total)) + 1))
+def _level_units(model: Trees, cuts: list[np.ndarray], splits: list, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Slope, curvature and rows in whole units, by node of the level below `splits`, feature and bin."""
+    level, width = len(splits).bit_length() - 1, max(map(len, cuts)) + 1
+    node = np.ones(len(x), np.int64)
+    for _ in range(level):
+        step = np.zeros(len(x), np.int64)
+        for at, split in enumerate(splits):
+            here = node == at
+            if split:
+                step[here] = 2 * at + (x[here, split[0]] > split[1])
+        node = step  # 0: the row is in a leaf
+    kept = node > 0
+    x, y, n, node = x[kept], y[kept], n[kept], node[kept] - (1 << level)
+    p = model.probability(x)
+    weights = [np.rint((y - p) * _UNIT) * n, np.rint(p * (1 - p) * _UNIT) * n, n.astype(np.float64)]
+    out = np.zeros((3, 1 << level, len(cuts), width), np.int64)
+    for k, cut in enumerate(cuts):
+        place = node * width + np.searchsorted(cut, x[:, k], "left")
+        for total, weight in zip(out, weights, strict=True):
+            total[:, k] = np.bincount(place, weight, width << level).astype(np.int64).reshape(1 << level, width)
+    return out
+
+
+def _in_ones(units: np.ndarray) -> np.ndarray:
+    out = units.astype(np.float64)
+    out[:2] /= _UNIT
+    return out
+
+
+def level_sums(model: Trees, cuts: list[np.ndarray], splits: list, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return _in_ones(_level_units(model, cuts, splits, x, y, n))
+
+
+def _vectors(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1).astype(np.float64)
+
+
+def training_rows(docs: DataFrame) -> DataFrame:
+    """features (packed), strict, fold (0 to 4, by the span's text) and n, how many: every candidate of a strict kind in `docs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches):
-            rows = [
-                (k, s, features(t, k, a, b), zlib.crc32(t[a:b].encode()) % 5)
+            found = Counter(
+                (np.array(features(t, k, a, b), np.float32).tobytes(), s, zlib.crc32(t[a:b].encode()) % 5)
                 for t in part.column("text").to_pylist() for k, a, b, s in candidates(t) if k in BASE_KINDS
-            ]
-            if rows:
-                kinds, strict, values, folds = zip(*rows, strict=True)
+            )
+            if found:
+                values, strict, folds = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(kinds), pa.array(strict), pa.array(values, pa.list_(pa.float64())), pa.array(folds, pa.int32())],
-                    names=["kind", "strict", "features", "fold"],
+                    [pa.array(values, pa.binary()), pa.array(strict), pa.array(folds, pa.int32()), pa.array(found.values(), pa.int64())],
+                    names=["features", "strict", "fold", "n"],
                 )
 
-    shape = "kind string, strict boolean, features array<double>, fold int"
-    found = chosen.select("text").mapInArrow(run, shape).limit(spans).toArrow()
-    return list(zip(*(found.column(n).to_pylist() for n in ("kind", "strict", "features", "fold")), strict=True))
+    found = docs.where(F.col("text").isNotNull()).select("text").mapInArrow(run, "features binary, strict boolean, fold int, n bigint")
+    return found.groupBy("features", "strict", "fold").agg(F.sum("n").alias("n"))
+
 
+def _cuts(rows: DataFrame, bins: int) -> list[np.ndarray]:
+    """Values of each feature at which the rows, by their counts, pass into another of `bins` equal parts."""
 
-def fit(docs: DataFrame, texts: int = SAMPLE_TEXTS, spans: int = SAMPLE_SPANS) -> tuple[Trees, float] | None:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, n = _vectors(batch.column("features")), batch.column("n").to_numpy()
+                for k in range(x.shape[1]):
+                    values, place = np.unique(x[:, k], return_inverse=True)
+                    counts = np.bincount(place, n).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(values), k, np.int32)), pa.array(values), pa.array(counts)], names=["k", "value", "n"])
+
+    counted = rows.mapInArrow(run, "k int, value double, n bigint").groupBy("k", "value").agg(F.sum("n").alias("n"))
+    feature = Window.partitionBy("k")
+    upto, whole = F.sum("n").over(feature.orderBy("value")), F.sum("n").over(feature)
+    passed = counted.select("k", "value", "n", upto.alias("upto"), whole.alias("whole")).where(
+        f"least(upto * {bins} div whole, {bins - 1}) > (upto - n) * {bins} div whole"
+    )
+    found = [(r.k, r.value) for r in passed.select("k", "value").collect()]  # fewer than `bins` of each feature
+    return [np.array(sorted(v for j, v in found if j == k)) for k in range(1 + max(j for j, _ in found))]
+
+
+def fit(docs: DataFrame) -> tuple[Trees, float] | None:
     """The trees, and the least probability from which on PRECISION of the spans kept out of training are positive."""
-    rows = _sampled(docs, texts, spans)
-    y, fold = np.array([r[1] for r in rows], np.float64), np.array([r[3] for r in rows], np.int64)
-    if len(np.unique(y[fold > 0])) < 2:
+    every = settle(training_rows(docs))
+    rows, aside = every.where("fold > 0"), every.where("fold = 0")
+    total, positive = rows.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("strict").cast("int") * F.col("n")), F.lit(0))).first()
+    if positive in (0, total):
         return None
-    x = np.array([r[2] for r in rows], np.float64)
-    trees = Trees().fit(x[fold > 0], y[fold > 0])
-    p, label = trees.probability(x[fold == 0]), y[fold == 0]
-    order = np.argsort(-p, kind="stable")
-    good = np.cumsum(label[order]) >= PRECISION * np.arange(1, len(order) + 1)
-    last = np.flatnonzero(good & (np.append(p[order][1:], -1) < p[order]))  # a threshold takes all spans of its probability
-    return trees, max(float(p[order][last[-1]]), LEAST_PROBABILITY) if len(last) else 1.01
+    trees, cuts = Trees(), _cuts(rows, BINS)
+
+    def sums(splits: list) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            units = 0
+            for batch in batches:
+                if batch.num_rows:
+                    y, n = batch.column("strict").to_numpy(zero_copy_only=False).astype(np.float64), batch.column("n").to_numpy()
+                    units = units + _level_units(trees, cuts, splits, _vectors(batch.column("features")), y, n)
+            if np.ndim(units):
+                flat = units.reshape(3, -1)
+                place = np.flatnonzero(flat[2])
+                yield pa.RecordBatch.from_arrays([pa.array(place), *map(pa.array, flat[:, place])], names=["place", "g", "h", "n"])
+
+        added = rows.mapInArrow(run, "place bigint, g bigint, h bigint, n bigint").groupBy("place").agg(*[F.sum(c).alias(c) for c in "ghn"])
+        units = np.zeros((3, len(splits), len(cuts), max(map(len, cuts)) + 1), np.int64)
+        for r in added.collect():  # at most nodes x features x bins
+            units.reshape(3, -1)[:, r.place] = r.g, r.h, r.n
+        return _in_ones(units)
+
+    trees.learn(cuts, positive / total, sums)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                p, place = np.unique(trees.probability(_vectors(batch.column("features"))), return_inverse=True)
+                n = batch.column("n").to_numpy()
+                good = n * batch.column("strict").to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(p), *(pa.array(np.bincount(place, w, len(p)).astype(np.int64)) for w in (n, good))], names=["p", "n", "good"]
+                )
+
+    # One row per probability that the leaves can add up to, so the window is as small as the model.
+    scored = aside.mapInArrow(score, "p double, n bigint, good bigint").groupBy("p").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    best = Window.orderBy(F.desc("p"))
+    kept = scored.select("p", F.sum("n").over(best).alias("n"), F.sum("good").over(best).alias("good")).where(F.col("good") >= PRECISION * F.col("n"))
+    least = kept.agg(F.min("p")).first()[0]
+    return trees, 1.01 if least is None else max(least, LEAST_PROBABILITY)
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 SHAPE = "array<struct<kind:string,start:int,end:int>>"
 
 
-def find(docs: DataFrame, texts: int = SAMPLE_TEXTS) -> DataFrame:
+def find(docs: DataFrame) -> DataFrame:
     """row (all columns) and spans: strict ones, and those that the trees add, by kind as listed, then start."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, texts))  # a few small trees
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs))  # a few small trees
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches):
