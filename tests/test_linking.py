@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticketlake.operators import linking
 from ticketlake.operators.linking import RULES, ambiguous_candidates, attach_links, link_candidates, link_tickets, load_manual
@@ -181,3 +182,50 @@ def test_a_slice_that_hands_over_less_reaches_the_next(spark):
     want = {k: v for k, v in walk(requests, notices, []).items() if v[0] != "SEM_VINCULO"}
     assert {k: v[0] for k, v in rows.items()} == {k: v[3] for k, v in want.items()}
     assert {k: v[1] for k, v in rows.items()} == {k: v[2] for k, v in want.items()}
+
+
+def far_sides(spark):
+    """Same account and subject throughout; three requests come a day after a notice, the others twelve days after one."""
+    at = lambda first, hours: [(first + i, "A", None, "s", T0 + timedelta(days=30 * i, hours=hours if i < 3 else 24 * 12 * (first == 0))) for i in range(60)]
+    return [spark.createDataFrame(rows, SIDE) for rows in (at(0, 24), at(1000, 0))]
+
+
+def test_rows_far_from_the_other_side_enter_no_round(spark, monkeypatch):
+    entered, peel = [], linking.peel
+
+    def counted(requests, notices, *rest):
+        entered.append((requests.count(), notices.count()))
+        return peel(requests, notices, *rest)
+
+    monkeypatch.setattr(linking, "peel", counted)
+    rows = {r.ticket_solicitacao_id: (r.status_vinculo, r.ticket_notificacao_id) for r in link_tickets(*far_sides(spark)).collect()}
+    assert rows == {i: ("VINCULADO", 1000 + i) if i < 3 else ("SEM_VINCULO", None) for i in range(60)}
+    ((requests, notices),) = entered
+    assert requests + notices < 60, entered
+
+
+def test_keys_are_worked_out_near_the_other_side_only(spark):
+    worked = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def subject(text):
+        worked.add(1)
+        return text
+
+    requests, notices = far_sides(spark)
+    raw = [df.withColumnRenamed("assunto_normalizado", "titulo").drop("protocolo_referencia") for df in (requests, notices)]
+    keys = lambda df: df.withColumns({"assunto_normalizado": subject("titulo"), "protocolo_referencia": F.lit(None).cast("string")})
+    links = link_tickets(*raw, keys=keys)
+    assert links.exceptAll(link_tickets(requests, notices)).isEmpty()
+    assert ambiguous_candidates(links, *raw, keys=keys).isEmpty()
+    assert 6 <= worked.value < 60, worked.value
+
+
+def test_requests_on_the_borders_of_their_window(spark):
+    """A notice exactly as old as the window counts, at and beside the borders of the stretches, before 1970 too."""
+    micro, week = timedelta(microseconds=1), timedelta(days=7)
+    starts = [datetime(1970, 1, 1) + k * week + d for k in (-3, -1, 0, 1, 2900) for d in (-micro, timedelta(0), micro)]
+    requests = [(10 * i + j, f"c{i}-{j}", None, "s", at) for i, at in enumerate(starts) for j in range(3)]
+    notices = [(9000 + r[0], *r[1:4], r[4] - (week if r[0] % 10 == 0 else week + micro if r[0] % 10 == 1 else timedelta(0))) for r in requests]
+    case = (requests, notices, [])
+    assert linked(spark, *case, 1000) == walk(*case)

@@ -151,11 +151,15 @@ def match_not_loaded(spark, sf):
 
 # ---- linking ------------------------------------------------------------------------------------------------
 def link_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
-    t = tickets(spark, sf).select(
+    t = tickets(spark, sf).select("ticket_id", "matricula", "data_criacao", "assunto", "titulo")
+    return t.filter("ticket_id % 2 = 0"), t.filter("ticket_id % 2 = 1")
+
+
+def link_keys(side: DataFrame) -> DataFrame:
+    return side.select(
         "ticket_id", "matricula", "data_criacao", norm_class(F.coalesce("assunto", "titulo")).alias("assunto_normalizado"),
         *[c.alias(n) for n, c in protocols(F.col("titulo")).items() if n == "protocolo_procon"],
     ).withColumnRenamed("protocolo_procon", "protocolo_referencia")
-    return t.filter("ticket_id % 2 = 0"), t.filter("ticket_id % 2 = 1")
 
 
 LINK_SQL = f"""
@@ -176,7 +180,7 @@ BOTH_RULES = candidates_sql("matricula_protocolo", "protocolo_referencia") + " U
 
 @query("link_candidates", f"WITH {LINK_SQL} " + BOTH_RULES.replace("{w}", "7"))
 def link_candidates(spark, sf):
-    return linking.link_candidates(*link_sides(spark, sf))
+    return linking.link_candidates(*map(link_keys, link_sides(spark, sf)))
 
 
 DENSE_SQL = "s AS (SELECT * FROM dense_links WHERE event_type = 'purchase'), n AS (SELECT * FROM dense_links WHERE event_type = 'error')"
@@ -254,7 +258,7 @@ LINK_STAMPS = ("data_entrada_reclamacao", "data_criacao_solicitacao", "data_cria
 
 @query("link_tickets", link_sql(LINK_SQL.strip()), stamps=LINK_STAMPS)
 def link_tickets(spark, sf):
-    return linking.link_tickets(*link_sides(spark, sf))
+    return linking.link_tickets(*link_sides(spark, sf), keys=link_keys)
 
 
 @query("link_tickets_dense", link_sql(DENSE_SQL), stamps=LINK_STAMPS)
@@ -282,14 +286,14 @@ def manual_links(requests: DataFrame) -> DataFrame:
 @query("link_tickets_manual", link_sql(LINK_SQL.strip(), BY_HAND), stamps=LINK_STAMPS)
 def link_tickets_manual(spark, sf):
     requests, notices = link_sides(spark, sf)
-    return linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)))
+    return linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)), keys=link_keys)
 
 
 @query("link_ambiguous_manual", link_sql(LINK_SQL.strip(), BY_HAND, CANDIDATE_ROWS))
 def link_ambiguous_manual(spark, sf):
     requests, notices = link_sides(spark, sf)
-    links = linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)))
-    return linking.ambiguous_candidates(links, requests, notices)
+    links = linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)), keys=link_keys)
+    return linking.ambiguous_candidates(links, requests, notices, keys=link_keys)
 
 
 @query(
@@ -298,7 +302,7 @@ def link_ambiguous_manual(spark, sf):
 )
 def link_status_counts(spark, sf):
     requests, notices = link_sides(spark, sf)
-    links = linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)))
+    links = linking.link_tickets(requests, notices, linking.load_manual(manual_links(requests)), keys=link_keys)
     return links.groupBy("status_vinculo", "criterio_vinculo").agg(
         F.count(F.lit(1)).alias("qtde"), F.sum("quantidade_candidatos").alias("candidatos")
     )

@@ -4,7 +4,10 @@ Requests are served in order of creation. A request takes the only unused notice
 and protocol (else its account and subject) and was created within the window before it; two or more make
 it ambiguous.
 
-First the requests are peeled by joins (`peel`): where a request is the first to reach every notice of its
+Rows without a row of the other side near them in time leave at once: first by account alone (`_near`), so that keys are only
+worked out for the rest, then by account and key (`_near_keys`).
+
+Then the requests are peeled by joins (`peel`): where a request is the first to reach every notice of its
 window, nobody has used one before it, so counts alone say what it gets. It leaves, with the notice it took,
 and others become first. What is left after a few rounds is the contested core.
 
@@ -18,7 +21,7 @@ a gap or a full window makes a slice forget its past, which is why few rounds ar
 from __future__ import annotations
 
 from collections import deque
-
+from collections.abc import Callable
 from functools import reduce
 from itertools import islice
 
@@ -30,7 +33,6 @@ from pyspark.sql.window import Window
 from ticketlake.functions.dates import days_lag
 from ticketlake.functions.text import strip
 from ticketlake.operators.dedup import keep_one
-from ticketlake.operators.orders import spread_nulls
 from ticketlake.operators.timelines import SLICE_ROWS, along, sliced
 from ticketlake.session import settle
 from ticketlake.sources.canonical import coerce_ids
@@ -53,6 +55,9 @@ DAY_MICROS = 86_400_000_000
 PEEL_ROUNDS = 3
 _GROUP, _ORDER = ["conta", "regra", "chave"], ["t", "lugar", "ticket_id"]
 _NOTICE, _REQUEST, _HORIZON = 1, 2, 0
+_SIDE = ("ticket_id", "matricula", "protocolo_referencia", "assunto_normalizado", "data_criacao")
+#: Adds protocolo_referencia and assunto_normalizado to rows of a side.
+Keys = Callable[[DataFrame], DataFrame]
 _SERVED = (
     "fatia int, tipo string, ticket_id bigint, regra int, candidatos bigint, notificacao bigint, lista string,"
     " conta string, t bigint, protocolo string, assunto string"
@@ -349,13 +354,44 @@ def serve_in_order(
     return reduce(DataFrame.unionByName, outcomes)
 
 
-def _slim(df: DataFrame) -> DataFrame:
+def _placed(df: DataFrame, *more) -> DataFrame:
+    """Rows with an account and a time, and `more` columns."""
     return df.filter((strip(F.col("matricula")) != "") & F.col("data_criacao").isNotNull()).select(
-        "ticket_id", F.col("matricula").alias("conta"), _micros("data_criacao").alias("t"),
-        _key("protocolo_referencia").alias("protocolo"), _key("assunto_normalizado").alias("assunto"),
+        "ticket_id", F.col("matricula").alias("conta"), _micros("data_criacao").alias("t"), *more
     )
 
 
+def _slim(df: DataFrame) -> DataFrame:
+    return _placed(df, _key("protocolo_referencia").alias("protocolo"), _key("assunto_normalizado").alias("assunto"))
+
+
+def _cell(window_days: int):
+    """Stretch of time of a row, as long as the window: a request reaches notices of its own stretch and of the one before."""
+    return F.expr(f"t div {max(window_days, 1) * DAY_MICROS}")
+
+
+def _meeting(requests: DataFrame, notices: DataFrame, key: list[str], window_days: int) -> tuple[DataFrame, DataFrame]:
+    """Ids of the rows of both sides that share `key` and a stretch of time with a row of the other side.
+
+    A row without such a row cannot be linked. Only numbers are shuffled, one per place, which fold before the shuffle; two
+    places of one number keep rows too many and lose none.
+    """
+    cell = _cell(window_days)
+    asks = requests.select("ticket_id", F.explode(F.array(F.xxhash64(*key, cell - 1), F.xxhash64(*key, cell))).alias("lugar"))
+    offers = notices.select("ticket_id", F.xxhash64(*key, cell).alias("lugar"))
+    sides = asks.select("lugar", F.lit(True).alias("pede")).unionByName(offers.select("lugar", F.lit(False).alias("pede")))
+    met = settle(sides.groupBy("lugar").agg(F.bool_or("pede").alias("a"), F.bool_and("pede").alias("b")).filter("a AND NOT b").select("lugar"))
+    asking, offering = [settle(side.join(met, "lugar", "left_semi").select("ticket_id").distinct()) for side in (asks, offers)]
+    return asking, offering
+
+
+def _near(requests: DataFrame, notices: DataFrame, window_days: int, keys: Keys | None) -> list[DataFrame]:
+    """Rows of both sides with one of the other side near them in their account, with their keys."""
+    found = _meeting(_placed(requests), _placed(notices), ["conta"], window_days)
+    close = [side.join(ids, "ticket_id", "left_semi") for side, ids in zip((requests, notices), found)]
+    return [settle((keys(side) if keys else side).select(*_SIDE)) for side in close]
+
+
 def _with_partner(df: DataFrame, other: DataFrame) -> DataFrame:
     """Rows whose (account, protocol) or (account, subject) occurs on the other side."""
     keys = other.selectExpr(
@@ -373,19 +409,27 @@ def _with_partner(df: DataFrame, other: DataFrame) -> DataFrame:
     return df.join(hit, "ticket_id", "left_semi")
 
 
+def _near_keys(requests: DataFrame, notices: DataFrame, window_days: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of both sides with one of the other side near them under the same account and key."""
+    asking, offering = _meeting(_keyed(requests), _keyed(notices), _GROUP, window_days)
+    return settle(requests.join(asking, "ticket_id", "left_semi")), settle(notices.join(offering, "ticket_id", "left_semi"))
+
+
 def link_tickets(
     requests: DataFrame,
     notices: DataFrame | None,
     manual: DataFrame | None = None,
     window_days: int = WINDOW_DAYS,
     slice_rows: int = SLICE_ROWS,
+    keys: Keys | None = None,
 ) -> DataFrame:
     """One outcome row per request.
 
     Both sides: (ticket_id, matricula, protocolo_referencia, assunto_normalizado, data_criacao), one row
-    per ticket. `manual` as given by `load_manual`. `notices` is None when that feed was not loaded.
+    per ticket. `manual` as given by `load_manual`. `notices` is None when that feed was not loaded. With `keys`, both
+    sides come without protocolo_referencia and assunto_normalizado, and only rows that could link get them.
     """
-    base = requests.select("ticket_id", "data_criacao", "matricula", "protocolo_referencia", "assunto_normalizado")
+    base = requests.select("ticket_id", "data_criacao")
     null = F.lit(None)
     dates = [
         F.col("data_criacao").alias("data_entrada_reclamacao"),
@@ -405,8 +449,8 @@ def link_tickets(
             F.lit(NOTE_NOT_LOADED).alias("observacao"),
         )
 
-    known = notices.select(F.col("ticket_id").alias("_nid"), F.col("data_criacao").alias("_ndata"))
-    open_notices = _slim(notices)
+    near_requests, near_notices = _near(requests, notices, window_days, keys)
+    open_notices = _slim(near_notices)
     if manual is None:
         by_hand = base.select(
             "ticket_id", null.cast("bigint").alias("_mid"), null.cast("string").alias("_mnota"),
@@ -415,9 +459,12 @@ def link_tickets(
         consumed = open_notices.select(
             F.col("ticket_id").alias("alvo"), "conta", "t", "ticket_id"
         ).limit(0)
-        automatic = base
+        automatic = near_requests
     else:
-        by_hand = (
+        manual = settle(manual)
+        aimed = manual.select(F.col("ticket_notificacao_id").alias("_nid")).distinct()
+        known = notices.select(F.col("ticket_id").alias("_nid"), F.col("data_criacao").alias("_ndata")).join(aimed, "_nid", "left_semi")
+        by_hand = settle(
             manual.select(
                 F.col("ticket_solicitacao_id").alias("ticket_id"), F.col("ticket_notificacao_id").alias("_mid"),
                 F.col("justificativa").alias("_mnota"),
@@ -432,33 +479,33 @@ def link_tickets(
         )
         # First turn at which each notice is taken by hand, on the timeline of the notice.
         taken = turns.groupBy("alvo").agg(F.min(F.struct("_vez", "ticket_id")).alias("_primeira"))
-        placed = open_notices.select(F.col("ticket_id").alias("alvo"), "conta", F.col("t").alias("_chegada")).join(
-            taken, "alvo"
+        placed = settle(
+            open_notices.select(F.col("ticket_id").alias("alvo"), "conta", F.col("t").alias("_chegada")).join(taken, "alvo")
         )
         early = placed.filter(F.col("_primeira._vez") < F.col("_chegada")).select(F.col("alvo").alias("ticket_id"))
         consumed = placed.filter(F.col("_primeira._vez") >= F.col("_chegada")).select(
             "alvo", "conta", F.col("_primeira._vez").alias("t"), F.col("_primeira.ticket_id").alias("ticket_id")
         )
         open_notices = open_notices.join(early, "ticket_id", "left_anti")
-        automatic = base.join(by_hand.select("ticket_id"), "ticket_id", "left_anti")
+        automatic = near_requests.join(by_hand.select("ticket_id"), "ticket_id", "left_anti")
 
-    consumed = settle(consumed)
-    asking, open_notices = settle(_slim(automatic)), settle(open_notices)
-    asking, open_notices = _with_partner(asking, open_notices), _with_partner(open_notices, asking)
+    asking, open_notices = _near_keys(settle(_slim(automatic)), settle(open_notices), window_days)
     peeled, asking, open_notices = peel(asking, open_notices, consumed, window_days, slice_rows)
     served = serve_in_order(asking, open_notices, consumed, window_days, slice_rows)
     if peeled is not None:
         served = served.unionByName(peeled)
+    # Few requests link, so their dates are found from their side, and requests without a notice are in no join.
+    linked_dates = (
+        served.select("ticket_id", "notificacao").filter(F.col("notificacao").isNotNull())
+        .join(near_notices.select(F.col("ticket_id").alias("notificacao"), F.col("data_criacao").alias("_cdata")), "notificacao")
+        .drop("notificacao")
+    )
+    outcomes = settle(served.join(linked_dates, "ticket_id", "left"))
     rule_name = _of_rule([name for name, _, _ in RULES])
     confidence = _of_rule([value for _, _, value in RULES])
     linked, many = F.col("notificacao").isNotNull(), F.col("lista").isNotNull()
     is_manual, valid = F.col("_mid").isNotNull(), F.coalesce(F.col("_mvale"), F.lit(False))
-    chosen = known.select(F.col("_nid").alias("_cid"), F.col("_ndata").alias("_cdata"))
-    joined = (
-        base.join(by_hand, "ticket_id", "left")
-        .join(served, "ticket_id", "left")
-        .join(chosen, spread_nulls(F.col("notificacao").cast("string"), F.col("ticket_id")) == F.col("_cid").cast("string"), "left")
-    )
+    joined = base.join(by_hand, "ticket_id", "left").join(outcomes, "ticket_id", "left")
     notice_date = F.when(is_manual & valid, F.col("_mdata")).when(linked, F.col("_cdata"))
     return joined.select(
         F.col("ticket_id").alias("ticket_solicitacao_id"),
@@ -479,24 +526,31 @@ def link_tickets(
 
 
 def ambiguous_candidates(
-    links: DataFrame, requests: DataFrame, notices: DataFrame, window_days: int = WINDOW_DAYS
+    links: DataFrame, requests: DataFrame, notices: DataFrame, window_days: int = WINDOW_DAYS, keys: Keys | None = None
 ) -> DataFrame:
     """Every notice that an ambiguous request of `links` could have taken at its turn; the note names the first few only.
 
     A notice counts if no request before took it. Cells as long as the window bring a request to the notices of its own
-    cell and the one before; the rows made are the rows returned, but for those outside the window or taken.
+    cell and the one before; the rows made are the rows returned, but for those outside the window or taken. Sides and
+    `keys` as of `link_tickets`.
     """
     span = window_days * DAY_MICROS
     number = F.when(F.col("criterio_vinculo") == RULES[0][0], 0).when(F.col("criterio_vinculo") == RULES[1][0], 1)
-    open_cases = links.filter("status_vinculo = 'AMBIGUO'").select(F.col("ticket_solicitacao_id").alias("ticket_id"), number.alias("regra"), "criterio_vinculo")
-    cell = F.floor(F.col("t") / span)
+    # Outcomes are few beside requests and are read three times.
+    marked = settle(
+        links.select("ticket_solicitacao_id", "ticket_notificacao_id", "status_vinculo", "criterio_vinculo", "data_criacao_solicitacao")
+        .filter((F.col("status_vinculo") == "AMBIGUO") | F.col("ticket_notificacao_id").isNotNull())
+    )
+    open_cases = marked.filter("status_vinculo = 'AMBIGUO'").select(F.col("ticket_solicitacao_id").alias("ticket_id"), number.alias("regra"), "criterio_vinculo")
+    requests, notices = _near(requests.join(open_cases, "ticket_id", "left_semi"), notices, window_days, keys)
+    cell = _cell(window_days)
     asked = (
         _keyed(_slim(requests)).join(open_cases, ["ticket_id", "regra"])
         .select("ticket_id", "criterio_vinculo", F.col("t").alias("vez"), *_GROUP, F.explode(F.array(cell - 1, cell)).alias("celula"))
     )
     turn = F.struct(_micros("data_criacao_solicitacao").alias("vez"), F.col("ticket_solicitacao_id").alias("ticket_id"))
     used = (
-        links.filter(F.col("ticket_notificacao_id").isNotNull() & F.col("data_criacao_solicitacao").isNotNull())
+        marked.filter(F.col("ticket_notificacao_id").isNotNull() & F.col("data_criacao_solicitacao").isNotNull())
         .groupBy(F.col("ticket_notificacao_id").alias("notificacao")).agg(F.min(turn).alias("tomada"))
     )
     offered = _keyed(_slim(notices)).select(F.col("ticket_id").alias("notificacao"), "t", *_GROUP, cell.alias("celula")).join(used, "notificacao", "left")
