@@ -6,7 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from ticketlake.functions import text
 from ticketlake.operators import dedup, distinct, orders, persistence
+from ticketlake.plans import marts
 from ticketlake.schemas import HISTORY, HISTORY_COLUMNS
 from ticketlake.session import cut_lineage, empty_frame, ensure_checkpoint_dir, settle
 
@@ -104,3 +106,43 @@ def test_exact_match_ranks_only_given_numbers(spark):
     assert sorted(map(tuple, matched.collect())) == [(1, "g1"), (2, "g2"), (3, None)]
     (ranked,) = set(os.listdir(folder)) - before
     assert spark.read.parquet(f"{folder}/{ranked}").count() == 2
+
+
+def test_sanitized_rows_are_shuffled_once_before_they_are_ordered(spark):
+    hearing = ("local_procon", "audiencia", "tipo_audiencia", "data_audiencia", "preposto", "data_reagendamento")
+    extra = ("protocolo_referencia_informado", "protocolo_procon", "protocolo_defensoria", "protocolo_codecon", "classificacao_notificacoes")
+    kinds = {c: "string" for c in (*marts.SANITIZED_COLUMNS, *extra) if c not in (*hearing, "protocolo_referencia")}
+    kinds |= {"ticket_id": "bigint", "data_criacao": "timestamp_ntz", "data_resolucao": "timestamp_ntz", "flag_arquivado_relatorio": "int"}
+
+    def side(rows):
+        given = spark.createDataFrame(rows, "ticket_id bigint, case_id string")
+        return given.select(*[F.col(c) if c in given.columns else F.lit(AT if "data" in c else "X" if c == "titulo" else None).cast(k).alias(c) for c, k in kinds.items()])
+
+    # 3 stands in both tables with different cases, 4 has two hearings, 5 has a hearing and no ticket.
+    requests, notices = side([(1, "a"), (2, None), (3, "b"), (4, "d")]), side([(3, "c"), (6, "a")])
+    held = spark.createDataFrame([(3, "P3"), (4, "P4"), (4, "P5"), (5, "P6")], "ticket_id bigint, local_procon string")
+    held = held.select("*", *[F.lit(None).cast("timestamp_ntz" if c.startswith("data_") else "string").alias(c) for c in hearing[1:]])
+    cases = spark.createDataFrame([("a", "n1"), ("b", "n2"), ("c", "n3"), ("d", None), ("e", "n4")], "case_id string, protocolo_agenersa string")
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = marts.sanitized_base(requests, notices, held, cases)
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        formatted = base._jdf.queryExecution().explainString(mode)
+        rows = [(r.ticket_id, r.case_id, r.protocolo_referencia, r.local_procon) for r in base.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    assert [r[0] for r in rows] == [6, 4, 4, 3, 3, 2, 1]
+    assert sorted(rows, key=str) == sorted(
+        [(1, "a", "n1", None), (2, None, None, None), (3, "b", "n2", "P3"), (3, "c", "n3", "P3"), (4, "d", None, "P4"), (4, "d", None, "P5"), (6, "a", "n1", None)], key=str
+    )
+    wide = [part for part in formatted.split("\n\n") if "hashpartitioning" in part and "titulo" in part.split("Arguments")[0]]
+    assert len(wide) == 1, len(wide)
+
+
+def test_cleaned_text_is_the_same_with_and_without_the_short_way(spark):
+    parts = ["a", "B c", " ", "  ", "\t", "\x1c", "\x1f", "\n", "\xa0", "\u2003", "\x85", "á", ""]
+    cells = [(a + b + c,) for a in parts for b in parts for c in parts] + [(None,)]
+    df = spark.createDataFrame(cells, "c string")
+    for r in df.select("c", text.clean_ws(F.col("c")).alias("limpo")).collect():
+        assert r.limpo == (" ".join(r.c.split()) or None if r.c is not None else None), repr(r.c)

@@ -195,12 +195,14 @@ def collapse_spaces(c: Column) -> Column:
 
 def clean_ws(c: Column) -> Column:
     """Collapsed white space (hard blanks included); blank becomes null."""
-    return F.nullif(collapse_spaces(c), F.lit(""))
+    # ASCII text with lone blanks, as most is, needs no pattern over every kind of white space.
+    plain = is_ascii(c) & ~c.contains("  ") & ~c.rlike(r"[\t-\r\x1c-\x1f]")
+    return F.nullif(F.when(plain, F.trim(c)).otherwise(collapse_spaces(c)), F.lit(""))
 
 
 def clean_subject(c: Column) -> Column:
     """Collapsed, upper-cased last level of a subject label."""
-    tail = nfkc(F.substring_index(clean_ws(c), LEVEL_SEPARATOR, -1))
+    tail = nfkc(F.substring_index(F.nullif(collapse_spaces(c), F.lit("")), LEVEL_SEPARATOR, -1))
     return F.nullif(F.upper(collapse_spaces(tail)), F.lit(""))
 
 

@@ -127,7 +127,11 @@ def hearing_columns(hearings: DataFrame, *names: str) -> DataFrame:
 
 
 def sanitized_base(tickets: DataFrame, notices: DataFrame, hearings: DataFrame, cases: DataFrame) -> DataFrame:
-    """Clean extract of both ticket tables with hearings, newest first."""
+    """Clean extract of both ticket tables with hearings, newest first.
+
+    What hearings and cases add is brought together by ticket id on narrow rows first, so whole rows are shuffled once for
+    it, and once for the order.
+    """
     from_hearing = ("local_procon", "audiencia", "tipo_audiencia", "data_audiencia", "preposto", "data_reagendamento")
     aside = hearing_columns(hearings, *from_hearing)
     needed = [c for c in SANITIZED_COLUMNS if c not in (*from_hearing, "protocolo_referencia")]
@@ -137,7 +141,14 @@ def sanitized_base(tickets: DataFrame, notices: DataFrame, hearings: DataFrame,
         return df.filter(official("sanitized")).select(*needed)
 
     both = branch(tickets).unionByName(branch(notices))
-    joined = both.join(aside, "ticket_id", "left").join(cases.select("case_id", "protocolo_agenersa"), "case_id", "left")
+    numbered = cases.filter(F.col("protocolo_agenersa").isNotNull()).select("case_id", "protocolo_agenersa")
+    # An id may stand in both tables with different cases.
+    of_case = both.select("ticket_id", "case_id").join(numbered, "case_id").groupBy("ticket_id").agg(
+        F.collect_set(F.struct("case_id", "protocolo_agenersa")).alias("_casos")
+    )
+    joined = both.join(aside.join(of_case, "ticket_id", "full"), "ticket_id", "left")
+    own = F.get(F.filter("_casos", lambda x: x["case_id"] == F.col("case_id")), F.lit(0))
+    joined = joined.withColumn("protocolo_agenersa", own["protocolo_agenersa"])
     reference = F.coalesce(
         *[
             F.nullif(F.trim(F.col(c)), F.lit(""))
