@@ -17,7 +17,7 @@ from ticketlake.operators.dedup import (
 )
 from ticketlake.operators.filters import assert_disjoint, orphan_filter
 from ticketlake.operators.linking import SLICE_ROWS, attach_links, link_tickets, load_manual
-from ticketlake.operators.orders import enrich_missing, match_orders, prepare_orders, semi_filter_orders
+from ticketlake.operators.orders import enrich_missing, match_orders, order_context, prepare_orders, semi_filter_orders
 from ticketlake.operators.persistence import changed_tickets, scd2, sync_validity, upsert
 from ticketlake.operators.quality import ContractError, validate_or_raise
 from ticketlake.operators.rules import (
@@ -111,18 +111,21 @@ def build_silver(
     if general is None:
         return silver
 
-    orders = None
+    orders = context = None
     if raw.get("gss") is not None:
         accounts = requests.select("matricula").union(notices.select("matricula"))
-        orders = keep("ordens", prepare_orders(semi_filter_orders(_ordered(raw["gss"]), accounts), today))
+        known = semi_filter_orders(_ordered(raw["gss"]), accounts, keep=lambda df: keep("contas_sem_ticket", df))
+        orders = keep("ordens", prepare_orders(known, today))
         silver.orders = orders
         orders = None if orders.isEmpty() else orders
+    if orders is not None:  # read by both kinds and by every step of matching
+        context = keep("contexto_ordens", order_context(orders))
     manual = None if rules.manual is None else load_manual(rules.manual)
     loaded = None if notices.isEmpty() else notices
     silver.links = keep("vinculos", link_tickets(requests, loaded, manual, slice_rows=slice_rows))
-    matched = match_orders(enrich_missing(requests, orders), orders)
+    matched = match_orders(enrich_missing(requests, orders, context=context), orders)
     silver.requests = keep("solicitacoes_prontas", attach_subject_metrics(matched, silver.subjects))
-    silver.notices = keep("notificacoes_prontas", enrich_missing(notices, orders))
+    silver.notices = keep("notificacoes_prontas", enrich_missing(notices, orders, context=context))
     return silver
 
 

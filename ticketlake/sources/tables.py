@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ticketlake.operators.persistence import scd2
 from ticketlake.schemas import HISTORY
-from ticketlake.session import empty_frame, settle
+from ticketlake.session import FILE_ROWS, empty_frame, settle
 
 COMMITS = "_commits"
 # Entry of a commit that names the batch run that made it.
@@ -115,10 +115,10 @@ class TableStore:
         return True
 
 
-def _write_once(df: DataFrame, path: str) -> None:
+def _write_once(df: DataFrame, path: str, file_rows: int = 0) -> None:
     """Write a folder unless it is there in full; Spark marks a finished one, and half of one is written over."""
     if not path_exists(df.sparkSession, f"{path}/_SUCCESS"):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
 
 
 class Progress:
@@ -157,7 +157,7 @@ class Progress:
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """The frame as it was written by this run, now or before it was started again."""
-        _write_once(df, f"{self.folder}/{name}")
+        _write_once(df, f"{self.folder}/{name}", FILE_ROWS)
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def publish(self, versions: Mapping[str, str]) -> None:
